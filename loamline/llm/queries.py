@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, mixing
+from loamline.llm import bpe, mixing, nearcopies
 from loamline.llm.common import shared_dir, spread, table, written
 
 
+#: Similarity from which kept_records count as copies of one another.
+SAME = 0.70
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "kept_records").select(F.col("record_id").alias("id"), F.col("code_norm").alias("text")))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return nearcopies.record_pairs(*nearcopies.class_pairs(_records(spark, d), SAME, shared_dir(spark)))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    path = shared_dir(spark)
+    pairs, members = nearcopies.class_pairs(_records(spark, d), SAME, path)
+    return nearcopies.groups(pairs, members, path)
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return bpe.encode_column(docs, "text").select("doc_id", "ids")
