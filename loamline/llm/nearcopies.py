@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import components, element_hashes, flat_tokens, mix64, salted_members, verified_pairs, written
+from loamline.llm.common import components, element_hashes, flat_tokens, mix64, salted_members, text_keys, verified_pairs, written
 
 BITS, WORDS, SAMPLES, MISS, SIGMAS = 320, 5, 160, 0.002, 3.3
 
@@ -85,13 +85,6 @@ def band_keys(mins: np.ndarray, rows: int, bands: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def text_keys(texts: list[str]) -> list[bytes]:
-    """128-bit keys of the token sequences."""
-    import xxhash
-
-    return [xxhash.xxh3_128_digest(" ".join(t.split()).encode("utf-8", "surrogatepass")) for t in texts]
-
-
 def signatures(records: DataFrame, rows: int, bands: int) -> DataFrame:
     """Of rows (id, text) with tokens: id, key (of the token sequence), n (tokens), sketch, bands."""
     most = max(SAMPLES, rows * bands)
