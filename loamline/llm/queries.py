@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, history, mixing, nearcopies
+from loamline.llm import bpe, history, licenses, mixing, nearcopies
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -27,6 +27,10 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return nearcopies.groups(pairs, members, path)
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.resolve(table(spark, d, "provenance"), table(spark, d, "licenses"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     records = spread(table(spark, d, "kept_records").select(F.col("record_id").alias("id"), F.col("batch_no").alias("batch"), F.col("code_norm").alias("text")))
     return history.duplicates(records, SAME, shared_dir(spark))
