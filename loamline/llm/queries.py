@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, history, licenses, mixing, nearcopies
+from loamline.llm import bpe, history, licenses, mixing, nearcopies, secrets
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -36,6 +36,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return history.duplicates(records, SAME, shared_dir(spark))
 
 
+def _code(spark: SparkSession, d: str) -> DataFrame:
+    return spread(secrets.both_tables(table(spark, d, "documentation"), table(spark, d, "kept_records")))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.lines(_code(spark, d))
+
+
+def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.redacted(_code(spark, d))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return bpe.encode_column(docs, "text").select("doc_id", "ids")
