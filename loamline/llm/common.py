@@ -19,13 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt out over the cores before costly Python work on few files.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over the cores before costly Python work, if the scan alone gives fewer tasks than there are cores.
 
-    Round robin unless keys are given. A small input is often one file, and with it one task.
+    A small input is often one file, and with it one task; a large one has splits enough and is not shuffled.
     """
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def shared_dir(spark: SparkSession) -> str:
