@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, history, licenses, mixing, nearcopies, secrets
+from loamline.llm import bpe, history, languages, licenses, mixing, nearcopies, secrets
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -72,6 +72,23 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.sample(mixing.ranked(sizes), rate), rate)
 
 
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    return languages.segments(docs, languages.train(docs))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.found(_segments(spark, d))
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    return _segments(spark, d).select("doc_id", "seg_no", "lang", "confidence", "n_words")
+
+
+def p10_documents(spark: SparkSession, d: str) -> DataFrame:
+    return languages.of_documents(_segments(spark, d))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
