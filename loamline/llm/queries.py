@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, history, languages, licenses, mixing, nearcopies, secrets
+from loamline.llm import bpe, docpairs, history, languages, licenses, mixing, nearcopies, secrets
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -36,6 +36,15 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return history.duplicates(records, SAME, shared_dir(spark))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return docpairs.extract(spread(table(spark, d, "documentation"))).select("rec_id", "func_name")
+
+
+def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documentation")
+    return docpairs.with_code(docs, docpairs.extract(spread(docs)))
+
+
 def _code(spark: SparkSession, d: str) -> DataFrame:
     return spread(secrets.both_tables(table(spark, d, "documentation"), table(spark, d, "kept_records")))
 
