@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, docpairs, history, languages, licenses, mixing, nearcopies, secrets
+from loamline.llm import bpe, docpairs, history, languages, licenses, mixing, nearcopies, secrets, syntax
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -57,6 +57,18 @@ def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
     return secrets.redacted(_code(spark, d))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.checked(spread(table(spark, d, "source_files"))).where("edits > 0").select("file_id")
+
+
+def p7_repairs(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.checked(spread(table(spark, d, "source_files")))
+
+
+def p7_rates(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.rates(syntax.checked(spread(table(spark, d, "source_files"))))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return bpe.encode_column(docs, "text").select("doc_id", "ids")
