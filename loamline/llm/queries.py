@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import bpe, docpairs, history, languages, licenses, mixing, nearcopies, secrets, syntax
+from loamline.llm import bpe, docpairs, handwritten, history, languages, licenses, mixing, nearcopies, secrets, syntax
 from loamline.llm.common import shared_dir, spread, table, written
 
 
@@ -45,6 +45,25 @@ def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
     return docpairs.with_code(docs, docpairs.extract(spread(docs)))
 
 
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    files = spread(table(spark, d, "source_files"))
+    weights, cut, _, libs = handwritten.train(files, table(spark, d, "known_libs"))
+    return handwritten.scored(files, weights, cut, libs)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where(~F.col("hand_written")).select("file_id")
+
+
+def p5_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select("file_id", F.round("score", 6).alias("score"), "hand_written")
+
+
+def p5_validation(spark: SparkSession, d: str) -> DataFrame:
+    _, cut, figures, _ = handwritten.train(spread(table(spark, d, "source_files")), table(spark, d, "known_libs"))
+    return spark.createDataFrame([(k, float(v)) for k, v in {**figures, "threshold": cut}.items()], "figure string, value double")
+
+
 def _code(spark: SparkSession, d: str) -> DataFrame:
     return spread(secrets.both_tables(table(spark, d, "documentation"), table(spark, d, "kept_records")))
 
