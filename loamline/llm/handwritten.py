@@ -47,7 +47,7 @@ MACHINE_NAME = re.compile(r"(?i)_pb2(?:_grpc)?\.|\.pb\.|_stubs?\.|_parsetab\.|_l
 VENDOR_PLACE = re.compile(r"(?i)(?:^|/)_?(?:vendor(?:ed)?|third[_-]?party|3rd[_-]?party|externals?|extern|deps|node_modules|bower_components|site-packages|jspm_packages|contrib/import)(?:/|$)")
 _LOCK = re.compile(r'"(?:lockfileVersion|integrity|resolved|_resolved)"\s*:')
 _NUMBER = re.compile(r"(?<![\w.])-?\d+(?:\.\d+)?(?![\w.])")
-_BLOB = re.compile(r"[A-Za-z0-9+/=\\]{200,}")
+_BLOB = re.compile(r"[A-Za-z0-9+/=\\]{40,}")
 _RECORD = re.compile(r"\{[^{}]{0,400}\}")
 
 
@@ -65,7 +65,7 @@ def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
     longest = max(map(len, lines))
     blanks = sum(c.isspace() for c in code) / n
     digits = len("".join(_NUMBER.findall(code))) / n
-    blob = max((len(m) for m in _BLOB.findall(code)), default=0)
+    blob = sum(len(m) for m in _BLOB.findall(code))
     records = _RECORD.findall(code) if code.lstrip()[:1] == "[" or "= [{" in code[:200] else []
     rows = [x for x in lines if x.count(",") >= 3]
     return np.array(
@@ -77,7 +77,7 @@ def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
             bool(VENDOR_PLACE.search(low)),
             (longest > 400 and blanks < 0.11) or (n > 300 and blanks < 0.06 and longest > 200),
             digits > 0.2,
-            blob > 0.4 * n and blob >= 200,
+            blob > 0.5 * n and blob >= 200,
             len(records) >= 8 or (n > 400 and len(rows) > 0.9 * len(lines) and len({x.count(",") for x in rows}) == 1),
             len(_LOCK.findall(code)) >= 3,
         ],
