@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -18,6 +19,11 @@ def unified(a: str | None, b: str | None, name: str | None) -> str:
     )
 
 
-@F.pandas_udf("string")
-def unified_diff(a: pd.Series, b: pd.Series, name: pd.Series) -> pd.Series:
-    return pd.Series([unified(x, y, n) for x, y, n in zip(a, b, name, strict=True)])
+def unified_diff(a, b, name) -> Column:
+    """Column of diffs of two text columns; made when it is used, as workers import this module too."""
+
+    def run(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([unified(*t) for t in zip(x, y, n, strict=True)], dtype=object)
+
+    run.__annotations__ = {"x": pd.Series, "y": pd.Series, "n": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(a, b, name)

@@ -2,10 +2,492 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loamline.functions import text as T
+from loamline.functions.store import shared_dir, spread, written
+from loamline.functions.vectors import cosine
+from loamline.operators import dedup, discovery, extract, gate, tasks, validate
+from loamline.sources import files
+
+ALLOWED = ("MIT", "Apache-2.0", "BSD-3-Clause")
+SHINGLE, NEAR = 5, 0.8
+_Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _Q[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# ---- SQL fragments
+
+_WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WSN = r"[\x09\x0b-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_LE = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+
+
+def _strip(c: str) -> str:
+    return rf"regexp_replace(regexp_replace({c}, '^{_WS}+', ''), '{_WS}+$', '')"
+
+
+def _norm(c: str) -> str:
+    inner = rf"regexp_replace(regexp_replace(regexp_replace({c}, '{_LE}', chr(10), 'g'), '{_WSN}+(\n|\z)', '\1', 'g'), '\n{{3,}}', chr(10)||chr(10), 'g')"
+    return f"{_strip(inner)} || chr(10)"
+
+
+def _tokens(c: str) -> str:
+    return rf"list_filter(regexp_split_to_array({c}, '{_WS}+'), lambda t: t <> '')"
+
+
+def _lines(c: str) -> str:
+    s = rf"regexp_replace(regexp_replace({c}, '^\n+', ''), '\n+$', '')"
+    return rf"(CASE WHEN {s} = '' THEN [] ELSE regexp_split_to_array({s}, '{_LE}') END)"
+
+
+def _shingle_set(c: str) -> str:
+    t = _tokens(c)
+    return f"list_distinct(list_transform(range(1, greatest(len({t}) - {SHINGLE - 2}, 1)), lambda i: array_to_string(({t})[i:i + {SHINGLE - 1}], ' ')))"
+
+
+_UNITS = "SELECT * FROM kept_records"
+_EXACT = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sha256(code_norm) ORDER BY repo_full_name NULLS FIRST, file_path NULLS FIRST, start_line NULLS FIRST, record_id) AS rn FROM kept_records) WHERE rn = 1 OR code_norm IS NULL"
+_ALLOWED_SQL = "('MIT', 'Apache-2.0', 'BSD-3-Clause')"
+
+
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "kept_records")
+
+
+def _reps(spark: SparkSession, d: str) -> DataFrame:
+    """(id, text): the first record of each text."""
+    u = _units(spark, d).select(F.col("record_id").alias("id"), F.col("code_norm").alias("text")).where("text is not null")
+    return dedup.keep_first(u.withColumn("h", T.content_hash("text")), "h", "id").select("id", "text")
+
+
+_REPS_SQL = "SELECT min(record_id) AS id, code_norm AS text FROM kept_records WHERE code_norm IS NOT NULL GROUP BY code_norm"
+_PAIRS_SQL = f"""
+ reps AS ({_REPS_SQL}),
+ sh AS (SELECT id, {_shingle_set('text')} AS s FROM reps),
+ one AS (SELECT id, len(s) AS n, unnest(s) AS g FROM sh),
+ pairs AS (SELECT x.id AS a, y.id AS b, count(*) AS c, any_value(x.n) AS na, any_value(y.n) AS nb FROM one x JOIN one y ON x.g = y.g AND x.id < y.id GROUP BY x.id, y.id),
+ near AS (SELECT a, b, c / (na + nb - c) AS jaccard FROM pairs WHERE c / (na + nb - c) >= {NEAR})"""
+
+# ---- text
+
+
+@query(f"SELECT record_id, {_norm('code')} AS normalized FROM kept_records")
+def normalize_code(spark, d):
+    return _units(spark, d).select("record_id", T.normalize_code(F.col("code")).alias("normalized"))
+
+
+@query("SELECT record_id, sha256(code_norm) AS content_hash FROM kept_records")
+def content_hash(spark, d):
+    return _units(spark, d).select("record_id", T.content_hash("code_norm").alias("content_hash"))
+
+
+@query("SELECT DISTINCT repo_full_name, file_path, sha256(code) AS sha256 FROM source_files WHERE code IS NOT NULL")
+def file_hashes(spark, d):
+    return extract.file_hashes(_t(spark, d, "source_files"))
+
+
+@query(f"SELECT record_id, len({_tokens('code_norm')}) AS n_tokens, len({_shingle_set('code_norm')}) AS n_shingles FROM kept_records WHERE code_norm IS NOT NULL")
+def shingle_counts(spark, d):
+    t = T.tokens(F.col("code_norm"))
+    return _units(spark, d).where("code_norm is not null").select("record_id", F.size(t).alias("n_tokens"), F.size(T.shingles(t, SHINGLE)).alias("n_shingles"))
+
+
+@query("SELECT file_id, file_path FROM source_files WHERE regexp_matches(lower(file_path), '\\.(py|js|jsx|ts|tsx)$')")
+def source_listing(spark, d):
+    return extract.list_sources(_t(spark, d, "source_files"), ("python", "javascript")).select("file_id", "file_path")
+
+
+@query("SELECT record_id, loc FROM kept_records WHERE loc BETWEEN 5 AND 400")
+def loc_filter(spark, d):
+    return _units(spark, d).where(extract.loc_between(5, 400)).select("record_id", "loc")
+
+
+@query()
+def extract_functions(spark, d):
+    return extract.extract_functions(spread(_t(spark, d, "source_files")))
+
+
+# ---- duplicates
+
+
+@query(f"SELECT record_id, sha256(code_norm) AS content_hash FROM ({_EXACT})")
+def exact_dedup(spark, d):
+    return dedup.exact_dedup(_units(spark, d)).select("record_id", "content_hash")
+
+
+@query(f"WITH {_PAIRS_SQL} SELECT a, b, round(jaccard, 6) AS jaccard FROM near")
+def near_dup_pairs(spark, d):
+    return dedup.near_pairs(_reps(spark, d), SHINGLE, NEAR).withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query(f"SELECT k.record_id, r.id AS rep FROM kept_records k JOIN ({_REPS_SQL}) r ON k.code_norm = r.text UNION ALL SELECT record_id, record_id FROM kept_records WHERE code_norm IS NULL")
+def near_dup_members(spark, d):
+    u = _units(spark, d).select(F.col("record_id").alias("id"), F.col("code_norm").alias("text"))
+    return dedup.representatives(u).select(F.col("id").alias("record_id"), "rep")
+
+
+def _keep_sql(rounds: int = 12) -> str:
+    parts = [_PAIRS_SQL, " e0 AS MATERIALIZED (SELECT a, b FROM near)", " d0 AS (SELECT CAST(NULL AS BIGINT) AS id WHERE false)"]
+    for i in range(1, rounds + 1):
+        p = i - 1
+        parts.append(f" k{i} AS MATERIALIZED (SELECT DISTINCT a FROM e{p} WHERE a NOT IN (SELECT b FROM e{p}))")
+        parts.append(f" d{i} AS MATERIALIZED (SELECT DISTINCT b AS id FROM e{p} WHERE a IN (SELECT a FROM k{i}))")
+        parts.append(f" e{i} AS MATERIALIZED (SELECT a, b FROM e{p} WHERE a NOT IN (SELECT a FROM k{i}) AND a NOT IN (SELECT id FROM d{i}) AND b NOT IN (SELECT id FROM d{i}))")
+    dropped = " UNION ALL ".join(f"SELECT id FROM d{i}" for i in range(1, rounds + 1))
+    return "WITH " + ",".join(parts) + f" SELECT id FROM reps WHERE id NOT IN ({dropped})"
+
+
+@query(_keep_sql())
+def near_dup_keep(spark, d):
+    reps = written(_reps(spark, d), f"{shared_dir(spark)}/reps")
+    return dedup.greedy_keep(reps, dedup.near_pairs(reps, SHINGLE, NEAR))
+
+
+@query()
+def lsh_candidates(spark, d):
+    return dedup.lsh_candidates(_reps(spark, d), SHINGLE, NEAR)
+
+
+@query(f"WITH u AS (SELECT count(*) AS total, count(DISTINCT sha256(code_norm)) AS exact_unique FROM kept_records), n AS (SELECT count(*) AS near_unique FROM ({_keep_sql()})) SELECT total, exact_unique, near_unique, round(1 - near_unique / greatest(total, 1), 6) AS duplication_rate FROM u, n")
+def dedup_stats(spark, d):
+    return dedup.stats(_units(spark, d), near_dup_keep(spark, d))
+
+
+# ---- tasks
+
+_CUT = f"(SELECT *, {_lines('code_norm')} AS ls FROM kept_records)"
+
+
+@query(
+    f"SELECT record_id, n_lines, coalesce(language, CASE WHEN lower(file_path) LIKE '%.py' THEN 'python' ELSE 'unknown' END) AS language, provenance.license_spdx AS license, array_to_string(ls[1:len(ls) - n_lines], chr(10)) || chr(10) AS prefix, array_to_string(ls[len(ls) - n_lines + 1:], chr(10)) || chr(10) AS completion FROM (SELECT *, unnest([1, 3, 10]) AS n_lines FROM {_CUT}) WHERE len(ls) > n_lines"
+)
+def completion(spark, d):
+    return tasks.completion(_units(spark, d)).select("record_id", "n_lines", "language", "license", F.col("input.prefix").alias("prefix"), F.col("output.completion").alias("completion"))
+
+
+_BLANK = f"coalesce({_strip('docstring')} = '', true)"
+
+
+@query(f"SELECT record_id, code_norm AS code, CASE WHEN {_BLANK} THEN 'Function: ' || substr(split_part(code_norm, chr(10), 1), 1, 200) ELSE docstring END AS docstring, CASE WHEN {_BLANK} THEN 'heuristic' ELSE 'docstring' END AS source, {_BLANK} AS synthetic FROM kept_records")
+def documentation(spark, d):
+    return tasks.documentation(_units(spark, d)).select("record_id", "code", "docstring", "source", "synthetic")
+
+
+@query(f"SELECT record_id, code_norm AS pre, CASE WHEN {_strip(_norm('code_norm'))} = '' THEN code_norm ELSE {_strip(_norm('code_norm'))} END AS post FROM kept_records")
+def refactor_minimal(spark, d):
+    return tasks.refactor(_units(spark, d), diffs=False).select("record_id", "pre", "post")
+
+
+@query()
+def refactor(spark, d):
+    return tasks.refactor(spread(_units(spark, d))).select("record_id", "diff", "refactor_type", "verified", "synthetic")
+
+
+def _bug_sql() -> str:
+    out = "code_norm || chr(10) || '# FIXME: synthetic bug marker' || chr(10)"
+    for old, new in reversed(T.BUG_RULES):
+        out = f"CASE WHEN instr(code_norm, '{old}') > 0 THEN substr(code_norm, 1, instr(code_norm, '{old}') - 1) || '{new}' || substr(code_norm, instr(code_norm, '{old}') + {len(old)}) ELSE {out} END"
+    return out
+
+
+@query(f"SELECT record_id, {_bug_sql()} AS pre_snippet, code_norm AS post_snippet, coalesce(nullif(provenance.commit_sha, ''), 'synthetic') AS pre_commit FROM kept_records")
+def debugging_mutation(spark, d):
+    return tasks.debugging(_units(spark, d), diffs=False).select("record_id", "pre_snippet", "post_snippet", F.col("provenance.pre_commit").alias("pre_commit"))
+
+
+@query()
+def debugging(spark, d):
+    return tasks.debugging(spread(_units(spark, d))).select("record_id", "diff", "failing_tests", "stack_trace")
+
+
+# ---- manifest
+
+
+def _records(spark, d):
+    """What the four tasks give, as far as the manifest needs it."""
+    u = _units(spark, d)
+    null = F.lit(None).cast("string").alias("license")
+    parts = [
+        tasks.completion(u).select("task", "license", "language", F.col("provenance").isNotNull().alias("ok")),
+        tasks.documentation(u).select("task", "license", "language", F.col("provenance").isNotNull().alias("ok")),
+        tasks.refactor(u, diffs=False).select("task", null, "language", F.col("provenance").isNotNull().alias("ok")),
+        tasks.debugging(u, diffs=False).select("task", "license", "language", F.col("provenance").isNotNull().alias("ok")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_LANG = "coalesce(language, CASE WHEN lower(file_path) LIKE '%.py' THEN 'python' ELSE 'unknown' END)"
+_RECORDS_SQL = f"""(SELECT 'completion' AS task, provenance.license_spdx AS license, {_LANG} AS language FROM (SELECT *, unnest([1, 3, 10]) AS n FROM {_CUT}) WHERE len(ls) > n
+ UNION ALL SELECT unnest(['documentation', 'debugging']), provenance.license_spdx, {_LANG} FROM kept_records
+ UNION ALL SELECT 'refactor', NULL, {_LANG} FROM kept_records)"""
+
+
+@query(f"SELECT task, count(*) AS n FROM {_RECORDS_SQL} GROUP BY task")
+def manifest_counts_task(spark, d):
+    return validate.count_by(_records(spark, d), "task")
+
+
+@query(f"SELECT license, count(*) AS n FROM {_RECORDS_SQL} WHERE license <> '' GROUP BY license")
+def manifest_counts_license(spark, d):
+    return validate.count_by(_records(spark, d), "license")
+
+
+@query(f"SELECT language, count(*) AS n FROM {_RECORDS_SQL} WHERE language <> '' GROUP BY language")
+def manifest_counts_language(spark, d):
+    return validate.count_by(_records(spark, d), "language")
+
+
+@query()
+def dataset_manifest(spark, d):
+    u = _units(spark, d)
+    rate = u.agg((1 - F.count_distinct("code_norm") / F.greatest(F.count("*"), F.lit(1))).alias("duplication_rate"))
+    return validate.manifest(_records(spark, d), rate, F.col("ok"))
+
+
+_V = {
+    "id": "CASE WHEN id IS NULL THEN 'id: null' END",
+    "task": "CASE WHEN task IS NULL THEN 'task: null' WHEN task <> 'documentation' THEN 'task: value' END",
+    "language": "CASE WHEN language IS NULL THEN 'language: null' END",
+    "license": "NULL",
+    "provenance": "CASE WHEN provenance IS NULL THEN 'provenance: null' END",
+    "code": "CASE WHEN code IS NULL THEN 'code: null' END",
+    "docstring": "CASE WHEN docstring IS NULL THEN 'docstring: null' END",
+    "source": "CASE WHEN source IS NULL THEN 'source: null' END",
+    "synthetic": "CASE WHEN synthetic IS NULL THEN 'synthetic: null' END",
+    **{f"p{i}": f"CASE WHEN provenance IS NULL THEN 'provenance.{c}: missing' WHEN provenance.{c} IS NULL THEN 'provenance.{c}: null'{extra} END" for i, (c, extra) in enumerate((("repo_full_name", ""), ("source", " WHEN provenance.source NOT IN ('github', 'gitlab') THEN 'provenance.source: value'"), ("clone_url", ""), ("default_branch", ""), ("commit_sha", ""), ("commit_date", ""), ("file_path", ""), ("lines", " WHEN len(provenance.lines) <> 2 THEN 'provenance.lines: length'")))},
+    **{f"n{c}": f"CASE WHEN provenance IS NULL THEN 'provenance.{c}: missing' END" for c in ("license_spdx", "license_text")},
+}
+
+
+@query(f"SELECT rec_id, array_to_string(list_filter([{', '.join(_V.values())}], lambda x: x IS NOT NULL), '; ') AS violations FROM documentation")
+def schema_violations(spark, d):
+    docs = _t(spark, d, "documentation")
+    lines = docs.select("rec_id", F.to_json(F.struct(*[c for c in docs.columns if c != "rec_id"]), {"ignoreNullFields": "false"}).alias("value"))
+    return validate.violations(lines, "documentation").select("rec_id", F.array_join("violations", "; ").alias("violations"))
+
+
+# ---- gate
+
+
+def _findings(spark, d):
+    p = _t(spark, d, "provenance")
+    return p.select(F.col("repo_full_name").alias("repo"), F.col("prov_id").alias("ord"), F.trim("license_spdx").alias("spdx"), F.col("license_text").alias("matched_text"))
+
+
+_FINDINGS = "(SELECT repo_full_name AS repo, prov_id AS ord, trim(license_spdx, ' ') AS spdx, license_text AS matched_text FROM provenance)"
+_VOTE = f"""(SELECT repo, spdx AS license, n AS votes, (SELECT arg_min(f.matched_text, f.ord) FROM {_FINDINGS} f WHERE f.repo = v.repo AND f.spdx <> '' AND f.matched_text <> '') AS matched_text
+ FROM (SELECT repo, spdx, count(*) AS n, row_number() OVER (PARTITION BY repo ORDER BY count(*) DESC, min(ord)) AS rn FROM {_FINDINGS} WHERE spdx <> '' GROUP BY repo, spdx) v WHERE rn = 1)"""
+
+
+@query(f"SELECT * FROM {_VOTE}")
+def license_vote(spark, d):
+    return gate.license_vote(_findings(spark, d))
+
+
+def _secret_rows(spark, d):
+    u = _units(spark, d)
+    return u.where(F.contains("code", F.lit("PRIVATE KEY-----"))).select(F.col("repo_full_name").alias("repo"), F.lit("private-key").alias("rule"), "record_id")
+
+
+@query("SELECT repo_full_name AS repo, 'private-key' AS rule, record_id FROM kept_records WHERE contains(code, 'PRIVATE KEY-----')")
+def secret_scan(spark, d):
+    return _secret_rows(spark, d)
+
+
+def _gated(spark, d):
+    r = _t(spark, d, "repos").groupBy("repo_full_name").agg(F.min("license_hint").alias("hint")).withColumnRenamed("repo_full_name", "repo")
+    vote = gate.license_vote(_findings(spark, d)).select("repo", F.col("license").alias("detected"), F.lit(True).alias("scan"))
+    bad = _secret_rows(spark, d).groupBy("repo").agg(F.lit(True).alias("has_secrets"))
+    j = r.join(vote, "repo", "left").join(bad, "repo", "left").withColumn("scanned", F.coalesce("scan", F.lit(False)))
+    return gate.gate(j, ALLOWED)
+
+
+_GATE = f"""(SELECT repo, CASE WHEN scanned THEN coalesce(nullif(detected, ''), nullif(hint, '')) ELSE nullif(hint, '') END AS license, scanned, sec FROM (
+ SELECT r.repo, r.hint, v.license AS detected, v.repo IS NOT NULL AS scanned, s.repo IS NOT NULL AS sec FROM (SELECT repo_full_name AS repo, min(license_hint) AS hint FROM repos GROUP BY 1) r
+ LEFT JOIN {_VOTE} v ON v.repo = r.repo LEFT JOIN (SELECT DISTINCT repo_full_name AS repo FROM kept_records WHERE contains(code, 'PRIVATE KEY-----')) s ON s.repo = r.repo))"""
+_STATUS = f"CASE WHEN NOT scanned THEN CASE WHEN coalesce(license IN {_ALLOWED_SQL}, false) THEN 'ok' ELSE 'blocked_license_scanner_unavailable' END WHEN sec THEN 'quarantined_secrets' WHEN coalesce(license IN {_ALLOWED_SQL}, false) THEN 'ok' ELSE 'blocked_license' END"
+
+
+@query(f"SELECT repo, license, {_STATUS} AS status FROM {_GATE}")
+def gate_status(spark, d):
+    return _gated(spark, d).select("repo", "license", "status")
+
+
+@query(f"SELECT repo, license FROM {_GATE} WHERE {_STATUS} = 'quarantined_secrets'")
+def quarantine(spark, d):
+    return gate.split_by_status(_gated(spark, d))["quarantined"].select("repo", "license")
+
+
+@query("SELECT r.repo, coalesce(n, 0) AS n_findings FROM (SELECT DISTINCT repo_full_name AS repo FROM repos) r LEFT JOIN (SELECT repo_full_name AS repo, count(*) AS n FROM kept_records WHERE contains(code, 'PRIVATE KEY-----') GROUP BY 1) f ON f.repo = r.repo")
+def stub_reports(spark, d):
+    r = _t(spark, d, "repos").select(F.col("repo_full_name").alias("repo")).distinct()
+    return gate.with_reports(r, _secret_rows(spark, d)).select("repo", F.size("findings").cast("bigint").alias("n_findings"))
+
+
+# ---- discovery
+
+
+def _items(spark, d):
+    """Repositories with a total order that does not depend on files: later finds of a key differ in their time stamps."""
+    r = _t(spark, d, "repos")
+    return r.withColumn("ord", F.struct("fetch_timestamp", "source", "repo_full_name", F.coalesce("stars", F.lit(-1)).alias("s"), F.coalesce("semantic_score", F.lit(-1.0)).alias("c"), F.coalesce("license_hint", F.lit("")).alias("l")))
+
+
+_ORD = "fetch_timestamp NULLS FIRST, source NULLS FIRST, repo_full_name NULLS FIRST, coalesce(stars, -1), coalesce(semantic_score, -1.0), coalesce(license_hint, '')"
+_DISTINCT = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, repo_full_name ORDER BY {_ORD}) AS rn FROM repos) WHERE rn = 1)"
+
+
+def _distinct(spark, d):
+    return discovery.key_distinct(_items(spark, d))
+
+
+@query(f"SELECT source, repo_full_name, stars, semantic_score FROM {_DISTINCT}")
+def repo_key_distinct(spark, d):
+    return _distinct(spark, d).select("source", "repo_full_name", "stars", "semantic_score")
+
+
+@query(f"SELECT source, repo_full_name FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_ORD}) AS k FROM {_DISTINCT}) WHERE k <= 10")
+def per_source_limit(spark, d):
+    return discovery.per_source_limit(_distinct(spark, d), 10).select("source", "repo_full_name")
+
+
+@query(f"SELECT source, repo_full_name, stars FROM {_DISTINCT} WHERE stars >= 100")
+def star_filter(spark, d):
+    i = _distinct(spark, d)
+    return i.where(discovery.min_stars(F.col("stars"), 100)).select("source", "repo_full_name", "stars")
+
+
+@query(f"SELECT source, repo_full_name FROM {_DISTINCT} WHERE coalesce(list_contains(list_transform(topics, lambda t: lower(t)), 'python'), false) OR contains(lower(concat_ws(' ', description, array_to_string(topics, ' '))), 'python')")
+def language_filter(spark, d):
+    i = _distinct(spark, d)
+    return i.where(discovery.names_language(("python",), F.col("topics"), F.col("description"), F.array_join("topics", " "))).select("source", "repo_full_name")
+
+
+@query(f"SELECT source, repo_full_name, concat_ws(chr(10), coalesce(repo_full_name, ''), coalesce(description, ''), coalesce(array_to_string(topics, ' '), ''), substr(coalesce(readme_head, ''), 1, 2000)) AS corpus FROM {_DISTINCT}")
+def corpus_text(spark, d):
+    return _distinct(spark, d).select("source", "repo_full_name", discovery.corpus_text(F.col("repo_full_name"), F.col("description"), F.col("topics"), F.col("readme_head")).alias("corpus"))
+
+
+@query(f"SELECT source, repo_full_name, semantic_score FROM {_DISTINCT} WHERE semantic_score >= 0.7 ORDER BY semantic_score DESC, {_ORD} LIMIT 50")
+def semantic_topk(spark, d):
+    return discovery.rank(_distinct(spark, d), 0.70, 50).select("source", "repo_full_name", "semantic_score")
+
+
+@query(f"SELECT source, repo_full_name, stars FROM {_DISTINCT} ORDER BY coalesce(stars, 0) DESC, {_ORD} LIMIT 50")
+def stars_fallback_topk(spark, d):
+    i = _distinct(spark, d).withColumn("semantic_score", F.lit(None).cast("double"))
+    return discovery.rank(i, 0.70, 50).select("source", "repo_full_name", "stars")
+
+
+def _vectors(spark, d):
+    return _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+
+
+@query("SELECT e.vec_id AS id, round(list_cosine_similarity(e.embedding, q.embedding), 5) AS sim FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE e.vec_id <> 0 ORDER BY list_cosine_similarity(e.embedding, q.embedding) DESC, e.vec_id LIMIT 20")
+def embedding_topk(spark, d):
+    """The twenty vectors nearest to vector 0: a top-k report."""
+    v = _vectors(spark, d)
+    q = v.where("id = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
+    return discovery.similar(v.where("id <> 0"), q).orderBy(F.desc("sim"), "id").limit(20).select("id", F.round("sim", 5).alias("sim"))
+
+
+_SIM = "list_cosine_similarity(e.embedding, q.embedding)"
+_QUERIES = "(SELECT vec_id AS q_id, embedding FROM embeddings WHERE vec_id % 20 = 0)"
+
+
+@query(f"SELECT q_id, count(*) AS n FROM embeddings e, {_QUERIES} q WHERE {_SIM} >= 0.7 AND e.vec_id <> q.q_id GROUP BY q_id")
+def semantic_threshold(spark, d):
+    """How many vectors are near each of the stated queries (ids divisible by 20)."""
+    v = _vectors(spark, d)
+    q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
+    return discovery.similar(v, q).where("sim >= 0.7 and id <> q_id").groupBy("q_id").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH s AS (SELECT q_id, e.vec_id AS id, {_SIM} AS sim FROM embeddings e, {_QUERIES} q), t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY sim DESC, id) AS rn FROM s) WHERE rn <= 10)
+ SELECT q_id, k, count(*) FILTER (sim >= round(0.5 + 0.05 * k, 10)) / 10 AS p10 FROM t, range(9) g(k) GROUP BY q_id, k"""
+)
+def precision_grid(spark, d):
+    v = _vectors(spark, d)
+    q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
+    return discovery.precision_at_10(discovery.similar(v, q)).select("q_id", F.col("k").cast("bigint").alias("k"), "p10")
+
+
+@query(
+    f"""WITH s AS (SELECT q_id, e.vec_id AS id, {_SIM} AS sim FROM embeddings e, {_QUERIES} q), t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY sim DESC, id) AS rn FROM s) WHERE rn <= 10),
+ p AS (SELECT q_id, k, round(0.5 + 0.05 * k, 10) AS threshold, count(*) FILTER (sim >= round(0.5 + 0.05 * k, 10)) / 10 AS p10 FROM t, range(9) g(k) GROUP BY q_id, k)
+ SELECT CAST(coalesce((SELECT threshold FROM p WHERE p10 > 0 ORDER BY p10 DESC, q_id, k LIMIT 1), 0.7) AS DOUBLE) AS threshold, CAST(coalesce((SELECT max(p10) FROM p), 0.0) AS DOUBLE) AS p10"""
+)
+def calibration(spark, d):
+    v = _vectors(spark, d)
+    q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
+    return discovery.calibrate(discovery.similar(v, q))
+
+
+# ---- joins
+
+
+def _repo_provenance(spark, d):
+    """One row per repository: that of its smallest prov_id."""
+    p = _t(spark, d, "provenance")
+    cols = [c for c in p.columns if c != "repo_full_name"]
+    return p.groupBy("repo_full_name").agg(F.min_by(F.struct(*cols), "prov_id").alias("p")).select("repo_full_name", "p.*").drop("file_path", "lines")
+
+
+@query("SELECT k.record_id, p.source, p.commit_sha, p.license_spdx, k.start_line AS first_line, k.end_line AS last_line FROM kept_records k LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY prov_id) AS rn FROM provenance) WHERE rn = 1) p ON p.repo_full_name = k.repo_full_name WHERE p.repo_full_name IS NOT NULL")
+def provenance_attach(spark, d):
+    u = _units(spark, d).drop("provenance")
+    j = extract.attach_provenance(u, _repo_provenance(spark, d)).where("provenance is not null")
+    p = F.col("provenance")
+    return j.select("record_id", p["source"].alias("source"), p["commit_sha"].alias("commit_sha"), p["license_spdx"].alias("license_spdx"), p["lines"][0].alias("first_line"), p["lines"][1].alias("last_line"))
+
+
+@query("SELECT source, repo_full_name, clone_url, default_branch, license_hint FROM (SELECT source, repo_full_name, clone_url, coalesce(nullif(default_branch, ''), 'main') AS default_branch, license_spdx AS license_hint, row_number() OVER (PARTITION BY repo_full_name ORDER BY prov_id) AS rn FROM provenance) WHERE rn = 1 AND repo_full_name <> '' AND clone_url <> '' AND source <> ''")
+def rebuilt_manifest(spark, d):
+    return files.rebuild_manifest(_repo_provenance(spark, d), "prov_id").select("source", "repo_full_name", "clone_url", "default_branch", "license_hint")
+
+
+def _cached(spark, d):
+    """A cache that holds the texts of batch 0."""
+    return _units(spark, d).where("batch_no = 0").select(T.content_hash("code_norm").alias("key"), F.col("loc").alias("value"))
+
+
+@query("SELECT record_id FROM kept_records WHERE batch_no > 0 AND NOT EXISTS (SELECT 1 FROM kept_records o WHERE o.batch_no = 0 AND o.code_norm = kept_records.code_norm)")
+def cache_miss(spark, d):
+    new = _units(spark, d).where("batch_no > 0").select("record_id", T.content_hash("code_norm").alias("key"))
+    return discovery.cache_misses(new, _cached(spark, d), "key").select("record_id")
+
+
+@query("SELECT record_id FROM kept_records WHERE batch_no > 0 AND code_norm IN (SELECT code_norm FROM kept_records WHERE batch_no = 0)")
+def cache_hit(spark, d):
+    new = _units(spark, d).where("batch_no > 0").select("record_id", T.content_hash("code_norm").alias("key"))
+    return discovery.cache_hits(new, _cached(spark, d), "key").select("record_id")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
