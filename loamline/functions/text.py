@@ -59,17 +59,18 @@ def lines(c: Column) -> Column:
 
 
 def shingles(toks: Column, k: int) -> Column:
-    """Distinct k-token shingles; fewer than k tokens give an empty array (the guard sits inside the expression)."""
-    n = F.size(toks)
-    return F.when(
-        n >= k,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))),
-                lambda i: F.array_join(F.slice(toks, i, F.lit(k)), " "),
-            )
-        ),
-    ).otherwise(F.when(n.isNotNull(), F.array().cast("array<string>")))
+    """Distinct k-token shingles; fewer than k tokens give an empty array (the guard sits inside the expression).
+
+    The tokens are bound to a lambda variable, so they are made once per row and not once per shingle.
+    """
+    none = F.array().cast("array<string>")
+
+    def of(t: Column) -> Column:
+        n = F.size(t)
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(t, i, F.lit(k)), " "))
+        return F.when(n >= k, F.array_distinct(cut)).when(n.isNotNull(), none)
+
+    return F.transform(F.array(toks), of)[0]
 
 
 def content_hash(c: Column) -> Column:

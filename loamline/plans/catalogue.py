@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from loamline.functions import text as T
 from loamline.functions.store import shared_dir, spread, written
-from loamline.functions.vectors import cosine
 from loamline.operators import dedup, discovery, extract, gate, tasks, validate
 from loamline.sources import files
 
@@ -107,7 +106,7 @@ def file_hashes(spark, d):
 @query(f"SELECT record_id, len({_tokens('code_norm')}) AS n_tokens, len({_shingle_set('code_norm')}) AS n_shingles FROM kept_records WHERE code_norm IS NOT NULL")
 def shingle_counts(spark, d):
     t = T.tokens(F.col("code_norm"))
-    return _units(spark, d).where("code_norm is not null").select("record_id", F.size(t).alias("n_tokens"), F.size(T.shingles(t, SHINGLE)).alias("n_shingles"))
+    return _units(spark, d).where("code_norm is not null").select("record_id", F.size(t).cast("bigint").alias("n_tokens"), F.size(T.shingles(t, SHINGLE)).cast("bigint").alias("n_shingles"))
 
 
 @query("SELECT file_id, file_path FROM source_files WHERE regexp_matches(lower(file_path), '\\.(py|js|jsx|ts|tsx)$')")
@@ -404,7 +403,7 @@ def _vectors(spark, d):
     return _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
 
 
-@query("SELECT e.vec_id AS id, round(list_cosine_similarity(e.embedding, q.embedding), 5) AS sim FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE e.vec_id <> 0 ORDER BY list_cosine_similarity(e.embedding, q.embedding) DESC, e.vec_id LIMIT 20")
+@query("SELECT e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 5) AS sim FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE e.vec_id <> 0 ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id LIMIT 20")
 def embedding_topk(spark, d):
     """The twenty vectors nearest to vector 0: a top-k report."""
     v = _vectors(spark, d)
@@ -412,16 +411,16 @@ def embedding_topk(spark, d):
     return discovery.similar(v.where("id <> 0"), q).orderBy(F.desc("sim"), "id").limit(20).select("id", F.round("sim", 5).alias("sim"))
 
 
-_SIM = "list_cosine_similarity(e.embedding, q.embedding)"
+_SIM = "list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))"
 _QUERIES = "(SELECT vec_id AS q_id, embedding FROM embeddings WHERE vec_id % 20 = 0)"
 
 
-@query(f"SELECT q_id, count(*) AS n FROM embeddings e, {_QUERIES} q WHERE {_SIM} >= 0.7 AND e.vec_id <> q.q_id GROUP BY q_id")
+@query(f"SELECT q_id, count(*) AS n FROM embeddings e, {_QUERIES} q WHERE {_SIM} >= 0.3 AND e.vec_id <> q.q_id GROUP BY q_id")
 def semantic_threshold(spark, d):
     """How many vectors are near each of the stated queries (ids divisible by 20)."""
     v = _vectors(spark, d)
     q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
-    return discovery.similar(v, q).where("sim >= 0.7 and id <> q_id").groupBy("q_id").agg(F.count("*").alias("n"))
+    return discovery.similar(v, q).where("sim >= 0.3 and id <> q_id").groupBy("q_id").agg(F.count("*").alias("n"))
 
 
 @query(
