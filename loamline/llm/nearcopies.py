@@ -112,13 +112,25 @@ def signatures(records: DataFrame, rows: int, bands: int) -> DataFrame:
     return records.select("id", "text").mapInPandas(sign, "id bigint, key binary, n int, sketch array<bigint>, bands array<bigint>")
 
 
-def classes(signed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+def keys(records: DataFrame) -> DataFrame:
+    """(id, key of the token sequence) of the records with tokens."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            p = p[[isinstance(t, str) and not (t == "" or t.isspace()) for t in p.text]]
+            yield pd.DataFrame({"id": p.id, "key": text_keys(p.text.tolist())})
+
+    return records.select("id", "text").mapInPandas(run, "id bigint, key binary")
+
+
+def classes(records: DataFrame, rows: int, bands: int, path: str) -> tuple[DataFrame, DataFrame]:
     """(classes: rep, n, sketch, bands; members: rep, id). A class's rep is its smallest id. Both are written."""
+    signed = signatures(records, rows, bands)
     reps = signed.groupBy("key").agg(F.min_by(F.struct("id", "n", "sketch", "bands"), "id").alias("r"), F.count("*").alias("n_members"))
     reps = written(reps.select("key", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sketch").alias("sketch"), F.col("r.bands").alias("bands"), "n_members"), f"{path}/classes")
     multiple = reps.where("n_members > 1").select("key", "rep")
     # members of classes of one need no join: the class is the record
-    copies = signed.select("id", "key").join(multiple, "key").select("rep", "id")
+    copies = keys(records).join(multiple, "key").select("rep", "id")
     members = written(copies, f"{path}/copies").union(reps.where("n_members = 1").select("rep", F.col("rep").alias("id")))
     return reps.select("rep", "n", "sketch", "bands"), members
 
@@ -143,7 +155,7 @@ def candidates(reps: DataFrame, threshold: float) -> DataFrame:
 def class_pairs(records: DataFrame, threshold: float, path: str) -> tuple[DataFrame, DataFrame]:
     """(pairs of reps a < b with their similarity, members rep, id) of rows (id, text); id must be unique."""
     rows, bands = banding(threshold, records.count())
-    reps, members = classes(signatures(records, rows, bands), path)
+    reps, members = classes(records, rows, bands, path)
     cand = written(candidates(reps, threshold), f"{path}/candidates")
     named = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = written(records.join(named, "id", "left_semi").select("id", "text"), f"{path}/texts")

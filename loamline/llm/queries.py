@@ -133,5 +133,17 @@ def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
 
+_WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_PAIRS = f"""t AS (SELECT record_id, unnest(list_filter(regexp_split_to_array(code_norm, '{_WS}+'), lambda x: x <> '')) AS w FROM kept_records),
+ o AS (SELECT record_id, w, row_number() OVER (PARTITION BY record_id, w) AS k FROM t),
+ n AS (SELECT record_id, count(*) AS n FROM t GROUP BY record_id),
+ c AS (SELECT a.record_id AS x, b.record_id AS y, count(*) AS c FROM o a JOIN o b ON a.w = b.w AND a.k = b.k AND a.record_id < b.record_id GROUP BY 1, 2),
+ p AS (SELECT x AS record_a, y AS record_b FROM c JOIN n na ON na.record_id = x JOIN n nb ON nb.record_id = y WHERE c / (na.n + nb.n - c) >= 0.7)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": f"WITH {_PAIRS} SELECT record_a, record_b FROM p",
+        "p3_found": f"""WITH {_PAIRS}, d AS (SELECT record_a AS a, record_b AS b FROM p UNION ALL SELECT record_b, record_a FROM p)
+ SELECT k.record_id, CASE WHEN bool_or(h.code_norm = k.code_norm) THEN 'exact' ELSE 'near' END AS kind FROM d JOIN kept_records k ON k.record_id = d.a JOIN kept_records h ON h.record_id = d.b AND h.batch_no < k.batch_no GROUP BY k.record_id""",
+    }
