@@ -30,7 +30,7 @@ def raw_files(spark: SparkSession, root: str) -> DataFrame:
     """(file_path below root, content, code): every file, recursively; bytes that are no UTF-8 become replacement characters."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     rel = F.regexp_replace("path", "^file:/*" + root.replace("file://", "").strip("/").replace(".", "\\.") + "/", "")
-    return df.select(rel.alias("file_path"), "content", F.decode("content", "UTF-8").alias("code"))
+    return df.select(rel.alias("file_path"), "content", F.make_valid_utf8(F.col("content").cast("string")).alias("code"))
 
 
 def license_reports(spark: SparkSession, path: str) -> DataFrame:
