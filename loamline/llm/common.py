@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.functions import store
+from loamline.functions.store import remove, shared_dir, spread  # noqa: F401  (used by the other modules)
+
 #: Rows per Arrow batch for functions that read texts, so that one batch stays small in a Python worker.
 ARROW_ROWS = 2000
 
@@ -19,41 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over the cores before costly Python work, if the scan alone gives fewer tasks than there are cores.
-
-    A small input is often one file, and with it one task; a large one has splits enough and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share.
-
-    The setting is read from the session. Only where it is unset (tests, one machine) a local folder is chosen and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/loamline-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     """Writes the rows below path and reads them back: cuts the lineage and survives the loss of executors."""
-    w = df.write.mode("overwrite").option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    if not partition_by:
+        return store.written(df, path)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def flat_tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """White-space tokens of a batch of texts as (text number, token hash, occurrence of that token in its text).
 
