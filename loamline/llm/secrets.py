@@ -34,9 +34,9 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 # Words of identifiers that hold credentials, and words that show that an identifier holds something else.
 NAMED = frozenset("password passwd pwd pass passphrase passcode secret token apikey credential credentials creds".split())
 KEYS = frozenset("api access private secret auth signing encryption master account storage shared".split())
+HASHES = frozenset("sha sha1 sha256 sha512 md5 hash checksum integrity commit revision rev uuid guid pub public pinned".split())
 OTHER = frozenset(
-    "sha sha1 sha256 sha512 md5 hash digest checksum integrity commit revision rev uuid guid pub public pinned field label placeholder "
-    "hint path file icon image type length len regex pattern url uri endpoint header name column env var title message msg error prompt text".split()
+    "digest field label placeholder hint path file icon image type length len regex pattern url uri endpoint header name column env var title message msg error prompt text".split()
 )
 # What stands where a secret should be.
 PLACEHOLDER = re.compile(
@@ -98,13 +98,21 @@ def strong(s: str) -> bool:
     return usable(s, 8) and digit and (lower or upper) and ((mark and re.search(r"[!#$%&?*^~]", s) is not None) or (lower and upper and len(s) >= 12 and _irregular(s)))
 
 
+def _random(s: str, least: int = 16) -> bool:
+    """A long mixture of small and capital letters and digits."""
+    lower, upper, digit, _ = _kinds(s)
+    return usable(s, least) and ((lower and upper and digit) or _irregular(s))
+
+
 def _of_name(name: str) -> str:
-    """'named' for identifiers of credentials, 'key' for those that only end in key, else ''."""
+    """'named' for identifiers of credentials, 'soft' for those whose last words may say what else it is about one, 'key' for
+    those that only end in key, else ''."""
     words = [w.lower() for w in _WORDS.findall(name)]
-    if any(w in OTHER for w in words):
+    if any(w in HASHES for w in words):
         return ""
-    if any(w in NAMED for w in words) or any(a in KEYS and b in ("key", "keys") for a, b in zip(words, words[1:], strict=False)):
-        return "named"
+    at = [i for i, w in enumerate(words) if w in NAMED] + [i + 1 for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if a in KEYS and b in ("key", "keys")]
+    if at:
+        return "soft" if any(w in OTHER for w in words[max(at) + 1 :]) else "named"
     return "key" if words and words[-1] in ("key", "auth", "access") else ""
 
 
@@ -200,8 +208,10 @@ def _find(code: str, lexer: re.Pattern, depth: int) -> list[tuple[int, int]]:
                     call = left.rstrip().endswith("(")
                     if kind == "named":
                         hit = not call or re.search(r"\d", s) is not None
+                    elif kind == "soft":
+                        hit = strong(s) or _random(s) or re.fullmatch(r"[0-9a-f]{32,}", s) is not None
                     elif kind == "key":
-                        hit = usable(s, 16) and _irregular(s)
+                        hit = _random(s)
                 elif (call := _CALL.search(left)) and _of_name(call["n"]) == "named":
                     hit = strong(s)
                 if not hit and _AFTER_ID.match(s) and spans and re.search(r"(?:AKIA|ASIA)[0-9A-Z]{16}[\"'`],\s*$", left):
