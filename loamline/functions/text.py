@@ -119,3 +119,18 @@ def mangle_repo(name: Column, sha: Column) -> Column:
 def record_id(*parts: Column) -> Column:
     """Stable id made from content, so that a retried task gives the same ids."""
     return F.substring(F.sha2(F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts]), 256), 1, 32)
+
+
+def iso_utc(seconds: Column) -> Column:
+    """Epoch seconds as naive UTC text, 2025-01-31T12:00:00."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def tail(c: Column, n: int = 20_000) -> Column:
+    """The last n characters."""
+    return F.right(c, F.lit(n))
+
+
+def run_status(returncode: Column, timed_out: Column, has_tests: Column) -> Column:
+    """What a recorded test run means: skipped, timeout, error (no return code), ok or fail."""
+    return F.when(~F.coalesce(has_tests, F.lit(True)), "skipped").when(F.coalesce(timed_out, F.lit(False)), "timeout").when(returncode.isNull(), "error").when(returncode == 0, "ok").otherwise("fail")

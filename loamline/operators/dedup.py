@@ -68,6 +68,20 @@ def sure_banding(threshold: float, perms: int, miss: float = 1e-4) -> tuple[int,
     return perms, 1
 
 
+def _band_keys(x: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """texts x bands: hashes of `rows` minima each, over the elements x of texts that begin at starts."""
+    out = np.empty((len(starts), bands), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(bands):
+            h = np.full(len(starts), k + 1, np.uint64)
+            for j in range(k * rows, (k + 1) * rows):
+                m = np.minimum.reduceat((x * a[j] + b[j]) >> np.uint64(16), starts)
+                h = (h ^ m) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+            out[:, k] = h
+    return out
+
+
 def minhash_bands(shingled: DataFrame, perms: int, bands: int, rows: int, collapse_short: bool = False) -> DataFrame:
     """Of (id, shingles array<bigint>) rows (id, band_key). Empty shingle sets give none, or, with collapse_short, all the same."""
     rng = np.random.default_rng(1)
@@ -76,21 +90,19 @@ def minhash_bands(shingled: DataFrame, perms: int, bands: int, rows: int, collap
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            ids, keys = [], []
-            for i, sh in zip(p.id, p.shingles, strict=True):
-                x = np.asarray(sh, np.int64).view(np.uint64)
-                if not len(x) and not collapse_short:
-                    continue
-                with np.errstate(over="ignore"):
-                    m = ((x[None, :] * a[:, None] + b[:, None]) >> np.uint64(16)).min(axis=1) if len(x) else np.zeros(perms, np.uint64)
-                    for k in range(bands):
-                        h = np.uint64(k + 1)
-                        for v in m[k * rows : (k + 1) * rows]:
-                            h = (h ^ v) * np.uint64(0x9E3779B97F4A7C15)
-                            h ^= h >> np.uint64(29)
-                        ids.append(i)
-                        keys.append(h)
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "band_key": np.array(keys, np.uint64).view(np.int64)})
+            n = np.fromiter(map(len, p.shingles), np.int64, len(p))
+            some = np.flatnonzero(n)
+            ids = p.id.to_numpy()
+            out = []
+            if len(some):
+                x = np.concatenate([np.asarray(p.shingles.iloc[i], np.int64) for i in some]).view(np.uint64)
+                starts = np.cumsum(n[some]) - n[some]
+                out.append((ids[some], _band_keys(x, starts, a, b, bands, rows)))
+            if collapse_short and len(some) < len(p):
+                none = np.flatnonzero(n == 0)
+                out.append((ids[none], np.tile(np.arange(bands, dtype=np.uint64), (len(none), 1))))
+            for i, keys in out:
+                yield pd.DataFrame({"id": np.repeat(i, bands), "band_key": keys.ravel().view(np.int64)})
 
     return shingled.select("id", "shingles").mapInPandas(run, "id bigint, band_key bigint")
 

@@ -46,6 +46,17 @@ def corpus_text(name: Column, description: Column, topics: Column, readme: Colum
     return F.concat_ws("\n", F.coalesce(name, e), F.coalesce(description, e), F.coalesce(F.array_join(topics, " "), e), F.substring(F.coalesce(readme, e), 1, 2000))
 
 
+# Names under which a readme is looked for, in this order.
+README_NAMES = ("README.md", "README.rst", "README.txt", "README", "readme.md")
+
+
+def readme_preview(repos: DataFrame, files: DataFrame, names: tuple[str, ...] = README_NAMES) -> DataFrame:
+    """Adds readme_head to repositories: the first 2,000 characters of the first of the names that has a non-blank file; '' if none has."""
+    rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("file_path"))
+    found = files.where(F.col("file_path").isin(*names) & ~T.is_blank(F.col("code"))).groupBy("repo_full_name").agg(F.min_by(F.substring("code", 1, 2000), rank).alias("readme_head"))
+    return repos.drop("readme_head").join(found, "repo_full_name", "left").withColumn("readme_head", F.coalesce("readme_head", F.lit("")))
+
+
 def per_source_limit(items: DataFrame, n: int, ord_col: str = "ord") -> DataFrame:
     """The first n of each source. Spark pushes the limit below the window's shuffle (WindowGroupLimit)."""
     return items.withColumn("__rn", F.row_number().over(W.partitionBy("source").orderBy(ord_col))).where(F.col("__rn") <= n).drop("__rn")

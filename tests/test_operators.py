@@ -200,6 +200,19 @@ def test_sources_and_sinks(spark, tmp_path):
     assert '"license":null' in spark.read.text(str(tmp_path / "out")).first().value
 
 
+def test_readme_and_runs(spark):
+    from loamline.functions import text as T
+
+    repos_ = spark.createDataFrame([("a", "old"), ("b", None), (None, None)], "repo_full_name string, readme_head string")
+    f = spark.createDataFrame([("a", "README.txt", "third"), ("a", "README.md", " "), ("a", "docs/README.md", "no"), ("a", "README.rst", "x" * 3000), ("b", "README.md", None)], "repo_full_name string, file_path string, code string")
+    got = {r.repo_full_name: r.readme_head for r in discovery.readme_preview(repos_, f).collect()}
+    assert got == {"a": "x" * 2000, "b": "", None: ""}
+    runs = spark.createDataFrame([(0, False, True), (1, None, None), (None, True, True), (None, False, True), (5, False, False)], "rc int, late boolean, tests boolean")
+    assert [r.s for r in runs.select(T.run_status(F.col("rc"), F.col("late"), F.col("tests")).alias("s")).collect()] == ["ok", "fail", "timeout", "error", "skipped"]
+    row = spark.range(1).select(T.iso_utc(F.lit(1738324800)).alias("t"), T.tail(F.lit("abcdef"), 3).alias("e")).first()
+    assert tuple(row) == ("2025-01-31T12:00:00", "def")
+
+
 def test_config(tmp_path):
     (tmp_path / "c.json").write_text('{"license": {"allowed_licenses": ["MIT", "BSD-2-Clause"]}, "dedup": {"lsh_threshold": 0.9}, "nothing": 1}')
     c = config.load(tmp_path / "c.json", allowed_licenses="MIT, ,ISC", max_loc=None)
