@@ -43,7 +43,7 @@ COPY_NOTICE = re.compile(
     r"^\W*[\w.\-]+ (?:v|version |- version |release )\d+(?:\.\d+)+\W*$|^\W*this is \w+ \(release \d|@license\b.*\bv?\d+\.\d+\.\d+|\b[\w\-]+@\d+\.\d+\.\d+\b"
 )
 # Names that tools give to what they write, and places of other projects' code.
-MACHINE_NAME = re.compile(r"(?i)_pb2(?:_grpc)?\.|\.pb\.|_stubs?\.|_parsetab\.|_lextab\.|\.generated\.|\.g\.\w+$|\.gen\.|\.min\.|\.bundle\.|\.[0-9a-f]{8,}\.\w+$|~[\w.\-]+\.js$|\.designer\.|\.lock\.json$|(?:^|/)(?:package-lock|npm-shrinkwrap|composer\.lock|yarn\.lock)")
+MACHINE_NAME = re.compile(r"(?i)_pb2(?:_grpc)?\.|_client\.|\.pb\.|_stubs?\.|_parsetab\.|_lextab\.|\.generated\.|\.g\.\w+$|\.gen\.|\.min\.|\.bundle\.|\.[0-9a-f]{8,}\.\w+$|~[\w.\-]+\.js$|\.designer\.|\.lock\.json$|(?:^|/)(?:package-lock|npm-shrinkwrap|composer\.lock|yarn\.lock)")
 VENDOR_PLACE = re.compile(r"(?i)(?:^|/)_?(?:vendor(?:ed)?|third[_-]?party|3rd[_-]?party|externals?|extern|deps|node_modules|bower_components|site-packages|jspm_packages|contrib/import)(?:/|$)")
 _LOCK = re.compile(r'"(?:lockfileVersion|integrity|resolved|_resolved)"\s*:')
 _NUMBER = re.compile(r"(?<![\w.])-?\d+(?:\.\d+)?(?![\w.])")
