@@ -6,8 +6,7 @@ Systematic sampling. Within a source, every document of a mix has the same expec
 
 The expected copies are summed up along the source's documents, one random offset per (mix, source) is added, and a
 document comes out once per integer that the running sum passes on it: floor(rate) or ceil(rate) times, never more
-than max_repeats. The documents are ordered by size, so the tokens reached differ from the target by little more than
-one document of each size class.
+than max_repeats. The documents are walked by size class, up and down again, so the tokens reached differ from the target by about one document.
 
 Running sums come without a window over a whole source: documents fall into blocks (source, size class, hash bucket)
 of bounded size, the blocks' counts are summed up, and ranks are counted within blocks.
@@ -34,10 +33,14 @@ def ranked(sizes: DataFrame) -> DataFrame:
     d = sizes.withColumn("size_class", F.floor(F.log2(F.col("n_tokens").cast("double")) * 4).cast("int")).withColumn(
         "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
     )
-    block = ["source", "size_class", "bucket"]
-    before = W.partitionBy("source").orderBy("size_class", "bucket").rowsBetween(W.unboundedPreceding, -1)
+    # even classes from small to large, then odd ones from large to small: the walk begins and ends at small documents, where
+    # what the offset cuts off weighs little, and what it picks too large on the way up it picks too small on the way down
+    d = d.withColumn("place", F.when(F.pmod("size_class", F.lit(2)) == 0, F.col("size_class")).otherwise(F.lit(2000) - F.col("size_class")))
+    block = ["source", "place", "bucket"]
+    before = W.partitionBy("source").orderBy("place", "bucket").rowsBetween(W.unboundedPreceding, -1)
     counts = d.groupBy(*block).agg(F.count("*").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    local = F.row_number().over(W.partitionBy(*block).orderBy("n_tokens", F.xxhash64("doc_id"), "doc_id"))
+    turn = F.col("n_tokens") * (1 - 2 * F.pmod("size_class", F.lit(2)))
+    local = F.row_number().over(W.partitionBy(*block).orderBy(turn, F.xxhash64("doc_id"), "doc_id"))
     return (
         d.withColumn("local", local)
         .join(counts.drop("n"), block)

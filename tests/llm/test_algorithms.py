@@ -184,6 +184,21 @@ def test_assignment_prefers_the_nearer_comment():
     assert docpairs.assign(f, [docpairs.Comment(3, 3, "# far", "line")]) == {}
 
 
+def test_assignment_costs_least():
+    from itertools import permutations
+
+    r = random.Random(11)
+    for _ in range(60):
+        links = {(i, j): round(r.random(), 3) for i in range(4) for j in range(4) if r.random() < 0.6}
+        got = docpairs._least_cost(links)
+        assert len(set(got.values())) == len(got) and all((i, j) in links for i, j in got.items())
+        best = (0, 0.0)
+        for p in permutations(range(4)):
+            own = [(i, j) for i, j in enumerate(p) if (i, j) in links]
+            best = min(best, (-len(own), round(sum(links[k] for k in own), 6)))
+        assert (-len(got), round(sum(links[k] for k in got.items()), 6)) == best
+
+
 # ---- 5
 
 
