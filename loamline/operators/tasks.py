@@ -26,14 +26,15 @@ def _language() -> Column:
 
 def completion(units: DataFrame, sizes: tuple[int, ...] = (1, 3, 10)) -> DataFrame:
     """Prefix and last n lines, for each n of sizes that is less than the number of lines."""
-    u = units.withColumn("__lines", T.lines("code_norm")).withColumn("n_lines", F.explode(F.array(*[F.lit(n) for n in sizes]))).where(F.size("__lines") > F.col("n_lines"))
+    # what the records need of the provenance is taken before the rows multiply, so that a scan can prune the rest
+    u = units.withColumn("__license", F.col("provenance.license_spdx")).withColumn("__lines", T.lines("code_norm")).withColumn("n_lines", F.explode(F.array(*[F.lit(n) for n in sizes]))).where(F.size("__lines") > F.col("n_lines"))
     cut = F.size("__lines") - F.col("n_lines")
     joined = lambda a: F.concat(F.array_join(a, "\n"), F.lit("\n"))
     return u.select(
         _keys("completion", F.col("n_lines")).alias("id"),
         F.lit("completion").alias("task"),
         _language().alias("language"),
-        F.col("provenance.license_spdx").alias("license"),
+        F.col("__license").alias("license"),
         "provenance",
         F.struct(joined(F.slice("__lines", F.lit(1), cut)).alias("prefix")).alias("input"),
         F.struct(joined(F.slice("__lines", cut + 1, F.col("n_lines"))).alias("completion")).alias("output"),

@@ -357,13 +357,14 @@ _ORD = "fetch_timestamp NULLS FIRST, source NULLS FIRST, repo_full_name NULLS FI
 _DISTINCT = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, repo_full_name ORDER BY {_ORD}) AS rn FROM repos) WHERE rn = 1)"
 
 
-def _distinct(spark, d):
-    return discovery.key_distinct(_items(spark, d))
+def _distinct(spark, d, *columns):
+    """Distinct repositories with the columns that a query needs: an aggregated struct is not pruned by itself."""
+    return discovery.key_distinct(_items(spark, d).select("source", "repo_full_name", "ord", *columns))
 
 
 @query(f"SELECT source, repo_full_name, stars, semantic_score FROM {_DISTINCT}")
 def repo_key_distinct(spark, d):
-    return _distinct(spark, d).select("source", "repo_full_name", "stars", "semantic_score")
+    return _distinct(spark, d, "stars", "semantic_score").select("source", "repo_full_name", "stars", "semantic_score")
 
 
 @query(f"SELECT source, repo_full_name FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {_ORD}) AS k FROM {_DISTINCT}) WHERE k <= 10")
@@ -373,29 +374,29 @@ def per_source_limit(spark, d):
 
 @query(f"SELECT source, repo_full_name, stars FROM {_DISTINCT} WHERE stars >= 100")
 def star_filter(spark, d):
-    i = _distinct(spark, d)
+    i = _distinct(spark, d, "stars")
     return i.where(discovery.min_stars(F.col("stars"), 100)).select("source", "repo_full_name", "stars")
 
 
 @query(f"SELECT source, repo_full_name FROM {_DISTINCT} WHERE coalesce(list_contains(list_transform(topics, lambda t: lower(t)), 'python'), false) OR contains(lower(concat_ws(' ', description, array_to_string(topics, ' '))), 'python')")
 def language_filter(spark, d):
-    i = _distinct(spark, d)
+    i = _distinct(spark, d, "topics", "description")
     return i.where(discovery.names_language(("python",), F.col("topics"), F.col("description"), F.array_join("topics", " "))).select("source", "repo_full_name")
 
 
 @query(f"SELECT source, repo_full_name, concat_ws(chr(10), coalesce(repo_full_name, ''), coalesce(description, ''), coalesce(array_to_string(topics, ' '), ''), substr(coalesce(readme_head, ''), 1, 2000)) AS corpus FROM {_DISTINCT}")
 def corpus_text(spark, d):
-    return _distinct(spark, d).select("source", "repo_full_name", discovery.corpus_text(F.col("repo_full_name"), F.col("description"), F.col("topics"), F.col("readme_head")).alias("corpus"))
+    return _distinct(spark, d, "description", "topics", "readme_head").select("source", "repo_full_name", discovery.corpus_text(F.col("repo_full_name"), F.col("description"), F.col("topics"), F.col("readme_head")).alias("corpus"))
 
 
 @query(f"SELECT source, repo_full_name, semantic_score FROM {_DISTINCT} WHERE semantic_score >= 0.7 ORDER BY semantic_score DESC, {_ORD} LIMIT 50")
 def semantic_topk(spark, d):
-    return discovery.rank(_distinct(spark, d), 0.70, 50).select("source", "repo_full_name", "semantic_score")
+    return discovery.rank(_distinct(spark, d, "semantic_score"), 0.70, 50).select("source", "repo_full_name", "semantic_score")
 
 
 @query(f"SELECT source, repo_full_name, stars FROM {_DISTINCT} ORDER BY coalesce(stars, 0) DESC, {_ORD} LIMIT 50")
 def stars_fallback_topk(spark, d):
-    i = _distinct(spark, d).withColumn("semantic_score", F.lit(None).cast("double"))
+    i = _distinct(spark, d, "stars").withColumn("semantic_score", F.lit(None).cast("double"))
     return discovery.rank(i, 0.70, 50).select("source", "repo_full_name", "stars")
 
 
