@@ -13,6 +13,12 @@ is twice as long. Not every position is kept: of each `window` neighbouring posi
 so any match of length + window - 1 tokens has a kept position in it. Lengths follow the records' sizes (LEVELS), and
 a record has entries at the levels of all sizes its partners can have, so both sides of a pair share a level.
 
+Matches of runs miss pairs whose edits are spread evenly or whose parts stand in another order, and hot starts may hide
+others. So each batch also leaves a table of prefixes, which is exact: a record's elements (token, occurrence) are put in
+one fixed order, rare ones first, and the first n - ceil(t n) + 1 are kept. Two records of similarity t or more share one
+of these, and the first they share leaves enough elements behind it in both (`shared_pairs`). The order is taken from
+the first load and stays; whatever it is, no pair is lost.
+
 Records with the same token sequence are one class; a class is searched and indexed once, when it first appears.
 
 Layout: entries are dealt by H1 into BUCKETS buckets, a bucket is kept as sorted chunks of at most CHUNK entries, and
@@ -33,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.common import flat_tokens, mix64, remove, text_keys, verified_pairs, written
+from loamline.llm.common import element_hashes, flat_tokens, mix64, remove, text_keys, verified_pairs, written
 
 #: (tokens of a record from which the level holds, length of a match in tokens, window)
 LEVELS = ((40, 6, 3), (12, 4, 2), (4, 2, 1), (1, 1, 1))
@@ -41,6 +47,10 @@ HOT, CHUNK, BUCKETS = 64, 1 << 16, 32
 ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("rec", "<i8")])
 #: Least share of a new record's tokens that must begin kept matches with an old one before their texts are compared.
 COVERAGE = 0.03
+#: Counters of elements that give the order of prefixes; elements that fall on one counter are ordered by their hashes.
+COUNTERS = 1 << 18
+#: What rounding may add to a product of a threshold and a number of tokens.
+ROUNDING = 1e-6
 
 
 def level(n: int) -> int:
@@ -204,13 +214,65 @@ def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield pd.DataFrame({"new": q, "old": h, "matches": n})
 
 
+def element_counts(records: DataFrame) -> np.ndarray:
+    """COUNTERS numbers: in how many of the rows (id, text) the elements of each counter stand."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, np.int64)
+        for p in batches:
+            _, h, occ = flat_tokens(p.text.tolist())
+            total += np.bincount((element_hashes(h, occ) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"k": at.astype(np.int32), "n": total[at]})
+
+    got = records.select("id", "text").mapInPandas(count, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[got.k.to_numpy()] = got.n.to_numpy()
+    return out
+
+
+def prefixes(records: DataFrame, shared, threshold: float) -> DataFrame:
+    """Of rows (id, text) rows (element, id, n, at): the elements of each record's prefix and their places in the order."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = shared.value
+        for p in batches:
+            texts = p.text.tolist()
+            doc, h, occ = flat_tokens(texts)
+            e = element_hashes(h, occ)
+            e = e[np.lexsort((e, counts[(e % np.uint64(COUNTERS)).astype(np.int64)], doc))]
+            n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
+            at = np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
+            size = n - np.ceil(threshold * n - ROUNDING).astype(np.int64) + 1
+            keep = at < np.repeat(size, n)
+            yield pd.DataFrame(
+                {"element": e[keep].view(np.int64), "id": p.id.to_numpy(np.int64)[doc[keep]], "n": np.repeat(n, n)[keep].astype(np.int32), "at": at[keep].astype(np.int32)}
+            )
+
+    return records.select("id", "text").mapInPandas(cut, "element bigint, id bigint, n int, at int")
+
+
+def shared_pairs(new: DataFrame, old: DataFrame, threshold: float) -> DataFrame:
+    """(new, old) of two tables of prefixes: a row per element from which on a pair can still reach the threshold."""
+    x, y = new.alias("x"), old.alias("y")
+    left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # what the two can have in common from here on
+    able = (
+        (F.col("x.element") == F.col("y.element"))
+        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * threshold - ROUNDING)
+        & (left >= (F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - ROUNDING)
+    )
+    return x.join(y, able).select(F.col("x.id").alias("new"), F.col("y.id").alias("old"))
+
+
 class History:
-    """Segments, class keys and candidate pairs of the batches accepted so far, below one folder."""
+    """Segments, prefixes, class keys and candidate pairs of the batches accepted so far, below one folder."""
 
-    def __init__(self, spark: SparkSession, path: str, partitions: int | None = None):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, partitions: int | None = None, threshold: float = 0.70):
+        self.spark, self.path, self.threshold = spark, path, threshold
         self.partitions = partitions or max(2, min(BUCKETS, spark.sparkContext.defaultParallelism))
         self.segments: list[tuple[int, str]] = []  # (entries, table)
+        self.prefixes: list[tuple[int, str]] = []  # (elements, table)
+        self.order = None
         self.keys: list[str] = []
         self.count = 0
         self.tag = uuid.uuid4().hex[:12]
@@ -223,6 +285,13 @@ class History:
         chunks.write.bucketBy(self.partitions, "bucket").option("path", f"{self.path}/segments/{name}").option("compression", "none").saveAsTable(name)
         return self.spark.table(name).agg(F.sum("n")).first()[0] or 0, name  # reads the column of counts only
 
+    def _store_prefixes(self, rows: DataFrame) -> tuple[int, str]:
+        """Writes rows (element, id, n, at) as a table bucketed by `element`."""
+        self.count += 1
+        name = f"loamline_{self.tag}_{self.count}"
+        rows.repartition(self.partitions, "element").write.bucketBy(self.partitions, "element").option("path", f"{self.path}/segments/{name}").option("compression", "zstd").saveAsTable(name)
+        return self.spark.table(name).count(), name
+
     def _drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(self.spark, f"{self.path}/segments/{name}")
@@ -230,8 +299,8 @@ class History:
     def accept(self, batch: DataFrame, number: int) -> DataFrame | None:
         """Searches and then indexes a batch (id, key, text), one row per class.
 
-        Classes that are in the history already are left out. Gives the pairs (new, old, matches) of ids, written below
-        the folder, or None for the first batch.
+        Classes that are in the history already are left out. Gives the pairs (new, old, matches, sharing) of ids, written
+        below the folder, or None for the first batch; `sharing` marks those that the prefixes name.
         """
         new = batch
         if self.keys:
@@ -241,31 +310,44 @@ class History:
         keys = f"{self.path}/keys/{number}"
         new.select("key").write.parquet(keys)
         size, segment = self._store(suffixes(new))
+        if self.order is None:
+            self.order = self.spark.sparkContext.broadcast(element_counts(new))
+        elements, prefix = self._store_prefixes(prefixes(new, self.order, self.threshold))
         found = None
         if self.segments and size:
             mine = self.spark.table(segment).select("bucket", "entries")
             hits = None
             for _, name in self.segments:
                 h = mine.join(self.spark.table(name).select("bucket", F.col("entries").alias("old")), "bucket").select("entries", "old").mapInPandas(_search, "new bigint, old bigint, matches bigint")
+                h = h.withColumn("sharing", F.lit(False))
                 hits = h if hits is None else hits.union(h)
-            found = written(hits.groupBy("new", "old").agg(F.sum("matches").alias("matches")), f"{self.path}/found/{number}")
+            for _, name in self.prefixes:
+                h = shared_pairs(self.spark.table(prefix), self.spark.table(name), self.threshold)
+                hits = hits.union(h.select("new", "old", F.lit(0).cast("bigint"), F.lit(True)))
+            found = written(hits.groupBy("new", "old").agg(F.sum("matches").alias("matches"), F.max("sharing").alias("sharing")), f"{self.path}/found/{number}")
         self.keys.append(keys)
         self.segments.append((size, segment))
+        self.prefixes.append((elements, prefix))
         self._merge()
         return found
 
     def _merge(self) -> None:
-        """While the last segment is not less than half as large as the one before, the two become one."""
+        """While the last segment, or table of prefixes, is not less than half as large as the one before, the two become one."""
         while len(self.segments) > 1 and 2 * self.segments[-1][0] >= self.segments[-2][0]:
             (_, a), (_, b) = self.segments.pop(), self.segments.pop()
             self.segments.append(self._store(self.spark.table(a).union(self.spark.table(b)).select("bucket", "entries")))
             self._drop(a)
             self._drop(b)
+        while len(self.prefixes) > 1 and 2 * self.prefixes[-1][0] >= self.prefixes[-2][0]:
+            (_, a), (_, b) = self.prefixes.pop(), self.prefixes.pop()
+            self.prefixes.append(self._store_prefixes(self.spark.table(a).union(self.spark.table(b))))
+            self._drop(a)
+            self._drop(b)
 
     def close(self) -> None:
-        for _, name in self.segments:
+        for _, name in [*self.segments, *self.prefixes]:
             self._drop(name)
-        self.segments = []
+        self.segments, self.prefixes = [], []
 
 
 def duplicates(records: DataFrame, threshold: float, path: str) -> DataFrame:
@@ -280,7 +362,7 @@ def duplicates(records: DataFrame, threshold: float, path: str) -> DataFrame:
         firsts.drop("n").join(records.select("id", "text"), "id").select("id", "key", "text", "batch"), f"{path}/reps", "batch"
     )  # each class once, in the folder of the batch in which it first appears
     numbers = sorted(r[0] for r in firsts.select("batch").distinct().collect())  # as many as there are batches
-    history = History(spark, path)
+    history = History(spark, path, threshold=threshold)
     found = None
     for number in numbers:
         hits = history.accept(reps.where(F.col("batch") == number), number)
@@ -288,13 +370,13 @@ def duplicates(records: DataFrame, threshold: float, path: str) -> DataFrame:
             found = hits if found is None else found.union(hits)
     near_keys = None
     if found is not None:
-        # pairs with enough matches whose numbers of tokens allow the threshold; only their texts are read
+        # pairs with enough matches or an element of both prefixes, whose numbers of tokens allow the threshold; only their texts are read
         sized = firsts.select("id", "n")
         likely = (
             found.join(sized.select(F.col("id").alias("new"), F.col("n").alias("n_new")), "new")
             .join(sized.select(F.col("id").alias("old"), F.col("n").alias("n_old")), "old")
             .where((F.col("n_new") >= F.floor(F.col("n_old") * threshold)) & (F.col("n_old") >= F.floor(F.col("n_new") * threshold)))
-            .where(F.col("matches") >= F.greatest(F.lit(1), F.floor(F.least("n_new", "n_old") * COVERAGE)))
+            .where(F.col("sharing") | (F.col("matches") >= F.greatest(F.lit(1), F.floor(F.least("n_new", "n_old") * COVERAGE))))
             .select(F.col("new").alias("a"), F.col("old").alias("b"))
         )
         likely = written(likely, f"{path}/likely")

@@ -90,6 +90,15 @@ def test_p3_equals_brute_force_over_batches(spark):
     assert history.duplicates(df.where("false"), 0.7, shared_dir(spark)).count() == 0
 
 
+def test_p3_finds_pairs_without_long_runs(spark):
+    base = [f"t{i}" for i in range(60)]
+    spaced = [f"x{i}" if i % 6 == 5 else w for i, w in enumerate(base)]  # 50 / 70, longest common run 5
+    entries = [f"k{i}: v{i}" for i in range(40)]
+    rows = [(1, 0, " ".join(base)), (2, 0, " ".join(entries)), (3, 0, " ".join(f"o{i}" for i in range(60))), (4, 1, " ".join(spaced)), (5, 1, " ".join(entries[::-1]))]
+    df = spark.createDataFrame(rows, "id bigint, batch int, text string")
+    assert sorted(tuple(x) for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()) == [(4, "near"), (5, "near")]
+
+
 def test_p3_segments_stay_logarithmic(spark):
     h = history.History(spark, shared_dir(spark), partitions=2)
     for n in range(9):
