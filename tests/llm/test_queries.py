@@ -99,6 +99,15 @@ def test_p3_finds_pairs_without_long_runs(spark):
     assert sorted(tuple(x) for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()) == [(4, "near"), (5, "near")]
 
 
+def test_p3_finds_variants_of_a_large_family(spark):
+    base = [f"t{i}" for i in range(60)]
+    variant = lambda k: " ".join(f"v{k}.{i}" if i % 8 == 7 else w for i, w in enumerate(base))  # noqa: E731  (53 / 67, runs of 7)
+    for family in (20, 300):  # the verdict on a pair must not depend on the size of the history
+        rows = [(k, 0, variant(k)) for k in range(family)] + [(1000, 1, variant(1000))]
+        df = spark.createDataFrame(rows, "id bigint, batch int, text string")
+        assert [tuple(x) for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()] == [(1000, "near")]
+
+
 def test_p3_segments_stay_logarithmic(spark):
     h = history.History(spark, shared_dir(spark), partitions=2)
     for n in range(9):
