@@ -300,6 +300,16 @@ def test_python_agrees_with_its_parser_on_damaged_files():
     for _ in range(400):
         t = r.choice(base)
         i = r.randrange(len(t))
+def test_one_slip_costs_one_edit_however_long_the_text():
+    lines = [f"v{i} = f(a{i}, 2) + [b, c].d" for i in range(240)]
+    lines[200] = "v = a b + c"
+    assert syntax.check("\n".join(lines) + "\n", "javascript")[::2] == (1, 201)
+    p = Parser(Grammar("S: E*\nE: T ('+' T)* ';'\nT: 'x' | 'y'"), lambda t: frozenset((t,)), frozenset())
+    seq = list("x+y+x;" * 400)
+    del seq[2001], seq[1501]
+    assert p.cost("S", tuple(seq)) == 2
+
+
         t = r.choice((t[:i], t[:i] + t[i + 1 :], t[:i] + r.choice("()[]:=,'\"{}\n +x1") + t[i:], t[:i] + t[i + r.randrange(2, 30) :]))
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
