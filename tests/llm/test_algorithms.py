@@ -172,6 +172,17 @@ def test_script_pairs():
     assert names_of("/** @param a */\nfunction f(a: number): string { return '' }\n/** Finds it again. */\nfunction g<T>(a: T): T { return a }\n", "typescript") == ["g"]
 
 
+def test_script_functions_with_long_types_and_signatures():
+    params = ",\n".join(f"  p{i}: Map<string, {{ a: number; b: Array<string> }}>" for i in range(30))
+    doc = "/** Loads the rows of a page from the store. */\n"
+    generic = ", ".join(f"T{i} extends {{ a: string; b: number }}" for i in range(30))
+    assert names_of(f"{doc}const handler: (\n{params}\n) => Promise<Row> = async (a) => {{ return a }}", "typescript") == ["handler"]
+    assert names_of(f"{doc}const load = (a: A): Promise<{{\n{params}\n}} | ((x: A) => void)> | Result<{generic.replace(' extends', ',')}> => a", "typescript") == ["load"]
+    assert names_of(f"class A {{\n{doc}  find<{generic}>(a: T0): T1 {{ return a }}\n}}", "typescript") == ["find"]
+    # a type ends where its line does unless it goes on: the field is no function
+    assert names_of(f"class A {{\n{doc}  size: number\n  run = (a) => {{ return a }}\n}}", "typescript") == []
+
+
 @pytest.mark.parametrize("text", ["", "   ", "---", "TODO", "Docstring.", "do it", "x = compute(y)", ":param a:\n:return:", "Do it function.", "noqa: E501", "???", "n/a", "@param a", None])
 def test_trivial_texts(text):
     assert not docpairs.informative(text, "do_it", ["a"])
