@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamline.llm import secrets
+
 #: Documented bound of the training sample (seed-labelled rows).
 TRAIN_ROWS = 8_000
 DIM = 1 << 16
@@ -51,14 +53,61 @@ _BLOB = re.compile(r"[A-Za-z0-9+/=\\]{40,}")
 _RECORD = re.compile(r"\{[^{}]{0,400}\}")
 
 
-def head_of(code: str) -> str:
-    """The first lines, where notices stand."""
-    return "\n".join(code[:4000].split("\n")[:12])
+# Notices that only forbid changes; deep in a file, hand-written comments say so too.
+_FORBIDS = re.compile(r"(?i)do not|changes will|rerun|nicht|ne pas|no |non |não|niet|не редактир|请勿|編集")
+_SUBJECT = re.compile(r"(?i)(?:this |the |dieser? |ce |este |questo |dit )?(?:file|code|module|datei|fichier|archivo|fichero|código|arquivo|bestand)\b")
+#: An array of records that is assigned, exported or the whole text, wherever it begins.
+_ARRAY = re.compile(r"(?:\A|=|\bdefault\b|\breturn\b)\s*\[\s*(?:\{[^{}]{0,400}\}[\s,]*+){8,}")
+
+
+def _comments(path: str, code: str) -> list[tuple[int, int]]:
+    """(start, end) of the comments, those in literals left out."""
+    lexer = secrets._PYTHON if path.lower().endswith((".py", ".pyi")) or (not path and re.search(r"(?m)^\s*#", code)) else secrets._SCRIPT
+    return [m.span() for m in lexer.finditer(code) if m["c"] is not None]
+
+
+def notices(path: str, code: str) -> tuple[set[int], set[int]]:
+    """Numbers of the lines (from 0) with a program's notice and with a notice of a copy.
+
+    In the first lines and in the comments before all code any form counts; in the comments after that, down to the last
+    line, a form that says what the file is: it begins the comment's line, or the file is its subject.
+    """
+    lines = code.split("\n")
+    made = {k for k, x in enumerate(lines[:12]) if NOTICE.search(x)}
+    copied = {k for k, x in enumerate(lines[:8]) if COPY_NOTICE.search(x)}
+    some = [k for k, x in enumerate(lines) if k >= 8 and (NOTICE.search(x) or COPY_NOTICE.search(x))]
+    if not some:
+        return made, copied
+    starts = np.cumsum([0, *(len(x) + 1 for x in lines)])
+    spans, at, lead = _comments(path, code), 0, 0
+    for a, b in spans:  # where the code begins
+        if code[at:a].strip():
+            break
+        at = lead = b
+    for k in some:
+        for a, b in spans:
+            lo, hi = max(a, int(starts[k])), min(b, int(starts[k]) + len(lines[k]))
+            if lo >= hi:
+                continue
+            text = code[lo:hi].lstrip(" \t#/*-;!\"'")
+            m = NOTICE.match(text)
+            if NOTICE.search(text) and (hi <= lead or (m and not _FORBIDS.match(m.group())) or _SUBJECT.match(text)):
+                made.add(k)
+            if COPY_NOTICE.search(text) and (hi <= lead or COPY_NOTICE.match(text)):
+                copied.add(k)
+    return made, copied
+
+
+def _data_array(path: str, code: str) -> bool:
+    """Whether arrays of records are most of the text besides comments."""
+    size = sum(m.end() - m.start() for m in _ARRAY.finditer(code))
+    return size > 0 and 2 * size > len(code) - sum(b - a for a, b in _comments(path, code))
 
 
 def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
     """FLAGS as 0/1."""
-    head, low = head_of(code), path.lower()
+    low = path.lower()
+    made, copied = notices(path, code)
     parts = re.split(r"[/._~\-]+", low)
     n = max(1, len(code))
     lines = code.split("\n")
@@ -70,15 +119,15 @@ def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
     rows = [x for x in lines if x.count(",") >= 3]
     return np.array(
         [
-            bool(NOTICE.search(head)),
-            any(COPY_NOTICE.search(x) for x in head.split("\n")[:8]),
+            bool(made),
+            bool(copied),
             any(p in libraries for p in parts),
             bool(MACHINE_NAME.search(low)),
             bool(VENDOR_PLACE.search(low)),
             (longest > 400 and blanks < 0.11) or (n > 300 and blanks < 0.06 and longest > 200),
             digits > 0.2,
             blob > 0.5 * n and blob >= 200,
-            len(records) >= 8 or (n > 400 and len(rows) > 0.9 * len(lines) and len({x.count(",") for x in rows}) == 1),
+            len(records) >= 8 or _data_array(path, code) or (n > 400 and len(rows) > 0.9 * len(lines) and len({x.count(",") for x in rows}) == 1),
             len(_LOCK.findall(code)) >= 3,
         ],
         np.float32,
@@ -91,11 +140,11 @@ def seed(flags: np.ndarray) -> int:
     return int(bool(f["notice"] or f["copy_notice"] or f["known_library"] or f["machine_name"] or f["dense_lines"] or f["numbers"] or f["blob"] or f["records"] or f["lock"]))
 
 
-def masked(code: str, libraries: frozenset[str]) -> str:
-    """The text without its giveaway header lines and names of known libraries."""
+def masked(code: str, libraries: frozenset[str], path: str = "") -> str:
+    """The text without the lines of its giveaway notices and names of known libraries."""
+    made, copied = notices(path, code)
     lines = code.split("\n")
-    lines[:12] = [x for x in lines[:12] if not (NOTICE.search(x) or COPY_NOTICE.search(x))]
-    text = "\n".join(lines)
+    text = "\n".join(x for k, x in enumerate(lines) if not (k in made or k in copied or (k < 12 and COPY_NOTICE.search(x))))
     return re.sub(r"[A-Za-z]{5,}", lambda m: "\x01lib" if m.group().lower() in libraries else m.group(), text)
 
 
@@ -119,7 +168,7 @@ def _grams(b: np.ndarray, n: int, salt: int) -> np.ndarray:
 
 def features(path: str, code: str, flags: np.ndarray, libraries: frozenset[str], hide: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(indices, values): three blocks of length 1 (text n-grams, shape n-grams, path components) and the flags."""
-    b = np.frombuffer(masked(code, libraries).encode("utf-8", "surrogatepass"), np.uint8)
+    b = np.frombuffer(masked(code, libraries, path).encode("utf-8", "surrogatepass"), np.uint8)
     shape = _SHAPE[b]
     idx, val = [], []
     for grams in (_grams(b, 3, 3), np.concatenate([_grams(shape, 4, 14), _grams(shape, 6, 16)])):

@@ -225,6 +225,21 @@ def test_seeds_and_masking():
     assert "vendored" not in m and "valvecore" not in m
 
 
+def test_notices_and_records_count_wherever_they_stand():
+    flag = lambda p, c: dict(zip(handwritten.FLAGS, handwritten.flags_of(p, c, frozenset()), strict=True))
+    licence = "".join(f"# Line {i} of a licence that goes on for long.\n" for i in range(30))
+    code = "".join(f"x{i} = call(x{i - 1})\n" for i in range(1, 40))
+    made = licence + "# Code generated by t. DO NOT EDIT.\n" + code
+    assert flag("a.py", made)["notice"] and "generated by" not in handwritten.masked(made, frozenset(), "a.py")
+    assert flag("a.py", licence + "# vendored from valvecore\n" + code)["copy_notice"]
+    assert flag("a.py", code + "# @generated by t from a.yaml\n")["notice"]
+    assert flag("a.js", "var a=1;" * 600 + "\n// Code generated by t. DO NOT EDIT.\n")["notice"]
+    assert flag("a.js", "//" + licence.replace("\n", "\n//") + "\nexport const rows = [\n" + "  { a: 1, b: 'x' },\n" * 20 + "];\n")["records"]
+    # neither literals of a generator nor remarks within hand-written code
+    by_hand = code + 'HEAD = """\n# Code generated by t. DO NOT EDIT.\n"""\n# ids stay as they are; do not edit them by hand\n# do not modify the order\n'
+    assert not flag("a.py", by_hand)["notice"] and not flag("a.js", "call(1);\n" * 40 + "f([{ a: 1 }]);\n")["records"]
+
+
 def test_support_vectors_separate():
     r = np.random.default_rng(0)
     rows = [(np.array([5 if y else 6, int(r.integers(100, 2000))]), np.array([1, 1], np.float32), y) for y in (0, 1) for _ in range(100)]
