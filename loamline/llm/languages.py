@@ -134,16 +134,18 @@ def language_set(like: np.ndarray) -> tuple[list[int], np.ndarray]:
     chosen = [int(like.sum(axis=0).argmax())]
     pi, best = proportions(like[:, chosen])
     while len(chosen) < like.shape[1]:
-        full, _ = proportions(like)
+        least = best + PENALTY + np.log(len(like))
+        top = like[:, chosen].max(axis=1, keepdims=True)
+        most = np.maximum(like, top).sum(axis=0)  # no mixture with a further language is likelier than that
         tries = []
-        for k in np.argsort(-full)[:4]:
-            if int(k) not in chosen:
-                q, ll = proportions(like[:, [*chosen, int(k)]])
-                tries.append((ll, int(k), q))
+        for k in range(like.shape[1]):
+            if k not in chosen and most[k] > least:
+                q, ll = proportions(like[:, [*chosen, k]])
+                tries.append((ll, k, q))
         if not tries:
             break
         ll, k, q = max(tries, key=lambda x: x[0])
-        if ll - best <= PENALTY + np.log(len(like)):
+        if ll <= least:
             break
         chosen, pi, best = [*chosen, k], q, ll
     return chosen, pi

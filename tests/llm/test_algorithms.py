@@ -273,17 +273,6 @@ def test_credentials(code, lines):
     assert secrets.begin_lines(code or "", secrets.find(code, "python")) == lines
 
 
-def test_redaction_keeps_the_code_whole():
-    code = "a = {'pwd': 'LnuoVNmU7155F&b9', \"n\": 1}\r\nb = 'sk-own-1MbHIKHSYjVzNvwXyOKbDpY4oT'\r\n"
-    clean = secrets.redact(code, secrets.find(code, "python"))
-    assert "Lnuo" not in clean and "1MbH" not in clean and clean.count("\r\n") == 2
-    assert ast.dump(ast.parse(clean)).replace("REDACTED", "") and secrets.find(clean, "python") == []
-
-
-def test_very_long_text_is_read_to_the_end():
-    code = "x = 1\n" * 20000 + "db_password = 'Coupon-552-invoice#'\n"
-    assert secrets.begin_lines(code, secrets.find(code, "python")) == [20001]
-
 @pytest.mark.parametrize(
     "code",
     [
@@ -297,6 +286,17 @@ def test_each_form_of_credential_is_found_alone(code):
     assert secrets.begin_lines(code, secrets.find(code, "python")) == [1]
 
 
+def test_redaction_keeps_the_code_whole():
+    code = "a = {'pwd': 'LnuoVNmU7155F&b9', \"n\": 1}\r\nb = 'sk-own-1MbHIKHSYjVzNvwXyOKbDpY4oT'\r\n"
+    clean = secrets.redact(code, secrets.find(code, "python"))
+    assert "Lnuo" not in clean and "1MbH" not in clean and clean.count("\r\n") == 2
+    assert ast.dump(ast.parse(clean)).replace("REDACTED", "") and secrets.find(clean, "python") == []
+
+
+def test_very_long_text_is_read_to_the_end():
+    code = "x = 1\n" * 20000 + "db_password = 'Coupon-552-invoice#'\n"
+    assert secrets.begin_lines(code, secrets.find(code, "python")) == [20001]
+
 
 # ---- 7
 
@@ -315,6 +315,16 @@ GOOD_JS = "import a, { b as c } from 'd';\nexport default class extends B { stat
 GOOD_TS = "interface A<T extends object = {}> extends B<T> { readonly a?: string[]; (x: number): void; [k: string]: any }\ntype C = { [K in keyof A]?: A[K] } | ((x: 1) => asserts x is D) | readonly [a: 1, ...b: E<F<G>>]\nabstract class H implements I { private constructor(public a: J, private b?: K) { super() } abstract m<T>(this: H): x is T; }\nexport enum L { A, B = 1 << 2 }\ndeclare module 'x' { export const y: number }\nconst z = <T,>(a: T) => a as unknown as Array<Map<string, T>>\nfunction o(a: string): void\nfunction o(a: any) { return a! }\n"
 
 
+def test_one_slip_costs_one_edit_however_long_the_text():
+    lines = [f"v{i} = f(a{i}, 2) + [b, c].d" for i in range(240)]
+    lines[200] = "v = a b + c"
+    assert syntax.check("\n".join(lines) + "\n", "javascript")[::2] == (1, 201)
+    p = Parser(Grammar("S: E*\nE: T ('+' T)* ';'\nT: 'x' | 'y'"), lambda t: frozenset((t,)), frozenset())
+    seq = list("x+y+x;" * 400)
+    del seq[2001], seq[1501]
+    assert p.cost("S", tuple(seq)) == 2
+
+
 def test_valid_files_cost_nothing():
     assert [syntax.repair(t, g).cost for t, g in ((GOOD_PY, "python"), (GOOD_JS, "javascript"), (GOOD_TS, "typescript"), ('{"a": [1, -2.5e3, "\\u00e9"], "b": {}}', "json"), ("", "python"), ("// only\n", "javascript"))] == [0] * 6
 
@@ -326,16 +336,6 @@ def test_python_agrees_with_its_parser_on_damaged_files():
     for _ in range(400):
         t = r.choice(base)
         i = r.randrange(len(t))
-def test_one_slip_costs_one_edit_however_long_the_text():
-    lines = [f"v{i} = f(a{i}, 2) + [b, c].d" for i in range(240)]
-    lines[200] = "v = a b + c"
-    assert syntax.check("\n".join(lines) + "\n", "javascript")[::2] == (1, 201)
-    p = Parser(Grammar("S: E*\nE: T ('+' T)* ';'\nT: 'x' | 'y'"), lambda t: frozenset((t,)), frozenset())
-    seq = list("x+y+x;" * 400)
-    del seq[2001], seq[1501]
-    assert p.cost("S", tuple(seq)) == 2
-
-
         t = r.choice((t[:i], t[:i] + t[i + 1 :], t[:i] + r.choice("()[]:=,'\"{}\n +x1") + t[i:], t[:i] + t[i + r.randrange(2, 30) :]))
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
@@ -396,3 +396,16 @@ def test_mixture_of_two_languages():
         assert languages.segments_of(nothing, m) == []
     pi, _ = languages.proportions(m.matrix("the queue waits die datei ist fertig".split()))
     assert pi.argmax() in (0, 1) and abs(pi.sum() - 1) < 1e-9
+
+
+def test_mixture_of_six_languages():
+    six = ["en", "de", "fr", "es", "it", "nl"]
+    words = {k: [f"{c}{d}{c}{d}" for c in "bcdf" for d in "aeiou"] for k in languages.LANGUAGES}
+    words = {k: [w.translate(str.maketrans("bcdfaeiou", "".join(chr(0x3B1 + 20 * i + x) for x in range(9)))) for w in v] for i, (k, v) in enumerate(words.items())}
+    counts = np.zeros((len(languages.LANGUAGES), languages.BUCKETS))
+    for k, v in words.items():
+        for w in v:
+            np.add.at(counts[languages.LANGUAGES.index(k)], languages.grams(w), 50)
+    models = languages.Models(counts)
+    chosen, _ = languages.language_set(models.matrix([w for k in six for w in words[k]]))
+    assert {languages.LANGUAGES[k] for k in chosen} == set(six)
