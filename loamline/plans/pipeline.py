@@ -60,12 +60,15 @@ def run(spark: SparkSession, repos: DataFrame, provenance: DataFrame, sources: D
 
 
 def main(argv: list[str] | None = None) -> None:
-    """Offline run over saved inputs: a manifest, provenance folders, source files and scanner reports as Parquet or JSON."""
+    """Offline run over saved inputs: a manifest, provenance folders, source files and scanner reports as Parquet or JSON.
+
+    What only the search for repositories uses (languages, stars, number of repositories) is no option here: it is rejected.
+    """
     p = argparse.ArgumentParser()
     for name in ("repos", "provenance", "sources", "findings", "secrets", "out"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--config")
-    for name in ("allowed-licenses", "languages", "min-stars", "max-repos", "min-loc", "max-loc", "shingle-size", "num-perm", "lsh-threshold"):
+    for name in ("allowed-licenses", "min-loc", "max-loc", "shingle-size", "num-perm", "lsh-threshold"):
         p.add_argument(f"--{name}", type=int if name.split("-")[0] in ("min", "max", "shingle", "num") else float if name.startswith("lsh") else str)
     p.add_argument("--skip-security", action="store_true", default=None)
     a = vars(p.parse_args(argv))

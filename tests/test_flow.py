@@ -40,6 +40,14 @@ def test_whole_flow(spark, small, tmp_path):
     assert set(r.status for r in strict.collect()) <= {"ok", "blocked_license", "quarantined_secrets"}
 
 
+@pytest.mark.parametrize("option", ["--languages", "--min-stars", "--max-repos"])
+def test_options_that_the_flow_does_not_use_are_rejected(option, capsys):
+    needed = [x for name in ("repos", "provenance", "sources", "findings", "secrets", "out") for x in (f"--{name}", "nowhere")]
+    with pytest.raises(SystemExit):
+        pipeline.main([*needed, option, "1"])
+    assert f"unrecognized arguments: {option}" in capsys.readouterr().err
+
+
 def test_streams(spark, small, tmp_path):
     df = spark.read.parquet(f"{small}/kept_records.parquet").select("record_id", "code", "language", "accepted_ts")
     src = str(tmp_path / "in")
