@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -89,23 +90,33 @@ def multiset_jaccard(a: str, b: str) -> float:
     return common / either if either else 0.0
 
 
-def verified_pairs(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b) of distinct text ids those whose texts (id, text) have a multiset Jaccard of the threshold or more.
+def shared_elements(x: str, y: str):
+    """Jaccard of two columns of distinct elements (arrays): all in the JVM."""
+    common = F.size(F.array_intersect(x, y))
+    return common / F.greatest(F.size(x) + F.size(y) - common, F.lit(1))
 
-    Each text travels once per pair that names it; the pairs are those that survived the sketches.
-    """
-    t = texts.select("id", "text")
-    joined = pairs.join(t.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
-        t.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"
-    )
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def elements(texts: DataFrame) -> DataFrame:
+    """(id, elements): the distinct 64-bit hashes of (token, occurrence) of each text (id, text)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            sims = [multiset_jaccard(x, y) for x, y in zip(p.ta, p.tb, strict=True)]
-            p = p.assign(similarity=sims)
-            yield p.loc[p.similarity >= threshold, ["a", "b", "similarity"]]
+            doc, h, occ = flat_tokens(p.text.tolist())
+            n = np.bincount(doc, minlength=len(p))
+            yield pd.DataFrame({"id": p.id.to_numpy(np.int64), "elements": np.split(element_hashes(h, occ).view(np.int64), np.cumsum(n)[:-1])})
+
+    return texts.select("id", "text").mapInPandas(run, "id bigint, elements array<bigint>")
 
-    return joined.select("a", "b", "ta", "tb").mapInPandas(check, "a bigint, b bigint, similarity double")
+
+def verified_pairs(pairs: DataFrame, hashed: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (a, b) of distinct ids those whose elements (id, elements) have a Jaccard of the threshold or more.
+
+    Hashes travel, not texts: eight bytes a token, and what is compared are the pairs that survived the sketches.
+    """
+    x = hashed.select(F.col("id").alias("a"), F.col("elements").alias("x"))
+    y = hashed.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+    joined = pairs.join(x, "a").join(y, "b")
+    return joined.select("a", "b", shared_elements("x", "y").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def salted_members(members: DataFrame, key: str, row: str, block: int = 2000) -> tuple[DataFrame, DataFrame]:
@@ -123,16 +134,16 @@ def salted_members(members: DataFrame, key: str, row: str, block: int = 2000) ->
     return left, right
 
 
-def components(edges: DataFrame, path: str, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, path: str) -> DataFrame:
     """Connected components of (a, b): rows (id, class_id), class_id the smallest id reached.
 
     Large-star and small-star rounds (Kiveris et al., 2014), each written to the shared folder. A round moves every
-    edge at least one step towards its root, so the rounds are about the logarithm of the longest chain. Raises if
-    they are not done after max_rounds rather than give a partial result.
+    edge at least one step towards its root, so the rounds are about the logarithm of the longest chain; they go on until
+    nothing moves.
     """
     spark = edges.sparkSession
     e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{path}/e0")
-    for i in range(1, max_rounds + 1):
+    for i in count(1):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         root = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(root, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -151,7 +162,5 @@ def components(edges: DataFrame, path: str, max_rounds: int = 60) -> DataFrame:
             break
         remove(spark, f"{path}/e{i - 1}")
         e = new
-    else:
-        raise RuntimeError(f"components: not settled after {max_rounds} rounds")
     pairs = new.select(F.col("u").alias("id"), F.col("v").alias("class_id"))
     return pairs.union(pairs.select(F.col("class_id").alias("id"), "class_id").distinct())

@@ -1,221 +1,80 @@
 """Problem 3: new batches against all history, by suffix arrays that are never rebuilt.
 
-Each accepted batch leaves an immutable segment: the suffixes of its records' token streams, sorted by the tokens they
-begin with. A new batch is turned into such a segment too, and its entries are searched in the older segments by binary
-search. Matches of `length` tokens are added up per (new record, old record); pairs with enough of them are checked
-exactly on their texts. Segments of about the same size are merged, so there are logarithmically many, and every entry
-is rewritten logarithmically often. The history's texts are read only for the pairs left to check.
-
-How an entry stands for a suffix: H1, 64 bits, hashes its first `length` tokens, H2, 32 bits, the next `length`. Order
-by (H1, H2) puts suffixes with a common start side by side, which is all that prefix search needs. A start that
-more than HOT entries of a chunk share (boilerplate) counts as a match only if H2 agrees too, that is, if the match
-is twice as long. Not every position is kept: of each `window` neighbouring positions that with the smallest hash is,
-so any match of length + window - 1 tokens has a kept position in it. Lengths follow the records' sizes (LEVELS), and
-a record has entries at the levels of all sizes its partners can have, so both sides of a pair share a level.
-
-Matches of runs miss pairs whose edits are spread evenly or whose parts stand in another order, and hot starts may hide
-others. So each batch also leaves a table of prefixes, which is exact: a record's elements (token, occurrence) are put in
-one fixed order, rare ones first, and the first n - ceil(t n) + 1 are kept. Two records of similarity t or more share one
-of these, and the first they share leaves enough elements behind it in both (`shared_pairs`). The order is taken from
-the first load and stays; whatever it is, no pair is lost.
+Each accepted batch leaves an immutable segment: the suffixes of its records' token streams in lexicographic order, cut
+into chunks of neighbouring suffixes. The suffixes of a new batch are looked up in the older segments by binary search;
+the lengths of the matches add up to a coverage per (new record, old record), pairs whose coverage allows the threshold
+are checked exactly. Segments of about the same size are merged (two sorted runs into one), so there are logarithmically
+many and every suffix is rewritten logarithmically often.
+
+The token stream. Similarity is that of token multisets, so order in the text does not count: a record's stream is its
+elements (token, occurrence) in one fixed order, rare ones first. Edits spread over the text and parts that stand in another
+order then leave long common runs, and the search is exact: of two records of similarity t or more with n and m
+elements, the first n - ceil(t n) + 1 and m - ceil(t m) + 1 elements of the streams share one at least. So suffixes begin
+at those positions only. The order is counted on the first load and stays; whatever it is, no pair is lost.
+
+An entry is a suffix: its first W elements (32 bits each), the one before, the record, the record's size, the position, and
+an odd sketch of the record: the parity of its elements on 128 bits. Two sketches differ in no more bits than the records
+differ in elements, so most chance matches end within the search, without loss (`search`).
+
+Common starts. Where an element begins more than PROBE suffixes of a chunk, the PROBE nearest in suffix order are taken, those
+with the longest matches. A record that is found in this way needs nothing else, however large its family; what is not found
+is searched once more without the limit. So the result does not depend on PROBE, on sizes or on chunks.
+
+Layout: suffixes fall into cells, ranges of their first element; a cell that holds much of a batch is dealt over SUBS parts by
+record, so that no task gets all suffixes of an element that a third of all rows share. Segments are tables bucketed by
+(cell, sub), so a search shuffles the new batch only. `History.open` goes on where another session has stopped: the
+manifest below the folder names what belongs to it, and it is written last.
 
 Records with the same token sequence are one class; a class is searched and indexed once, when it first appears.
 
-Layout: entries are dealt by H1 into BUCKETS buckets, a bucket is kept as sorted chunks of at most CHUNK entries, and
-segments are bucketed tables in the shared folder, so a search shuffles the new batch only. A start that a third of all
-rows share makes more chunks of one bucket, not larger ones.
-
 Cases: null, empty and blank texts are never duplicates and are not indexed; null batch numbers come after all others;
 repeated rows within one batch are no history to one another; batches are processed by number, late rows included.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.common import element_hashes, flat_tokens, mix64, remove, text_keys, verified_pairs, written
-
-#: (tokens of a record from which the level holds, length of a match in tokens, window)
-LEVELS = ((40, 6, 3), (12, 4, 2), (4, 2, 1), (1, 1, 1))
-HOT, CHUNK, BUCKETS = 64, 1 << 16, 32
-ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("rec", "<i8")])
-#: Least share of a new record's tokens that must begin kept matches with an old one before their texts are compared.
-COVERAGE = 0.03
-#: Counters of elements that give the order of prefixes; elements that fall on one counter are ordered by their hashes.
-COUNTERS = 1 << 18
+from loamline.llm.common import element_hashes, flat_tokens, remove, shared_elements, text_keys, written
+
+#: Elements of a suffix that an entry holds; longer matches go on in the entries that follow.
+W = 4
+PROBE, CHUNK, SUBS = 64, 4096, 64
+#: Share of an Arrow batch's suffixes from which a cell is dealt over SUBS parts.
+MUCH = 0.02
+ENTRY = np.dtype([("e", ">u4", W), ("prev", "<u4"), ("rec", "<i8"), ("n", "<u4"), ("at", "<u4"), ("sketch", "<u8", 2)])
+CHUNKS = "cell int, sub int, lo binary, first bigint, last bigint, entries binary"
+MARKED = "id bigint, key binary, exact binary, n int, elements array<bigint>"
+#: Counters of elements that give the order of streams; elements that fall on one counter are ordered by their hashes.
+COUNTERS = 1 << 20
 #: What rounding may add to a product of a threshold and a number of tokens.
 ROUNDING = 1e-6
+#: Ids of which records' elements are fetched by a broadcast (8 MB); beyond that by a shuffle.
+FEW = 1_000_000
 
 
-def level(n: int) -> int:
-    return next(i for i, (least, _, _) in enumerate(LEVELS) if n >= least)
-
-
-def _entries(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray, ids: np.ndarray, which: int) -> np.ndarray:
-    """Entries of the level for the given records (positions in `hashes` by starts and counts)."""
-    _, length, window = LEVELS[which]
-    m = counts - length + 1
-    keep = m > 0
-    starts, counts, ids, m = starts[keep], counts[keep], ids[keep], m[keep]
-    if not len(m):
-        return np.empty(0, ENTRY)
-    rec = np.repeat(np.arange(len(m)), m)
-    at = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-    pos, left = np.repeat(starts, m) + at, np.repeat(counts, m) - at  # left: tokens up to the record's end
-    with np.errstate(over="ignore"):
-        h1 = np.full(len(pos), which + 1, np.uint64)
-        h2 = np.full(len(pos), which + 7, np.uint64)
-        for k in range(length):
-            h1 = mix64(h1 * np.uint64(0x9E3779B97F4A7C15) + hashes[pos + k])
-            there = left > length + k
-            nxt = np.where(there, hashes[np.minimum(pos + length + k, len(hashes) - 1)], np.uint64(0))
-            h2 = mix64(h2 * np.uint64(0x9E3779B97F4A7C15) + nxt)
-    kept = np.ones(len(pos), bool)
-    if window > 1:  # winnowing: a position is kept if it has the least hash of some run of `window` positions
-        kept[:] = False
-        last = np.repeat(m, m) - 1
-        small = h1 >> np.uint64(1)
-        most = np.uint64(0xFFFFFFFFFFFFFFFF)
-        for back in range(window):  # the run that begins `back` positions earlier
-            first = at - back
-            ok = (first >= 0) & (first + window - 1 <= last)
-            least = ok.copy()
-            for k in range(window):
-                j = np.clip(np.arange(len(pos)) - back + k, 0, len(pos) - 1)
-                other = np.where(ok, small[j], most)
-                least &= (small < other) | ((small == other) & (k >= back)) if k != back else ok
-            kept |= least
-        short = np.repeat(m < window, m)
-        kept |= short
-    out = np.empty(int(kept.sum()), ENTRY)
-    out["h1"], out["h2"], out["rec"] = h1[kept], (h2[kept] >> np.uint64(32)).astype(np.uint32), ids[rec[kept]]
-    return out
-
-
-def fingerprints(records: DataFrame, *extra: str) -> DataFrame:
-    """Of rows (id, text, extra columns): id, extra, key (token sequence), exact (text), n (tokens), for texts with tokens."""
-    import xxhash  # noqa: F401  (fails early)
+def common_needed(n, m, threshold: float):
+    """Least number of common elements of two records of n and m elements with the threshold's similarity."""
+    return np.ceil(threshold / (1 + threshold) * (n + m) - ROUNDING)
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import xxhash
 
-        for p in batches:
-            p = p[[isinstance(t, str) and not (t == "" or t.isspace()) for t in p.text]]
-            if len(p):
-                texts = p.text.tolist()
-                yield p.drop(columns="text").assign(
-                    key=text_keys(texts),
-                    exact=[xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts],
-                    n=np.array([len(t.split()) for t in texts], np.int32),
-                )
+def starts_of(n, threshold: float):
+    """How many elements of a stream of n suffixes begin at."""
+    return n - np.ceil(threshold * n - ROUNDING).astype(np.int64) + 1
 
-    r = records.select("id", *extra, "text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in r.schema if f.name != "text") + ", key binary, exact binary, n int"
-    return r.mapInPandas(mark, schema)
 
+# ---- streams
 
-def suffixes(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Of rows (id, text) rows (bucket, entries): blobs of ENTRY, one per Arrow batch and bucket."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            ids, texts = p.id.to_numpy(np.int64), p.text.tolist()
-            doc, h, _ = flat_tokens(texts)
-            n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
-            starts = np.cumsum(n) - n
-            of = [{level(int(-(-7 * c // 10))), level(int(c))} if c else set() for c in n.tolist()]
-            parts = []
-            for which in range(len(LEVELS)):
-                has = np.fromiter((which in x for x in of), bool, len(of))
-                if has.any():
-                    parts.append(_entries(h, starts[has], n[has], ids[has], which))
-            e = np.concatenate(parts) if parts else np.empty(0, ENTRY)
-            b = (e["h1"] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            e, b = e[order], b[order]
-            cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.empty(0, np.int64)
-            yield pd.DataFrame({"bucket": b[cuts].astype(np.int32), "entries": [x.tobytes() for x in np.split(e, cuts[1:])] if len(cuts) else []})
-
-    return records.select("id", "text").mapInPandas(cut, "bucket int, entries binary")
-
-
-def _sorted_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows ordered by bucket -> sorted chunks of one bucket, at most CHUNK entries each; memory is bounded by that."""
-    now, held, size = -1, [], 0
-
-    def full(all_of_it: bool):
-        nonlocal held, size
-        out = []
-        if held:
-            e = np.concatenate(held)
-            step = CHUNK if len(e) > CHUNK else len(e)
-            stop = len(e) if all_of_it else len(e) - len(e) % CHUNK
-            for i in range(0, stop, step):
-                x = e[i : i + step]
-                out.append(x[np.lexsort((x["h2"], x["h1"]))].tobytes())
-            rest = e[stop:]
-            held, size = ([rest] if len(rest) else []), len(rest)
-        return pd.DataFrame({"bucket": np.full(len(out), now, np.int32), "n": np.array([len(x) // ENTRY.itemsize for x in out], np.int32), "entries": out})
-
-    for p in batches:
-        for b, blob in zip(p.bucket.tolist(), p.entries, strict=True):
-            if b != now:
-                if held:
-                    yield full(True)
-                now, held, size = b, [], 0
-            held.append(np.frombuffer(blob, ENTRY))
-            size += len(held[-1])
-            if size >= 4 * CHUNK:
-                yield full(False)
-    if held:
-        yield full(True)
-
-
-def search(new: np.ndarray, old: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(new record, old record, matches) of two sorted chunks, by binary search of each new entry's start in the old chunk."""
-    starts, back = np.unique(new["h1"], return_inverse=True)
-    lo, hi = np.searchsorted(old["h1"], starts, "left"), np.searchsorted(old["h1"], starts, "right")
-    lo, hi = lo[back], hi[back]
-    hot = np.flatnonzero(hi - lo > HOT)
-    if len(hot):  # a common start: the next tokens decide; within a start the entries are sorted by H2
-        cache: dict[tuple[int, int], tuple[int, int]] = {}
-        for i in hot.tolist():
-            k = (int(lo[i]), int(new["h2"][i]))
-            if k not in cache:
-                part = old["h2"][lo[i] : hi[i]]
-                cache[k] = (k[0] + int(np.searchsorted(part, new["h2"][i], "left")), k[0] + int(np.searchsorted(part, new["h2"][i], "right")))
-            lo[i], hi[i] = cache[k]
-    n = hi - lo
-    total = int(n.sum())
-    if not total:
-        z = np.empty(0, np.int64)
-        return z, z, z
-    q = np.repeat(new["rec"], n)
-    h = old["rec"][np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(total)]
-    order = np.lexsort((h, q))
-    q, h = q[order], h[order]
-    first = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]) | (h[1:] != h[:-1])])
-    return q[first], h[first], np.diff(np.r_[first, total])
-
-
-def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for p in batches:
-        for a, b in zip(p.entries, p.old, strict=True):
-            new, old = np.frombuffer(a, ENTRY), np.frombuffer(b, ENTRY)
-            for i in range(0, len(new), 4096):  # bounds the matches held at once
-                q, h, n = search(new[i : i + 4096], old)
-                if len(q):
-                    yield pd.DataFrame({"new": q, "old": h, "matches": n})
-
-
-def element_counts(records: DataFrame) -> np.ndarray:
-    """COUNTERS numbers: in how many of the rows (id, text) the elements of each counter stand."""
+def element_counts(records: DataFrame) -> DataFrame:
+    """(k, n): in how many of the rows (id, text) elements of counter k stand; at most COUNTERS rows."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, np.int64)
@@ -225,167 +84,450 @@ def element_counts(records: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"k": at.astype(np.int32), "n": total[at]})
 
-    got = records.select("id", "text").mapInPandas(count, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(COUNTERS, np.int64)
-    out[got.k.to_numpy()] = got.n.to_numpy()
-    return out
+    return records.select("id", "text").mapInPandas(count, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
 
 
-def prefixes(records: DataFrame, shared, threshold: float) -> DataFrame:
-    """Of rows (id, text) rows (element, id, n, at): the elements of each record's prefix and their places in the order."""
+def streams(records: DataFrame, shared, *extra: str) -> DataFrame:
+    """Of rows (id, text, extra columns) with tokens: MARKED (key: of the token sequence, exact: of the text) and the extra columns."""
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
         for p in batches:
+            p = p[[isinstance(t, str) and not (t == "" or t.isspace()) for t in p.text]]
+            if not len(p):
+                continue
             texts = p.text.tolist()
             doc, h, occ = flat_tokens(texts)
             e = element_hashes(h, occ)
-            e = e[np.lexsort((e, counts[(e % np.uint64(COUNTERS)).astype(np.int64)], doc))]
-            n = np.bincount(doc, minlength=len(texts)).astype(np.int64)
-            at = np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
-            size = n - np.ceil(threshold * n - ROUNDING).astype(np.int64) + 1
-            keep = at < np.repeat(size, n)
+            e = e[np.lexsort((e, counts[(e % np.uint64(COUNTERS)).astype(np.int64)], doc))].view(np.int64)
+            n = np.bincount(doc, minlength=len(texts))
             yield pd.DataFrame(
-                {"element": e[keep].view(np.int64), "id": p.id.to_numpy(np.int64)[doc[keep]], "n": np.repeat(n, n)[keep].astype(np.int32), "at": at[keep].astype(np.int32)}
+                {
+                    "id": p.id.to_numpy(np.int64),
+                    "key": text_keys(texts),
+                    "exact": [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts],
+                    "n": n.astype(np.int32),
+                    "elements": np.split(e, np.cumsum(n)[:-1]),
+                    **{c: p[c].to_numpy() for c in extra},
+                }
             )
 
-    return records.select("id", "text").mapInPandas(cut, "element bigint, id bigint, n int, at int")
+    r = records.select("id", "text", *extra)
+    return r.mapInPandas(mark, ", ".join([MARKED, *(f"{c} {r.schema[c].dataType.simpleString()}" for c in extra)]))
+
+
+def sketches(elements: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """docs x 2 (uint64): the parity of each record's elements on 128 bits."""
+    bits = np.bincount(doc * 128 + (elements & np.uint64(127)).astype(np.int64), minlength=docs * 128) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(docs, 128), axis=1).view("<u8")
+
+
+def entries_of(ids: np.ndarray, streams_: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Unsorted entries of the suffixes of the streams (int64 elements in order)."""
+    n = np.fromiter(map(len, streams_), np.int64, len(streams_))
+    flat = np.concatenate(streams_).view(np.uint64) if len(streams_) else np.empty(0, np.uint64)
+    doc = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    keep = np.flatnonzero(at < np.repeat(starts_of(n, threshold), n))
+    short = np.concatenate([(flat >> np.uint64(32)).astype(np.uint32), np.zeros(W, np.uint32)])
+    left = np.repeat(n, n) - at
+    out = np.zeros(len(keep), ENTRY)
+    for k in range(W):
+        out["e"][:, k] = np.where(left[keep] > k, short[keep + k], 0)
+    out["prev"] = np.where(at[keep] > 0, short[keep - 1], 0)
+    out["rec"], out["n"], out["at"] = ids[doc[keep]], n[doc[keep]], at[keep]
+    if len(keep):
+        out["sketch"] = sketches(flat, doc, len(n))[doc[keep]]
+    return out
+
+
+# ---- suffix arrays
+
+
+def keys_of(e: np.ndarray) -> np.ndarray:
+    """The entries' elements as texts of bytes, whose order is the suffixes' order."""
+    return np.ascontiguousarray(e["e"]).view(f"S{4 * W}").ravel()
 
 
-def shared_pairs(new: DataFrame, old: DataFrame, threshold: float) -> DataFrame:
-    """(new, old) of two tables of prefixes: a row per element from which on a pair can still reach the threshold."""
-    x, y = new.alias("x"), old.alias("y")
-    left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))  # what the two can have in common from here on
-    able = (
-        (F.col("x.element") == F.col("y.element"))
-        & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * threshold - ROUNDING)
-        & (left >= (F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - ROUNDING)
+def in_order(e: np.ndarray) -> np.ndarray:
+    x = e["e"].astype(np.uint64)
+    return e[np.lexsort(((x[:, 2] << np.uint64(32)) | x[:, 3], (x[:, 0] << np.uint64(32)) | x[:, 1]))]
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    """Like np.concatenate, which would turn the elements' bytes round."""
+    return np.concatenate([np.ascontiguousarray(x).view(np.dtype((np.void, ENTRY.itemsize))) for x in parts]).view(ENTRY)
+
+
+def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One sorted run of two."""
+    place = np.searchsorted(keys_of(a), keys_of(b), "right") + np.arange(len(b))
+    out = np.empty(len(a) + len(b), ENTRY)
+    from_b = np.zeros(len(out), bool)
+    from_b[place] = True
+    out[from_b], out[~from_b] = b, a
+    return out
+
+
+def suffixes(classes: DataFrame, cells: int, threshold: float) -> DataFrame:
+    """Of rows (id, elements) rows (cell, sub, entries), blobs of unsorted ENTRY."""
+    shift = 32 - (cells.bit_length() - 1)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            e = entries_of(p.id.to_numpy(np.int64), [np.asarray(x, np.int64) for x in p.elements], threshold)
+            cell = (e["e"][:, 0].astype(np.uint64) >> np.uint64(shift)).astype(np.int64)
+            many = np.bincount(cell, minlength=cells) > max(MUCH * len(e), 256)
+            sub = np.where(many[cell], (e["rec"] * 0x9E3779B1 >> 13) % SUBS, 0)
+            order = np.lexsort((sub, cell))
+            e, cell, sub = e[order], cell[order], sub[order]
+            group = cell * SUBS + sub
+            cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(e) else np.empty(0, np.int64)
+            yield pd.DataFrame({"cell": cell[cuts].astype(np.int32), "sub": sub[cuts].astype(np.int32), "entries": [x.tobytes() for x in np.split(e, cuts[1:])] if len(cuts) else []})
+
+    return classes.select("id", "elements").mapInPandas(cut, "cell int, sub int, entries binary")
+
+
+def _rows(cell: int, sub: int, e: np.ndarray) -> pd.DataFrame:
+    """Chunk rows of a sorted run."""
+    parts = [e[i : i + CHUNK] for i in range(0, len(e), CHUNK)]
+    return pd.DataFrame(
+        {
+            "cell": np.full(len(parts), cell, np.int32),
+            "sub": np.full(len(parts), sub, np.int32),
+            "lo": [x[0]["e"].tobytes() for x in parts],
+            "first": np.array([int(x[0]["e"][0]) for x in parts], np.int64),
+            "last": np.array([int(x[-1]["e"][0]) for x in parts], np.int64),
+            "entries": [x.tobytes() for x in parts],
+        }
     )
-    return x.join(y, able).select(F.col("x.id").alias("new"), F.col("y.id").alias("old"))
+
+
+def _sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows ordered by (cell, sub) -> chunks of one sorted run for each."""
+    now, held = None, []
+    for p in batches:
+        for cell, sub, blob in zip(p.cell.tolist(), p["sub"].tolist(), p.entries, strict=True):
+            if (cell, sub) != now:
+                if held:
+                    yield _rows(*now, in_order(joined(held)))
+                now, held = (cell, sub), []
+            held.append(np.frombuffer(blob, ENTRY))
+    if held:
+        yield _rows(*now, in_order(joined(held)))
+
+
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks of two runs, ordered by (cell, sub, lo) -> chunks of the merged run.
+
+    What lies before the chunk that comes next is final, so about two chunks are held at once.
+    """
+    now, open_, done = None, np.empty(0, ENTRY), []
+
+    def full(all_of_it: bool) -> Iterator[pd.DataFrame]:
+        nonlocal done
+        size = sum(map(len, done))
+        if size and (all_of_it or size >= CHUNK):
+            e = joined(done)
+            stop = size if all_of_it else size - size % CHUNK
+            done = [e[stop:]] if stop < size else []
+            yield _rows(*now, e[:stop])
+
+    for p in batches:
+        for cell, sub, lo, blob in zip(p.cell.tolist(), p["sub"].tolist(), p.lo, p.entries, strict=True):
+            x = np.frombuffer(blob, ENTRY)
+            if (cell, sub) != now:
+                done.append(open_)
+                yield from full(True)
+                now, open_ = (cell, sub), x
+                continue
+            final = int(np.searchsorted(keys_of(open_), np.array(bytes(lo), f"S{4 * W}"), "left"))
+            done.append(open_[:final])
+            yield from full(False)
+            open_ = merge(open_[final:], x)
+    done.append(open_)
+    yield from full(True)
+
+
+def search(new: np.ndarray, old: np.ndarray, threshold: float, most: int | None = PROBE, block: int = 500_000) -> Iterator[tuple[np.ndarray, ...]]:
+    """Matches of the suffixes of one sorted chunk in another: (new record, old record, its sizes, matched elements), added up per pair.
+
+    Rows (record, -1, 0, 0, 0) name the new records of which not all matches were taken. Left out are pairs that cannot reach
+    the threshold: by their sizes, by what stands before and behind the match, by the bits in which their sketches differ.
+    A match counts from where it begins, or from the last position divisible by W, up to the next such position, so the
+    parts of a long match that several entries give add up to its length.
+    """
+    first_new, first_old = new["e"][:, 0].astype(np.uint32), old["e"][:, 0].astype(np.uint32)
+    lo, hi = np.searchsorted(first_old, first_new, "left"), np.searchsorted(first_old, first_new, "right")
+    if most is not None and len(hot := np.flatnonzero(hi - lo > most)):
+        at = np.searchsorted(keys_of(old), keys_of(new[hot]))
+        lo[hot] = np.clip(at - most // 2, lo[hot], hi[hot] - most)
+        hi[hot] = lo[hot] + most
+        rec = np.unique(new["rec"][hot])
+        zero = np.zeros(len(rec), np.int64)
+        yield rec, zero - 1, zero, zero, zero
+    n = hi - lo
+    ends = np.cumsum(n)
+    begin = 0
+    while begin < len(new) and ends[-1] > (ends[begin - 1] if begin else 0):
+        before = int(ends[begin - 1]) if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, before + block, "right")))
+        k = n[begin:stop]
+        q = np.repeat(np.arange(begin, stop), k)
+        o = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k) + np.repeat(lo[begin:stop], k)
+        begin = stop
+        na, nb = new["n"][q].astype(np.int64), old["n"][o].astype(np.int64)
+        need = common_needed(na, nb, threshold)
+        ok = need <= np.minimum(na, nb)
+        i, j = new["at"][q].astype(np.int64), old["at"][o].astype(np.int64)
+        ok &= np.minimum(i, j) + np.minimum(na - i, nb - j) >= need
+        ok[ok] = np.bitwise_count(new["sketch"][q[ok]] ^ old["sketch"][o[ok]]).sum(axis=1) <= (na + nb - 2 * need)[ok]
+        q, o, i, na, nb = q[ok], o[ok], i[ok], na[ok], nb[ok]
+        counts = (i % W == 0) | (new["prev"][q] != old["prev"][o])
+        q, o, i, na, nb = q[counts], o[counts], i[counts], na[counts], nb[counts]
+        if not len(q):
+            continue
+        same = np.logical_and.accumulate(new["e"][q] == old["e"][o], axis=1).sum(axis=1)
+        length = np.minimum(same, W - i % W)
+        a, b = new["rec"][q], old["rec"][o]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        yield a[head], b[head], na[order][head], nb[order][head], np.add.reduceat(length[order], head)
+
+
+# ---- history
 
 
 class History:
-    """Segments, prefixes, class keys and candidate pairs of the batches accepted so far, below one folder."""
-
-    def __init__(self, spark: SparkSession, path: str, partitions: int | None = None, threshold: float = 0.70):
-        self.spark, self.path, self.threshold = spark, path, threshold
-        self.partitions = partitions or max(2, min(BUCKETS, spark.sparkContext.defaultParallelism))
-        self.segments: list[tuple[int, str]] = []  # (entries, table)
-        self.prefixes: list[tuple[int, str]] = []  # (elements, table)
-        self.order = None
-        self.keys: list[str] = []
-        self.count = 0
-        self.tag = uuid.uuid4().hex[:12]
+    """The batches accepted so far, below one folder. Make it with `create`, go on with `open`."""
 
-    def _store(self, rows: DataFrame) -> tuple[int, str]:
-        """Writes (bucket, entries) rows as a segment: bucketed by `bucket`, sorted chunks inside."""
-        self.count += 1
-        name = f"loamline_{self.tag}_{self.count}"
-        chunks = rows.repartition(self.partitions, "bucket").sortWithinPartitions("bucket").mapInPandas(_sorted_chunks, "bucket int, n int, entries binary")
-        chunks.write.bucketBy(self.partitions, "bucket").option("path", f"{self.path}/segments/{name}").option("compression", "none").saveAsTable(name)
-        return self.spark.table(name).agg(F.sum("n")).first()[0] or 0, name  # reads the column of counts only
-
-    def _store_prefixes(self, rows: DataFrame) -> tuple[int, str]:
-        """Writes rows (element, id, n, at) as a table bucketed by `element`."""
-        self.count += 1
-        name = f"loamline_{self.tag}_{self.count}"
-        rows.repartition(self.partitions, "element").write.bucketBy(self.partitions, "element").option("path", f"{self.path}/segments/{name}").option("compression", "zstd").saveAsTable(name)
-        return self.spark.table(name).count(), name
-
-    def _drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        remove(self.spark, f"{self.path}/segments/{name}")
-
-    def accept(self, batch: DataFrame, number: int) -> DataFrame | None:
-        """Searches and then indexes a batch (id, key, text), one row per class.
-
-        Classes that are in the history already are left out. Gives the pairs (new, old, matches, sharing) of ids, written
-        below the folder, or None for the first batch; `sharing` marks those that the prefixes name.
+    def __init__(self, spark: SparkSession, path: str, state: dict):
+        self.spark, self.path, self.state = spark, path, state
+        self.tag = uuid.uuid4().hex[:12]
+        self.names: dict[str, str] = {}
+        self._order = None
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, threshold: float = 0.70) -> History:
+        return cls(spark, path, {"threshold": threshold, "cells": 0, "made": 0, "batches": [], "segments": []})
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> History:
+        """The history that `path` holds; what an interrupted `accept` left besides is not part of it."""
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        last = max((s.getPath().getName() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest-*.json"))), default=None)
+        if last is None:
+            raise FileNotFoundError(f"no history below {path}")
+        return cls(spark, path, json.loads("".join(r[0] for r in spark.read.text(f"{path}/{last}").collect())))
+
+    def _save(self) -> None:
+        """A manifest appears whole: it is written under another name and renamed."""
+        jvm = self.spark._jvm
+        to = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-{len(self.state['batches']):08d}.json")
+        draft = jvm.org.apache.hadoop.fs.Path(f"{self.path}/draft-{self.tag}.json")
+        fs = to.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(self.state).encode()))
+        out.close()
+        fs.delete(to, False)
+        fs.rename(draft, to)
+
+    @property
+    def threshold(self) -> float:
+        return self.state["threshold"]
+
+    def order(self, records: DataFrame | None = None):
+        """The broadcast counts that order all streams, taken from `records` where there are none yet: a table of fixed size."""
+        if self._order is None:
+            if records is not None and not self.state["batches"]:
+                written(element_counts(records), f"{self.path}/order")
+            got = self.spark.read.schema("k int, n bigint").parquet(f"{self.path}/order").toPandas()
+            counts = np.zeros(COUNTERS, np.int64)
+            counts[got.k.to_numpy()] = got.n.to_numpy()
+            self._order = self.spark.sparkContext.broadcast(counts)
+        return self._order
+
+    # -- segments
+
+    def _table(self, segment: dict) -> DataFrame:
+        """The segment as a table that Spark knows to be bucketed; registered in this session when it is first used."""
+        name = self.names.get(segment["path"])
+        if name is None:
+            name = self.names[segment["path"]] = f"loamline_{self.tag}_{segment['path'][-6:]}"
+            self.spark.sql(f"CREATE TABLE {name} ({CHUNKS}) USING parquet CLUSTERED BY (cell, sub) INTO {segment['buckets']} BUCKETS LOCATION '{self.path}/{segment['path']}'")
+        return self.spark.table(name)
+
+    def _store(self, rows: DataFrame, size: int, by: tuple[str, ...], make) -> dict:
+        """Writes rows (cell, sub, ...) as a segment: a task for each bucket, rows in the given order through `make`."""
+        self.state["made"] += 1
+        path = f"segments/{self.state['made']:06d}"
+        buckets = max(1, min(-(-size // 50_000), max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // 4_000_000))))
+        name = self.names[path] = f"loamline_{self.tag}_{path[-6:]}"
+        remove(self.spark, f"{self.path}/{path}")
+        chunks = rows.repartition(buckets, "cell", "sub").sortWithinPartitions(*by).mapInPandas(make, CHUNKS)
+        chunks.write.bucketBy(buckets, "cell", "sub").option("path", f"{self.path}/{path}").option("compression", "none").saveAsTable(name)
+        return {"size": size, "path": path, "buckets": buckets}
+
+    def _drop(self, segment: dict) -> None:
+        if name := self.names.pop(segment["path"], None):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, f"{self.path}/{segment['path']}")
+
+    def _merge(self) -> list[dict]:
+        """While the last segment is not less than half as large as the one before, the two become one. Gives those replaced."""
+        s, gone = self.state["segments"], []
+        while len(s) > 1 and 2 * s[-1]["size"] >= s[-2]["size"]:
+            b, a = s.pop(), s.pop()
+            s.append(self._store(self._table(a).union(self._table(b)), a["size"] + b["size"], ("cell", "sub", "lo"), _merged))
+            gone += [a, b]
+        return gone
+
+    # -- tables of batches
+
+    def _read(self, what: str, schema: str, batches: list[str] | None = None) -> DataFrame | None:
+        names = self.state["batches"] if batches is None else batches
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/batches/{b}/{what}" for b in names]) if names else None
+
+    def accept(self, batch: DataFrame, name: str) -> DataFrame:
+        """Finds what of a batch (id, text) repeats an earlier one, (record_id, kind 'exact' or 'near'), and takes the batch in.
+
+        Reads of the history: the hashes of its texts, the segments, and the elements of the records that are compared.
         """
-        new = batch
-        if self.keys:
-            seen = self.spark.read.schema("key binary").parquet(*self.keys)
-            new = batch.join(seen, "key", "left_anti")
-        new = written(new.select("id", "key", "text"), f"{self.path}/new/{number}")
-        keys = f"{self.path}/keys/{number}"
-        new.select("key").write.parquet(keys)
-        size, segment = self._store(suffixes(new))
-        if self.order is None:
-            self.order = self.spark.sparkContext.broadcast(element_counts(new))
-        elements, prefix = self._store_prefixes(prefixes(new, self.order, self.threshold))
-        found = None
-        if self.segments and size:
-            mine = self.spark.table(segment).select("bucket", "entries")
-            hits = None
-            for _, name in self.segments:
-                h = mine.join(self.spark.table(name).select("bucket", F.col("entries").alias("old")), "bucket").select("entries", "old").mapInPandas(_search, "new bigint, old bigint, matches bigint")
-                h = h.withColumn("sharing", F.lit(False))
-                hits = h if hits is None else hits.union(h)
-            for _, name in self.prefixes:
-                h = shared_pairs(self.spark.table(prefix), self.spark.table(name), self.threshold)
-                hits = hits.union(h.select("new", "old", F.lit(0).cast("bigint"), F.lit(True)))
-            found = written(hits.groupBy("new", "old").agg(F.sum("matches").alias("matches"), F.max("sharing").alias("sharing")), f"{self.path}/found/{number}")
-        self.keys.append(keys)
-        self.segments.append((size, segment))
-        self.prefixes.append((elements, prefix))
-        self._merge()
-        return found
-
-    def _merge(self) -> None:
-        """While the last segment, or table of prefixes, is not less than half as large as the one before, the two become one."""
-        while len(self.segments) > 1 and 2 * self.segments[-1][0] >= self.segments[-2][0]:
-            (_, a), (_, b) = self.segments.pop(), self.segments.pop()
-            self.segments.append(self._store(self.spark.table(a).union(self.spark.table(b)).select("bucket", "entries")))
-            self._drop(a)
-            self._drop(b)
-        while len(self.prefixes) > 1 and 2 * self.prefixes[-1][0] >= self.prefixes[-2][0]:
-            (_, a), (_, b) = self.prefixes.pop(), self.prefixes.pop()
-            self.prefixes.append(self._store_prefixes(self.spark.table(a).union(self.spark.table(b))))
-            self._drop(a)
-            self._drop(b)
+        marked = written(streams(batch, self.order(batch)), f"{self.path}/batches/{name}/marked")
+        return self.accept_streams(marked, name)
+
+    def accept_streams(self, marked: DataFrame, name: str) -> DataFrame:
+        """`accept` for rows of MARKED."""
+        here = f"{self.path}/batches/{name}"
+        texts = marked.groupBy("exact", "key").agg(F.min("id").alias("id"))
+        seen = self._read("texts", TEXTS)
+        if seen is None:
+            texts = texts.withColumns({"old_text": F.lit(False), "old_class": F.lit(False)})
+        else:
+            yes = F.lit(True)
+            seen = seen.where("not old_text").select("exact", "key")
+            texts = texts.join(seen.select("exact", yes.alias("t")), "exact", "left").join(seen.select("key").distinct().withColumn("c", yes), "key", "left")
+            no = F.lit(False)
+            texts = texts.withColumns({"old_text": F.coalesce("t", no), "old_class": F.coalesce("c", no)})
+        texts = written(texts.select("exact", "key", "id", "old_text", "old_class"), f"{here}/texts")
+        reps = texts.where("not old_class").groupBy("key").agg(F.min("id").alias("id"))
+        classes = written(marked.join(reps.select("id"), "id", "left_semi").select("id", "key", "n", "elements"), f"{here}/classes")
+        starts = (F.col("n") - F.ceil(F.col("n") * self.threshold - ROUNDING) + 1).cast("bigint")
+        size = classes.agg(F.sum(starts)).first()[0] or 0
+        if not self.state["cells"]:
+            self.state["cells"] = 1 << min(20, max(6, (size // 4096).bit_length()))
+        mine, gone = None, []
+        if size:
+            mine = self._store(suffixes(classes, self.state["cells"], self.threshold), size, ("cell", "sub"), _sorted)
+        near = self._near(mine, classes, here) if size and self.state["segments"] else None
+        if near is None:
+            near = self.spark.createDataFrame([], "key binary")
+        written(near, f"{here}/near")
+        if size:
+            self.state["segments"].append(mine)
+            gone = self._merge()
+        self.state["batches"].append(name)
+        self._save()
+        for s in gone:
+            self._drop(s)
+        return self.found([name], marked)
+
+    def _near(self, mine: dict, classes: DataFrame, here: str) -> DataFrame:
+        """(key) of the new classes that have a near one in the history."""
+        found = self._verified(self._hits(self._table(mine), PROBE), classes, f"{here}/hits", True)
+        near = written(found, f"{here}/found")
+        hits = self.spark.read.schema(HITS).parquet(f"{here}/hits")
+        rest = written(hits.where("old = -1").select(F.col("new").alias("id")).distinct().join(near, "id", "left_anti"), f"{here}/rest")
+        if not rest.isEmpty():  # common starts hid matches of these: all their matches
+            again = classes.join(rest, "id", "left_semi")
+            rows = suffixes(again, self.state["cells"], self.threshold).repartition("cell", "sub").sortWithinPartitions("cell", "sub").mapInPandas(_sorted, CHUNKS)
+            more = written(rows, f"{here}/again")
+            near = near.union(self._verified(self._hits(more, None), again, f"{here}/all_hits", False))
+        return classes.join(near, "id", "left_semi").select("key")
+
+    def _hits(self, mine: DataFrame, most: int | None) -> DataFrame:
+        """Matches of the new chunks in all segments, added up per pair."""
+        threshold = self.threshold
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for p in batches:
+                for a, b in zip(p.entries, p.old, strict=True):
+                    for x in search(np.frombuffer(a, ENTRY), np.frombuffer(b, ENTRY), threshold, most):
+                        yield pd.DataFrame(dict(zip(("new", "old", "n_new", "n_old", "covered"), x, strict=True)))
+
+        hits = None
+        new = mine.select("cell", "first", "last", "entries")
+        for s in self.state["segments"]:
+            old = self._table(s).select("cell", "sub", F.col("first").alias("f"), F.col("last").alias("l"), F.col("entries").alias("old"))
+            parts = self._table(s).select("cell", "sub").distinct()  # in which parts of a cell there is something
+            n = new.join(parts, "cell").join(old, ["cell", "sub"]).where("first <= l and f <= last").select("entries", "old").mapInPandas(run, HITS)
+            hits = n if hits is None else hits.union(n)
+        return hits.groupBy("new", "old").agg(*[F.max(c).alias(c) for c in ("n_new", "n_old")], F.sum("covered").alias("covered"))
+
+    def _verified(self, hits: DataFrame, classes: DataFrame, path: str, partial: bool) -> DataFrame:
+        """(id) of the new records with a similar old one. Only elements of records in pairs with coverage enough are read.
+
+        The elements behind the starts can be common besides the covered ones. Where not all matches of a record were taken,
+        its coverage is no bound.
+        """
+        hits = written(hits, path)
+        t = self.threshold
+        rest = lambda c: F.ceil(F.col(c) * t - ROUNDING) - 1
+        need = F.ceil((F.col("n_new") + F.col("n_old")) * (t / (1 + t)) - ROUNDING)
+        enough = F.col("covered") >= need - F.greatest(rest("n_new"), rest("n_old"))
+        pairs = hits.where("old >= 0 or old < -1")
+        if partial:
+            hidden = hits.where("old = -1").select("new", F.lit(True).alias("hidden"))
+            pairs = pairs.join(hidden, "new", "left")
+            enough = enough | F.col("hidden").isNotNull()
+        pairs = written(pairs.where(enough).select(F.col("new").alias("a"), F.col("old").alias("b")), f"{path}_pairs")
+        few = pairs.count() <= FEW
+        some = lambda c: (lambda d: F.broadcast(d) if few else d)(pairs.select(F.col(c).alias("id")).distinct())
+        of_new = classes.join(some("a"), "id", "left_semi").select(F.col("id").alias("a"), F.col("elements").alias("x"))
+        of_old = self._read("classes", "id bigint, elements array<bigint>").join(some("b"), "id", "left_semi").select(F.col("id").alias("b"), F.col("elements").alias("y"))
+        return pairs.join(of_new, "a").join(of_old, "b").where(shared_elements("x", "y") >= t).select(F.col("a").alias("id")).distinct()
+
+    def found(self, names: list[str], marked: DataFrame) -> DataFrame:
+        """(record_id, kind) of the rows of MARKED of accepted batches."""
+        texts = self._read("texts", TEXTS, names)
+        near = self._read("near", "key binary", names).withColumn("near", F.lit(True))
+        rows = marked.select("id", "exact").join(texts.join(near, "key", "left").select("exact", "old_text", "old_class", "near"), "exact")
+        kind: Column = F.when(F.col("old_text"), "exact").when(F.col("old_class") | F.col("near").isNotNull(), "near")
+        return rows.select(F.col("id").alias("record_id"), kind.alias("kind")).where("kind is not null")
 
     def close(self) -> None:
-        for _, name in [*self.segments, *self.prefixes]:
-            self._drop(name)
-        self.segments, self.prefixes = [], []
+        """Forgets the tables' names in this session; the history's files stay."""
+        for name in self.names.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = {}
+
+
+TEXTS = "exact binary, key binary, id bigint, old_text boolean, old_class boolean"
+HITS = "new bigint, old bigint, n_new bigint, n_old bigint, covered bigint"
 
 
 def duplicates(records: DataFrame, threshold: float, path: str) -> DataFrame:
-    """Of rows (id, batch, text) those that repeat something of an earlier batch: (record_id, kind 'exact' or 'near')."""
+    """Of rows (id, batch, text) those that repeat something of an earlier batch: (record_id, kind 'exact' or 'near').
+
+    The batches are accepted one after the other; their streams are made in one pass beforehand.
+    """
     spark = records.sparkSession
-    last = 2**31 - 1
-    marked = written(fingerprints(records.withColumn("batch", F.coalesce("batch", F.lit(last))), "batch"), f"{path}/marked")
-    first_text = marked.groupBy("exact").agg(F.min("batch").alias("first_exact"))
-    one = marked.groupBy("key").agg(F.min("batch").alias("batch"), F.min_by(F.struct("id", "n"), F.struct("batch", "id")).alias("r"))
-    firsts = written(one.select("key", "batch", "r.id", "r.n"), f"{path}/firsts")
-    reps = written(
-        firsts.drop("n").join(records.select("id", "text"), "id").select("id", "key", "text", "batch"), f"{path}/reps", "batch"
-    )  # each class once, in the folder of the batch in which it first appears
-    numbers = sorted(r[0] for r in firsts.select("batch").distinct().collect())  # as many as there are batches
-    history = History(spark, path, threshold=threshold)
-    found = None
+    rows = records.select("id", F.coalesce(F.col("batch").cast("int"), F.lit(2**31 - 1)).alias("batch"), "text")
+    first = rows.agg(F.min("batch")).first()[0]
+    history = History.create(spark, path, threshold)
+    order = history.order(rows.where(F.col("batch") == F.lit(first)))
+    marked = written(streams(rows, order, "batch"), f"{path}/marked", "batch")
+    numbers = sorted(r[0] for r in marked.select("batch").distinct().collect())  # as many as there are batches
+    found = []
     for number in numbers:
-        hits = history.accept(reps.where(F.col("batch") == number), number)
-        if hits is not None:
-            found = hits if found is None else found.union(hits)
-    near_keys = None
-    if found is not None:
-        # pairs with enough matches or an element of both prefixes, whose numbers of tokens allow the threshold; only their texts are read
-        sized = firsts.select("id", "n")
-        likely = (
-            found.join(sized.select(F.col("id").alias("new"), F.col("n").alias("n_new")), "new")
-            .join(sized.select(F.col("id").alias("old"), F.col("n").alias("n_old")), "old")
-            .where((F.col("n_new") >= F.floor(F.col("n_old") * threshold)) & (F.col("n_old") >= F.floor(F.col("n_new") * threshold)))
-            .where(F.col("sharing") | (F.col("matches") >= F.greatest(F.lit(1), F.floor(F.least("n_new", "n_old") * COVERAGE))))
-            .select(F.col("new").alias("a"), F.col("old").alias("b"))
-        )
-        likely = written(likely, f"{path}/likely")
-        named = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = reps.join(named, "id", "left_semi").select("id", "text")
-        near = verified_pairs(likely, texts, threshold).select(F.col("a").alias("id")).distinct()
-        near_keys = written(firsts.join(near, "id", "left_semi").select("key", F.lit(True).alias("has_near")), f"{path}/near")
+        part = spark.read.schema(MARKED).parquet(f"{path}/marked/batch={number}")
+        found.append(history.accept_streams(part, f"{number:010d}"))
     history.close()
-    rows = marked.join(first_text, "exact").join(firsts.select("key", F.col("batch").alias("first_key")), "key")
-    rows = rows.join(near_keys, "key", "left") if near_keys is not None else rows.withColumn("has_near", F.lit(None).cast("boolean"))
-    kind = F.when(F.col("first_exact") < F.col("batch"), "exact").when((F.col("first_key") < F.col("batch")) | F.col("has_near"), "near")
-    return rows.select(F.col("id").alias("record_id"), kind.alias("kind")).where("kind is not null")
+    out = spark.createDataFrame([], "record_id bigint, kind string")
+    for f in found:
+        out = out.union(f)
+    return out

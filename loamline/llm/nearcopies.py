@@ -9,7 +9,7 @@ Similarity is the Jaccard of the records' white-space token multisets. Steps:
    samples differ, the more precisely the higher the similarity.
 3. Classes that share a band are joined on it; the join condition bounds their sizes' ratio (exact: a Jaccard of t needs
    a ratio of t) and the sketches' distance, so only likely pairs leave the join (`candidates`).
-4. Those are checked exactly on their texts (`verified_pairs`).
+4. Those are checked exactly on the hashed elements of their texts (`verified_pairs`).
 5. Pairs of classes are expanded to pairs of records where a query asks for it; classes of many members are salted.
 
 How likely a pair at the threshold is lost: (1 - t^rows)^bands <= MISS by the bands, and 0.0005 by the sketch bound of
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import components, element_hashes, flat_tokens, mix64, salted_members, text_keys, verified_pairs, written
+from loamline.llm.common import components, element_hashes, elements, flat_tokens, mix64, salted_members, text_keys, verified_pairs, written
 
 BITS, WORDS, SAMPLES, MISS, SIGMAS = 320, 5, 160, 0.002, 3.3
 
@@ -158,8 +158,8 @@ def class_pairs(records: DataFrame, threshold: float, path: str) -> tuple[DataFr
     reps, members = classes(records, rows, bands, path)
     cand = written(candidates(reps, threshold), f"{path}/candidates")
     named = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = written(records.join(named, "id", "left_semi").select("id", "text"), f"{path}/texts")
-    return written(verified_pairs(cand, texts, threshold), f"{path}/pairs"), members
+    hashed = written(elements(records.join(named, "id", "left_semi")), f"{path}/elements")
+    return written(verified_pairs(cand, hashed, threshold), f"{path}/pairs"), members
 
 
 def record_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:

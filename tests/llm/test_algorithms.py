@@ -53,45 +53,83 @@ def test_banding_keeps_its_promise():
 # ---- 3
 
 
-def test_suffix_search_equals_plain_matching():
-    r = random.Random(3)
-    words = [f"w{i}" for i in range(30)]
-    texts = [" ".join(r.choice(words) for _ in range(60)) for _ in range(8)]
-    texts[5] = texts[1][:150] + " x y z " + texts[2][40:200]
-    doc, h, _ = flat_tokens(texts)
-    n = np.bincount(doc).astype(np.int64)
-    e = history._entries(h, np.cumsum(n) - n, n, np.arange(8), 0)
-    srt = lambda x: x[np.lexsort((x["h2"], x["h1"]))]
-    new, old = srt(e[e["rec"] >= 4]), srt(e[e["rec"] < 4])
-    q, o, c = history.search(new, old)
-    got = {(a, b): k for a, b, k in zip(q.tolist(), o.tolist(), c.tolist(), strict=True)}
-    want = Counter()
-    for x in new:
-        for y in old:
-            if x["h1"] == y["h1"]:
-                want[int(x["rec"]), int(y["rec"])] += 1
-    assert got == dict(want) and {(5, 1), (5, 2)} <= set(got)
-
-
-def test_winnowing_keeps_a_position_in_every_long_match():
-    r = random.Random(4)
-    common = [f"c{i}" for i in range(8)]  # length + window - 1 tokens
-    for _ in range(40):
-        a = [f"a{r.random()}" for _ in range(r.randrange(20, 60))] + common + [f"a{r.random()}" for _ in range(25)]
-        b = [f"b{r.random()}" for _ in range(r.randrange(20, 60))] + common + [f"b{r.random()}" for _ in range(25)]
-        doc, h, _ = flat_tokens([" ".join(a), " ".join(b)])
-        n = np.bincount(doc).astype(np.int64)
-        e = history._entries(h, np.cumsum(n) - n, n, np.arange(2), 0)
-        assert set(e["h1"][e["rec"] == 0]) & set(e["h1"][e["rec"] == 1])
-
-
-def test_hot_starts_need_longer_matches():
-    old = np.zeros(200, history.ENTRY)
-    old["h1"], old["rec"] = 7, np.arange(200)
-    old["h2"] = np.arange(200) // 2
-    new = np.zeros(1, history.ENTRY)
-    new["h1"], new["h2"], new["rec"] = 7, 50, 900
-    assert history.search(new, old)[1].tolist() == [100, 101]
+def streams_of(texts):
+    """The elements of each text in an order that all share."""
+    doc, h, occ = flat_tokens(texts)
+    e = element_hashes(h, occ).view(np.int64)
+    return [np.sort(e[doc == i]) for i in range(len(texts))]
+
+
+def variants(n, seed=3):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    base = [[r.choice(words) for _ in range(r.choice((6, 20, 60)))] for _ in range(6)]
+    out = []
+    for _ in range(n):
+        w = list(r.choice(base))
+        for _ in range(r.choice((0, 1, 2, 4, 9))):
+            w[r.randrange(len(w))] = r.choice(words)
+        out.append(" ".join(w))
+    return out
+
+
+def covered(new, old, most):
+    got, hidden = Counter(), set()
+    for a, b, _, _, c in history.search(new, old, 0.7, most):
+        for x, y, k in zip(a.tolist(), b.tolist(), c.tolist(), strict=True):
+            hidden.add(x) if y == -1 else got.update({(x, y): k})
+    return got, hidden
+
+
+def test_suffix_search_loses_no_pair():
+    texts = variants(240)
+    e = history.entries_of(np.arange(240), streams_of(texts), 0.7)
+    new, old = history.in_order(e[e["rec"] >= 120]), history.in_order(e[e["rec"] < 120])
+    got, hidden = covered(new, old, None)
+    assert not hidden
+    near = 0
+    for i in range(120, 240):
+        for j in range(120):
+            if multiset_jaccard(texts[i], texts[j]) >= 0.7:
+                n, m = len(texts[i].split()), len(texts[j].split())
+                least = history.common_needed(n, m, 0.7) - max(np.ceil(0.7 * n), np.ceil(0.7 * m)) + 1
+                assert got[i, j] >= max(1, least)
+                near += 1
+    assert near > 500 and len(got) < 120 * 120 / 2
+    few, hidden = covered(new, old, 4)  # what a common start hides is named
+    assert all(few[i, j] or i in hidden for i, j in got) and set(few) <= set(got)
+
+
+def test_matches_of_several_entries_add_up_to_their_length():
+    a = np.sort(np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 100))
+    b = np.r_[a[:50], np.sort(np.random.default_rng(2).integers(a[50], 2**63 - 1, 8)), a[51:]]
+    e = history.entries_of(np.array([1, 2]), [a, b], 0.7)
+    got, _ = covered(history.in_order(e[e["rec"] == 2]), history.in_order(e[e["rec"] == 1]), None)
+    assert got[2, 1] == 32  # the suffixes that begin in the first 33 of 107 elements; the last one's match is counted up to the boundary
+
+
+def test_suffixes_are_in_lexicographic_order_and_runs_merge():
+    e = history.entries_of(np.arange(200), streams_of(variants(200)), 0.7)
+    s = history.in_order(e)
+    firsts = [tuple(x) for x in s["e"].tolist()]
+    assert firsts == sorted(firsts)
+    assert (history.keys_of(history.merge(history.in_order(e[::3]), history.in_order(np.delete(e, np.s_[::3])))) == history.keys_of(s)).all()
+    rows = [history._rows(1, 0, history.in_order(x)).assign(lo=lambda d: d.lo) for x in (e[: len(e) // 3], e[len(e) // 3 :])]
+    import pandas as pd
+
+    out = pd.concat(history._merged(iter([pd.concat(rows).sort_values("lo")])))
+    back = history.joined([np.frombuffer(x, history.ENTRY) for x in out.entries])
+    assert (history.keys_of(back) == history.keys_of(s)).all() and sorted(back["rec"]) == sorted(e["rec"])
+
+
+def test_sketches_differ_in_no_more_bits_than_records_in_elements():
+    texts = variants(80)
+    st = streams_of(texts)
+    flat, doc = np.concatenate(st).view(np.uint64), np.repeat(np.arange(80), [len(x) for x in st])
+    k = history.sketches(flat, doc, 80)
+    for i in range(80):
+        for j in range(i):
+            assert np.bitwise_count(k[i] ^ k[j]).sum() <= len(set(st[i].tolist()) ^ set(st[j].tolist()))
 
 
 # ---- 8

@@ -108,17 +108,45 @@ def test_p3_finds_variants_of_a_large_family(spark):
         assert [tuple(x) for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()] == [(1000, "near")]
 
 
-def test_p3_segments_stay_logarithmic(spark):
-    h = history.History(spark, shared_dir(spark), partitions=2)
-    for n in range(9):
-        batch = spark.createDataFrame([(n * 10 + k, f"{n}-{k}".encode(), " ".join(f"t{n}.{k}.{i}" for i in range(50))) for k in range(4)], "id bigint, key binary, text string")
-        found = h.accept(batch, n)
-        assert found is None or found.count() == 0
-        assert len(h.segments) <= 4
-    again = h.accept(spark.createDataFrame([(999, b"new", " ".join(f"t3.2.{i}" for i in range(45)))], "id bigint, key binary, text string"), 99)
-    assert [(r.new, r.old) for r in again.collect()] == [(999, 32)]
+def test_p3_common_starts_hide_nothing(spark, monkeypatch):
+    rows = [(i, r, t) for (i, t), r in zip(records(150, 11), random.Random(2).choices((0, 1, 2), k=200), strict=False)]
+    df = spark.createDataFrame(rows, "id bigint, batch int, text string")
+    want = {i for i, b, t in rows for j, c, u in rows if t and u and c < b and multiset_jaccard(t, u) >= 0.7}
+    plain = history.History._hits
+    monkeypatch.setattr(history.History, "_hits", lambda self, mine, most: plain(self, mine, most and 1))  # every start is common
+    assert {x.record_id for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()} == want
+
+
+def test_p3_goes_on_where_it_stopped(spark):
+    rows = records(160, 21)
+    batch = lambda k: spark.createDataFrame([x for x in rows if x[0] % 10 == k], "id bigint, text string")
+    path = shared_dir(spark)
+    h = history.History.create(spark, path)
+    for k in range(9):
+        h.accept(batch(k), str(k))
+        assert len(h.state["segments"]) <= 4
     h.close()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"loamline_{h.tag}")]
+    again = history.History.open(spark, path)
+    assert again.state == h.state
+    found = again.accept(batch(9), "9")
+    got = {x.record_id: x.kind for x in found.collect()}
+    old = [t for i, t in rows if i % 10 < 9 and t and t.strip()]
+    want = {i: "exact" if t in old else "near" for i, t in rows if i % 10 == 9 and t and t.strip() and any(multiset_jaccard(t, u) >= 0.7 for u in old)}
+    assert got == want and want
+    # nothing of the old batches is read but hashes, segments and the elements of candidates: the texts are not even there
+    assert not [f for f in found.inputFiles() if "batches/0/marked" in f]
+    again.close()
+    with pytest.raises(FileNotFoundError):
+        history.History.open(spark, shared_dir(spark))
+
+
+def test_p3_deals_common_starts_over_parts(spark):
+    base = [f"t{i}" for i in range(40)]
+    rows = [(k, k // 500, " ".join([*base, *(f"v{k}.{i}" for i in range(12))])) for k in range(1000)]  # 40 / 64: none is a case
+    rows += [(5000, 2, " ".join([*base, *(f"v7.{i}" for i in range(11)), "x"]))]
+    df = spark.createDataFrame(rows, "id bigint, batch int, text string")
+    assert [tuple(x) for x in history.duplicates(df, 0.7, shared_dir(spark)).collect()] == [(5000, "near")]
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
