@@ -53,7 +53,7 @@ ENTRY = np.dtype([("e", ">u4", W), ("prev", "<u4"), ("rec", "<i8"), ("n", "<u4")
 CHUNKS = "cell int, sub int, lo binary, first bigint, last bigint, entries binary"
 MARKED = "id bigint, key binary, exact binary, n int, elements array<bigint>"
 #: Counters of elements that give the order of streams; elements that fall on one counter are ordered by their hashes.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 18
 #: What rounding may add to a product of a threshold and a number of tokens.
 ROUNDING = 1e-6
 #: Ids of which records' elements are fetched by a broadcast (8 MB); beyond that by a shuffle.
@@ -370,7 +370,8 @@ class History:
         remove(self.spark, f"{self.path}/{path}")
         chunks = rows.repartition(buckets, "cell", "sub").sortWithinPartitions(*by).mapInPandas(make, CHUNKS)
         chunks.write.bucketBy(buckets, "cell", "sub").option("path", f"{self.path}/{path}").option("compression", "none").saveAsTable(name)
-        return {"size": size, "path": path, "buckets": buckets}
+        dealt = not self.spark.table(name).where("sub > 0").isEmpty()
+        return {"size": size, "path": path, "buckets": buckets, "dealt": dealt}
 
     def _drop(self, segment: dict) -> None:
         if name := self.names.pop(segment["path"], None):
@@ -398,10 +399,11 @@ class History:
         Reads of the history: the hashes of its texts, the segments, and the elements of the records that are compared.
         """
         marked = written(streams(batch, self.order(batch)), f"{self.path}/batches/{name}/marked")
-        return self.accept_streams(marked, name)
+        self.accept_streams(marked, name)
+        return self.found([name], marked.withColumn("batch", F.lit(name)))
 
-    def accept_streams(self, marked: DataFrame, name: str) -> DataFrame:
-        """`accept` for rows of MARKED."""
+    def accept_streams(self, marked: DataFrame, name: str) -> None:
+        """Takes in rows of MARKED; `found` then tells what they repeat."""
         here = f"{self.path}/batches/{name}"
         texts = marked.groupBy("exact", "key").agg(F.min("id").alias("id"))
         seen = self._read("texts", TEXTS)
@@ -413,41 +415,38 @@ class History:
             texts = texts.join(seen.select("exact", yes.alias("t")), "exact", "left").join(seen.select("key").distinct().withColumn("c", yes), "key", "left")
             no = F.lit(False)
             texts = texts.withColumns({"old_text": F.coalesce("t", no), "old_class": F.coalesce("c", no)})
-        texts = written(texts.select("exact", "key", "id", "old_text", "old_class"), f"{here}/texts")
+        texts = written(texts.select(F.lit(name).alias("batch"), "exact", "key", "id", "old_text", "old_class"), f"{here}/texts")
         reps = texts.where("not old_class").groupBy("key").agg(F.min("id").alias("id"))
         classes = written(marked.join(reps.select("id"), "id", "left_semi").select("id", "key", "n", "elements"), f"{here}/classes")
         starts = (F.col("n") - F.ceil(F.col("n") * self.threshold - ROUNDING) + 1).cast("bigint")
         size = classes.agg(F.sum(starts)).first()[0] or 0
         if not self.state["cells"]:
             self.state["cells"] = 1 << min(20, max(6, (size // 4096).bit_length()))
-        mine, gone = None, []
+        gone = []
         if size:
             mine = self._store(suffixes(classes, self.state["cells"], self.threshold), size, ("cell", "sub"), _sorted)
-        near = self._near(mine, classes, here) if size and self.state["segments"] else None
-        if near is None:
-            near = self.spark.createDataFrame([], "key binary")
-        written(near, f"{here}/near")
-        if size:
+            if self.state["segments"]:
+                self._search(mine, classes, here)
             self.state["segments"].append(mine)
             gone = self._merge()
         self.state["batches"].append(name)
         self._save()
         for s in gone:
             self._drop(s)
-        return self.found([name], marked)
-
-    def _near(self, mine: dict, classes: DataFrame, here: str) -> DataFrame:
-        """(key) of the new classes that have a near one in the history."""
-        found = self._verified(self._hits(self._table(mine), PROBE), classes, f"{here}/hits", True)
-        near = written(found, f"{here}/found")
-        hits = self.spark.read.schema(HITS).parquet(f"{here}/hits")
-        rest = written(hits.where("old = -1").select(F.col("new").alias("id")).distinct().join(near, "id", "left_anti"), f"{here}/rest")
-        if not rest.isEmpty():  # common starts hid matches of these: all their matches
-            again = classes.join(rest, "id", "left_semi")
-            rows = suffixes(again, self.state["cells"], self.threshold).repartition("cell", "sub").sortWithinPartitions("cell", "sub").mapInPandas(_sorted, CHUNKS)
-            more = written(rows, f"{here}/again")
-            near = near.union(self._verified(self._hits(more, None), again, f"{here}/all_hits", False))
-        return classes.join(near, "id", "left_semi").select("key")
+
+    def _search(self, mine: dict, classes: DataFrame, here: str) -> None:
+        """Writes below near-1 and near-2 the (id, key) of the new classes that have a near one in the history."""
+        hits = written(self._hits(self._table(mine), PROBE), f"{here}/hits")
+        pairs, hidden = hits.agg(F.count("*"), F.count_if(F.col("old") == -1)).first()
+        near = written(self._verified(hits, classes, pairs, bool(hidden)), f"{here}/near-1")
+        if not hidden:
+            return
+        # common starts hid matches of these: all matches of what has not been found
+        rest = classes.join(hits.where("old = -1").select(F.col("new").alias("id")), "id", "left_semi").join(near.select("id"), "id", "left_anti")
+        rest = written(rest, f"{here}/rest")
+        rows = suffixes(rest, self.state["cells"], self.threshold).repartition("cell", "sub").sortWithinPartitions("cell", "sub").mapInPandas(_sorted, CHUNKS)
+        hits = written(self._hits(written(rows, f"{here}/again"), None), f"{here}/all-hits")
+        written(self._verified(hits, rest, hits.count(), False), f"{here}/near-2")
 
     def _hits(self, mine: DataFrame, most: int | None) -> DataFrame:
         """Matches of the new chunks in all segments, added up per pair."""
@@ -460,45 +459,51 @@ class History:
                         yield pd.DataFrame(dict(zip(("new", "old", "n_new", "n_old", "covered"), x, strict=True)))
 
         hits = None
-        new = mine.select("cell", "first", "last", "entries")
+        new = mine.select("cell", "sub", "first", "last", "entries")
         for s in self.state["segments"]:
             old = self._table(s).select("cell", "sub", F.col("first").alias("f"), F.col("last").alias("l"), F.col("entries").alias("old"))
-            parts = self._table(s).select("cell", "sub").distinct()  # in which parts of a cell there is something
-            n = new.join(parts, "cell").join(old, ["cell", "sub"]).where("first <= l and f <= last").select("entries", "old").mapInPandas(run, HITS)
+            there = new.drop("sub").withColumn("sub", F.lit(0))
+            if s["dealt"]:  # a cell's chunks go to all parts of the cell that have something
+                there = new.drop("sub").join(self._table(s).select("cell", "sub").distinct(), "cell")
+            n = there.join(old, ["cell", "sub"]).where("first <= l and f <= last").select("entries", "old").mapInPandas(run, HITS)
             hits = n if hits is None else hits.union(n)
         return hits.groupBy("new", "old").agg(*[F.max(c).alias(c) for c in ("n_new", "n_old")], F.sum("covered").alias("covered"))
 
-    def _verified(self, hits: DataFrame, classes: DataFrame, path: str, partial: bool) -> DataFrame:
-        """(id) of the new records with a similar old one. Only elements of records in pairs with coverage enough are read.
+    def _verified(self, hits: DataFrame, classes: DataFrame, size: int, partial: bool) -> DataFrame:
+        """(id, key) of the new classes with a similar old one. Only elements of records in pairs with coverage enough are read.
 
         The elements behind the starts can be common besides the covered ones. Where not all matches of a record were taken,
         its coverage is no bound.
         """
-        hits = written(hits, path)
         t = self.threshold
         rest = lambda c: F.ceil(F.col(c) * t - ROUNDING) - 1
         need = F.ceil((F.col("n_new") + F.col("n_old")) * (t / (1 + t)) - ROUNDING)
         enough = F.col("covered") >= need - F.greatest(rest("n_new"), rest("n_old"))
-        pairs = hits.where("old >= 0 or old < -1")
+        pairs = hits.where("old <> -1")
         if partial:
-            hidden = hits.where("old = -1").select("new", F.lit(True).alias("hidden"))
-            pairs = pairs.join(hidden, "new", "left")
+            pairs = pairs.join(hits.where("old = -1").select("new", F.lit(True).alias("hidden")), "new", "left")
             enough = enough | F.col("hidden").isNotNull()
-        pairs = written(pairs.where(enough).select(F.col("new").alias("a"), F.col("old").alias("b")), f"{path}_pairs")
-        few = pairs.count() <= FEW
-        some = lambda c: (lambda d: F.broadcast(d) if few else d)(pairs.select(F.col(c).alias("id")).distinct())
-        of_new = classes.join(some("a"), "id", "left_semi").select(F.col("id").alias("a"), F.col("elements").alias("x"))
-        of_old = self._read("classes", "id bigint, elements array<bigint>").join(some("b"), "id", "left_semi").select(F.col("id").alias("b"), F.col("elements").alias("y"))
-        return pairs.join(of_new, "a").join(of_old, "b").where(shared_elements("x", "y") >= t).select(F.col("a").alias("id")).distinct()
+        pairs = pairs.where(enough).select(F.col("new").alias("a"), F.col("old").alias("b"))
+        named = pairs.select(F.col("b").alias("id")).distinct()
+        of_new = classes.select(F.col("id").alias("a"), "key", F.col("elements").alias("x"))
+        of_old = self._read("classes", "id bigint, elements array<bigint>").join(F.broadcast(named) if size <= FEW else named, "id", "left_semi")
+        of_old = of_old.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+        return pairs.join(of_new, "a").join(of_old, "b").where(shared_elements("x", "y") >= t).select(F.col("a").alias("id"), "key").distinct()
 
     def found(self, names: list[str], marked: DataFrame) -> DataFrame:
-        """(record_id, kind) of the rows of MARKED of accepted batches."""
-        texts = self._read("texts", TEXTS, names)
-        near = self._read("near", "key binary", names).withColumn("near", F.lit(True))
-        rows = marked.select("id", "exact").join(texts.join(near, "key", "left").select("exact", "old_text", "old_class", "near"), "exact")
+        """(record_id, kind) of the rows (id, exact, batch) of accepted batches."""
+        paths = [f"batches/{b}/near-{k}" for b in names for k in (1, 2)]
+        paths = [f"{self.path}/{x}" for x in paths if self._exists(x)]
+        near = self.spark.read.schema("key binary").parquet(*paths) if paths else self.spark.createDataFrame([], "key binary")
+        texts = self._read("texts", TEXTS, names).join(near.distinct().withColumn("near", F.lit(True)), "key", "left").select("batch", "exact", "old_text", "old_class", "near")
+        rows = marked.select("id", "exact", "batch").join(texts, ["batch", "exact"])
         kind: Column = F.when(F.col("old_text"), "exact").when(F.col("old_class") | F.col("near").isNotNull(), "near")
         return rows.select(F.col("id").alias("record_id"), kind.alias("kind")).where("kind is not null")
 
+    def _exists(self, what: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{what}")
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
     def close(self) -> None:
         """Forgets the tables' names in this session; the history's files stay."""
         for name in self.names.values():
@@ -506,7 +511,7 @@ class History:
         self.names = {}
 
 
-TEXTS = "exact binary, key binary, id bigint, old_text boolean, old_class boolean"
+TEXTS = "batch string, exact binary, key binary, id bigint, old_text boolean, old_class boolean"
 HITS = "new bigint, old bigint, n_new bigint, n_old bigint, covered bigint"
 
 
@@ -522,12 +527,10 @@ def duplicates(records: DataFrame, threshold: float, path: str) -> DataFrame:
     order = history.order(rows.where(F.col("batch") == F.lit(first)))
     marked = written(streams(rows, order, "batch"), f"{path}/marked", "batch")
     numbers = sorted(r[0] for r in marked.select("batch").distinct().collect())  # as many as there are batches
-    found = []
+    names = {number: f"{number:010d}" for number in numbers}
     for number in numbers:
-        part = spark.read.schema(MARKED).parquet(f"{path}/marked/batch={number}")
-        found.append(history.accept_streams(part, f"{number:010d}"))
+        history.accept_streams(spark.read.schema(MARKED).parquet(f"{path}/marked/batch={number}"), names[number])
     history.close()
-    out = spark.createDataFrame([], "record_id bigint, kind string")
-    for f in found:
-        out = out.union(f)
-    return out
+    if not numbers:
+        return spark.createDataFrame([], "record_id bigint, kind string")
+    return history.found(list(names.values()), marked.withColumn("batch", F.format_string("%010d", "batch")))
