@@ -60,26 +60,42 @@ def code_of(label: str | None) -> str | None:
     return _CODE.get(s) or _CODE.get(re.split(r"[-_ (]", s, maxsplit=1)[0])
 
 
+def words_of_token(token: str) -> list[str]:
+    """The words of what stands between white space that tell of a language, in lower case."""
+    core = token.strip(".,;:!?()[]\"'«»„“”‘’。、，！？：；（）「」*-–—>#|")
+    if not core:
+        return []
+    if not _CJK.search(core) and (re.search(r"[\d_/\\=@{}<>$%]|\w\.\w|\w\(\)", core) or re.search(r"[a-z][A-Z]", core) or len(core) > 28):
+        return []
+    return [w.lower() for w in _WORD.findall(core)]
+
+
+def _tokens(paragraph: str) -> list[str]:
+    p = paragraph
+    if "#" in p:
+        p = _TITLE.sub(lambda m: m.group() if _TITLE_CJK.search(m.group()) else " ", p)
+    if "`" in p or "@" in p or "<" in p or "://" in p or "www." in p:  # without one of these nothing is dropped
+        p = _DROP.sub(" ", p)
+    return p.split()
+
+
 def words_of(paragraph: str) -> list[str]:
     """Words that tell of a language, in lower case. Runs of Chinese or Japanese characters count as words."""
-    p = _TITLE.sub(lambda m: m.group() if _TITLE_CJK.search(m.group()) else " ", paragraph)
-    out = []
-    for token in _DROP.sub(" ", p).split():
-        core = token.strip(".,;:!?()[]\"'«»„“”‘’。、，！？：；（）「」*-–—>#|")
-        if not core:
-            continue
-        if not _CJK.search(core) and (re.search(r"[\d_/\\=@{}<>$%]|\w\.\w|\w\(\)", core) or re.search(r"[a-z][A-Z]", core) or len(core) > 28):
-            continue
-        out += [w.lower() for w in _WORD.findall(core)]
-    return out
+    return [w for t in _tokens(paragraph) for w in words_of_token(t)]
+
+
+def _paragraphs(text: str) -> list[str]:
+    t = text.replace("\r\n", "\n").replace("\r", "\n")
+    if not t.isascii():
+        t = re.sub(r"[​‌‍﻿­]", "", unicodedata.normalize("NFC", t))
+    if "```" in t or "~~~" in t:
+        t = _FENCE.sub("\n\n", t)
+    return re.split(r"\n[^\S\n]*\n", t)
 
 
 def paragraphs_of(text: str) -> list[list[str]]:
     """The words of each paragraph outside code blocks."""
-    t = unicodedata.normalize("NFC", text.replace("\r\n", "\n").replace("\r", "\n"))
-    t = re.sub(r"[​‌‍﻿­]", "", t)
-    t = _FENCE.sub("\n\n", t)
-    return [words_of(p) for p in re.split(r"\n[^\S\n]*\n", t)]
+    return [words_of(p) for p in _paragraphs(text)]
 
 
 def has_language(words: list[str]) -> bool:
@@ -97,25 +113,93 @@ def grams(word: str) -> list[int]:
     return [zlib.crc32(w[i : i + k].encode("utf-8", "surrogatepass")) % BUCKETS for k in (1, 2, 3, 4) for i in range(n - k + 1) if k > 1 or w[i] != " "]
 
 
-class Models:
-    """log p(bucket | language), languages x BUCKETS."""
+class Words:
+    """Numbers for words, so that texts become arrays; what is known of a token or a word is worked out once."""
+
+    #: Words and tokens kept before a worker starts afresh; between batches only.
+    KEEP = 500_000
+
+    def __init__(self):
+        self.tokens: dict[str, tuple[int, ...]] = {}
+        self.number: dict[str, int] = {}
+        self.names: list[str] = []
+        self.letters: list[int] = []
+        self.cjk: list[int] = []
+
+    def fresh(self) -> None:
+        if len(self.tokens) > self.KEEP:
+            Words.__init__(self)
+
+    def _of(self, token: str) -> tuple[int, ...]:
+        out = []
+        for w in words_of_token(token):
+            k = self.number.get(w)
+            if k is None:
+                k = self.number[w] = len(self.names)
+                self.names.append(w)
+                self.letters.append(len(w))
+                self.cjk.append(len(_CJK.findall(w)))
+            out.append(k)
+        return tuple(out)
+
+    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word numbers, words of each paragraph, text of each paragraph) of the paragraphs with natural language."""
+        known = self.tokens
+        ids: list[int] = []
+        sizes, docs = [], []
+        for d, text in enumerate(texts):
+            if not isinstance(text, str) or not text or text.isspace():
+                continue
+            for p in _paragraphs(text):
+                begin = len(ids)
+                for t in _tokens(p):
+                    v = known.get(t)
+                    if v is None:
+                        v = known[t] = self._of(t)
+                    ids += v
+                if len(ids) > begin:
+                    sizes.append(len(ids) - begin)
+                    docs.append(d)
+        ids_, sizes_, docs_ = np.array(ids, np.int64), np.array(sizes, np.int64), np.array(docs, np.int64)
+        if not len(sizes_):
+            return ids_, sizes_, docs_
+        starts = np.cumsum(sizes_) - sizes_
+        enough = (np.add.reduceat(np.array(self.letters)[ids_], starts) >= NEED) | (np.add.reduceat(np.array(self.cjk)[ids_], starts) >= 2)
+        return ids_[np.repeat(enough, sizes_)], sizes_[enough], docs_[enough]
+
+
+def flat_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of all words one after the other, where each word's begin)."""
+    each = [grams(w) for w in words]
+    n = np.fromiter(map(len, each), np.int64, len(each))
+    return np.fromiter((g for x in each for g in x), np.int64, int(n.sum())), np.cumsum(n) - n
+
+
+class Models(Words):
+    """log p(bucket | language), languages x BUCKETS, and the log-likelihoods of the words met so far."""
 
     def __init__(self, counts: np.ndarray):
+        super().__init__()
         smooth = counts + 0.05
         self.logp = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.known: dict[str, np.ndarray] = {}
+        self.table = np.empty((0, len(counts)))
+
+    def fresh(self) -> None:
+        if len(self.tokens) > self.KEEP:
+            Words.__init__(self)
+            self.table = self.table[:0]
 
-    def word(self, w: str) -> np.ndarray:
-        """Log-likelihoods of a word; n-grams overlap, so each counts for a third."""
-        v = self.known.get(w)
-        if v is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            v = self.known[w] = self.logp[:, grams(w)].sum(axis=1).astype(np.float64) / 3
-        return v
+    def like(self, ids: np.ndarray) -> np.ndarray:
+        """Words x languages; n-grams overlap, so each counts for a third."""
+        if len(self.table) < len(self.names):
+            b, starts = flat_grams(self.names[len(self.table) :])
+            self.table = np.concatenate([self.table, np.add.reduceat(self.logp[:, b].T.astype(np.float64), starts, axis=0) / 3])
+        return self.table[ids]
 
     def matrix(self, words: list[str]) -> np.ndarray:
-        return np.array([self.word(w) for w in words])
+        for w in words:
+            self._of(w)
+        return self.like(np.array([self.number[w] for w in words]))
 
 
 def proportions(like: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
@@ -129,81 +213,146 @@ def proportions(like: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
     return pi, float((np.log((p * pi).sum(axis=1)) + top[:, 0]).sum())
 
 
-def language_set(like: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """The languages whose mixture has the best penalised likelihood, grown one by one, and their proportions."""
-    chosen = [int(like.sum(axis=0).argmax())]
-    pi, best = proportions(like[:, chosen])
-    while len(chosen) < like.shape[1]:
-        least = best + PENALTY + np.log(len(like))
-        top = like[:, chosen].max(axis=1, keepdims=True)
-        most = np.maximum(like, top).sum(axis=0)  # no mixture with a further language is likelier than that
-        tries = []
-        for k in range(like.shape[1]):
-            if k not in chosen and most[k] > least:
-                q, ll = proportions(like[:, [*chosen, k]])
-                tries.append((ll, k, q))
-        if not tries:
-            break
-        ll, k, q = max(tries, key=lambda x: x[0])
-        if ll <= least:
+def language_sets(like: np.ndarray, sizes: np.ndarray, rounds: int = 12) -> list[tuple[list[int], np.ndarray]]:
+    """For each document (sizes: its words, rows of like) the languages whose mixture has the best penalised likelihood.
+
+    Sets grow one by one. Expectation-maximisation between the mixture so far and each further language, for all documents and
+    languages at once, names the best further language; with three or more its proportions are then estimated anew.
+    """
+    starts = np.cumsum(sizes) - sizes
+    total = np.add.reduceat(like, starts, axis=0)
+    chosen = [[int(k)] for k in total.argmax(axis=1)]
+    pi = [np.ones(1) for _ in chosen]
+    best = total.max(axis=1)
+    least = best + PENALTY + np.log(sizes)
+    mix = like[np.arange(len(like)), np.repeat(total.argmax(axis=1), sizes)]  # log-likelihoods of the words by the mixtures so far
+    top = mix.copy()  # by the likeliest of the languages chosen
+    open_ = np.arange(len(sizes))
+    while len(open_):
+        rows = np.concatenate([np.arange(starts[d], starts[d] + sizes[d]) for d in open_]) if len(open_) < len(sizes) else np.arange(len(like))
+        n = sizes[open_]
+        at = np.cumsum(n) - n
+        most = np.add.reduceat(np.maximum(like[rows], top[rows, None]), at, axis=0)  # no mixture with a further language is likelier
+        able = most > least[open_, None]
+        for i, d in enumerate(open_.tolist()):
+            able[i, chosen[d]] = False
+        some = able.any(axis=1)
+        keep = np.repeat(some, n)
+        open_, able, rows, n = open_[some], able[some], rows[keep], n[some]
+        if not len(open_):
             break
-        chosen, pi, best = [*chosen, k], q, ll
-    return chosen, pi
+        at = np.cumsum(n) - n
+        ratio = np.exp(np.minimum(like[rows] - mix[rows, None], 300.0))
+        share = np.full(able.shape, 0.5)
+        for _ in range(rounds):
+            x = np.repeat(share, n, axis=0)
+            x *= ratio
+            x /= x + 1 - np.repeat(share, n, axis=0)
+            share = np.add.reduceat(x, at, axis=0) / n[:, None]
+        x = np.repeat(share, n, axis=0)
+        gain = np.add.reduceat(np.log(1 - x + x * ratio), at, axis=0)
+        gain[~able] = -np.inf
+        more = gain.argmax(axis=1)
+        again = []
+        for i, d in enumerate(open_.tolist()):
+            k, r = int(more[i]), slice(starts[d], starts[d] + sizes[d])
+            if len(chosen[d]) == 1:
+                q, ll = np.array([1 - share[i, k], share[i, k]]), best[d] + gain[i, k]
+            else:
+                q, ll = proportions(like[r][:, [*chosen[d], k]], rounds)
+            if ll > least[d]:
+                chosen[d], pi[d], best[d], least[d] = [*chosen[d], k], q, ll, ll + PENALTY + np.log(sizes[d])
+                own = like[r][:, chosen[d]]
+                top[r] = own.max(axis=1)
+                mix[r] = np.log((np.exp(own - top[r][:, None]) * q).sum(axis=1)) + top[r]
+                again.append(d)
+        open_ = np.array(again, np.int64)
+    return list(zip(chosen, pi, strict=True))
 
 
-def segments_of(text: str | None, models: Models) -> list[tuple[int, str, float, int]]:
-    """(seg_no, language, confidence, words) of a text."""
-    if not text or text.isspace():
-        return []
-    paras = [w for w in paragraphs_of(text) if w and has_language(w)]
-    if not paras:
-        return []
-    each = [models.matrix(w) for w in paras]
-    chosen, pi = language_set(np.concatenate(each))
-    like = np.array([m.sum(axis=0) for m in each])
+def language_set(like: np.ndarray) -> tuple[list[int], np.ndarray]:
+    return language_sets(like, np.array([len(like)]))[0]
+
+
+def _path(like: np.ndarray, chosen: list[int], pi: np.ndarray) -> np.ndarray:
+    """The best sequence of the chosen languages over the paragraphs (Viterbi)."""
     score = like[:, chosen] + np.log(np.maximum(pi, 1e-4))
-    path = np.empty(len(paras), np.int64)
-    back = np.zeros((len(paras), len(chosen)), np.int64)
+    path = np.empty(len(like), np.int64)
+    back = np.zeros(score.shape, np.int64)
     now = score[0].copy()
-    for i in range(1, len(paras)):
+    for i in range(1, len(like)):
         stay, change = now, now.max() - SWITCH
         back[i] = np.where(stay >= change, np.arange(len(chosen)), int(now.argmax()))
         now = np.maximum(stay, change) + score[i]
     path[-1] = int(now.argmax())
-    for i in range(len(paras) - 1, 0, -1):
+    for i in range(len(like) - 1, 0, -1):
         path[i - 1] = back[i][path[i]]
-    out: list[tuple[int, str, float, int]] = []
-    i = 0
-    while i < len(paras):
-        j = i
-        while j < len(paras) and path[j] == path[i]:
-            j += 1
-        total = like[i:j].sum(axis=0)
-        n = sum(map(len, paras[i:j]))
-        odds = np.exp((total - total.max()) / max(1.0, n**0.5))  # words of a text are not independent
-        lang = chosen[path[i]]
-        out.append((len(out), LANGUAGES[lang], float(odds[lang] / odds.sum()), n))
-        i = j
-    return out
+    return np.array(chosen)[path]
+
+
+def segments_of_all(texts: list[str | None], models: Models) -> tuple[np.ndarray, ...]:
+    """(text, seg_no, language, confidence, words) of the segments of all texts."""
+    ids, sizes, docs = models.flat(texts)
+    if not len(ids):
+        z = np.empty(0, np.int64)
+        return z, z, z, np.empty(0), z
+    like = models.like(ids)
+    first = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])  # each text's first paragraph
+    paras = np.diff(np.r_[first, len(docs)])
+    para = np.add.reduceat(like, np.cumsum(sizes) - sizes, axis=0)
+    sets = language_sets(like, np.add.reduceat(sizes, first))
+    lang = np.repeat(np.array([c[0] for c, _ in sets]), paras)
+    for (chosen, pi), a, k in zip(sets, first.tolist(), paras.tolist(), strict=True):
+        if len(chosen) > 1:
+            lang[a : a + k] = _path(para[a : a + k], chosen, pi)
+    head = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (lang[1:] != lang[:-1])])
+    total, n, doc, lang = np.add.reduceat(para, head, axis=0), np.add.reduceat(sizes, head), docs[head], lang[head]
+    odds = np.exp((total - total.max(axis=1, keepdims=True)) / np.maximum(1.0, n**0.5)[:, None])  # words of a text are not independent
+    number = np.arange(len(head)) - np.searchsorted(doc, doc, "left")
+    return doc, number, lang, odds[np.arange(len(head)), lang] / odds.sum(axis=1), n
+
+
+def segments_of(text: str | None, models: Models) -> list[tuple[int, str, float, int]]:
+    """(seg_no, language, confidence, words) of a text."""
+    _, number, lang, confidence, n = segments_of_all([text], models)
+    return [(int(i), LANGUAGES[k], float(c), int(m)) for i, k, c, m in zip(number, lang, confidence, n, strict=True)]
 
 
 def _count(rows: DataFrame, shared) -> np.ndarray:
     """Counts of hashed n-grams per language, languages x BUCKETS: a table of fixed size, whatever the input's."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = Models(shared.value) if shared is not None else None
+        words = Models(shared.value) if shared is not None else Words()
         total = np.zeros((len(LANGUAGES), BUCKETS), np.int64)
+
+        def add(by: np.ndarray) -> None:
+            """Counts of words (languages x words) become counts of their n-grams."""
+            some = np.flatnonzero(by.any(axis=0))
+            b, starts = flat_grams([words.names[i] for i in some])
+            n = np.diff(np.r_[starts, len(b)])
+            for k in range(len(LANGUAGES)):
+                total[k] += np.bincount(b, np.repeat(by[k, some], n), minlength=BUCKETS).astype(np.int64)
+
+        held = np.zeros((len(LANGUAGES), 0), np.int64)
         for p in batches:
-            for label, text in zip(p.lang, p.text, strict=True):
-                given = code_of(label)
-                if given is None or not isinstance(text, str):
-                    continue
-                for words in paragraphs_of(text):
-                    if not words or not has_language(words):
-                        continue
-                    k = LANGUAGES.index(given) if models is None else int(models.matrix(words).sum(axis=0).argmax())
-                    for w in words:
-                        np.add.at(total[k], grams(w), 1)
+            given = [code_of(x) for x in p.lang]
+            ids, sizes, docs = words.flat([t if g else None for g, t in zip(given, p.text, strict=True)])
+            if not len(ids):
+                continue
+            if shared is None:
+                label = np.array([LANGUAGES.index(g) if g else 0 for g in given])[docs]
+            else:
+                label = np.add.reduceat(words.like(ids), np.cumsum(sizes) - sizes, axis=0).argmax(axis=1)
+            size = len(words.names)
+            by = np.bincount(np.repeat(label, sizes) * size + ids, minlength=len(LANGUAGES) * size).reshape(len(LANGUAGES), size)
+            by[:, : held.shape[1]] += held
+            held = by
+            if len(words.tokens) > words.KEEP:
+                add(held)
+                words.fresh()
+                held = held[:, :0]
+        if held.size:
+            add(held)
         k, b = np.nonzero(total)
         yield pd.DataFrame({"k": k.astype(np.int32), "b": b.astype(np.int32), "n": total[k, b]})
 
@@ -228,13 +377,18 @@ def segments(documents: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = Models(shared.value)
+        names = np.array(LANGUAGES, object)
         for p in batches:
-            out = []
-            for doc, label, text in zip(p.doc_id, p.lang, p.text, strict=True):
-                s = segments_of(text if isinstance(text, str) else None, models)
-                n = len({x[1] for x in s})
-                out += [(doc, i, lang, round(conf, 6), words, code_of(label), n) for i, lang, conf, words in s]
-            yield pd.DataFrame(out, columns=["doc_id", "seg_no", "lang", "confidence", "n_words", "label_code", "n_langs"])
+            doc, number, lang, confidence, n = segments_of_all([t if isinstance(t, str) else None for t in p.text], models)
+            label = np.array([code_of(x) for x in p.lang], object)
+            several = np.bincount(np.unique(doc * len(LANGUAGES) + lang) // len(LANGUAGES), minlength=len(p)) if len(doc) else np.zeros(len(p), np.int64)
+            yield pd.DataFrame(
+                {
+                    "doc_id": p.doc_id.to_numpy()[doc], "seg_no": number.astype(np.int32), "lang": names[lang], "confidence": np.round(confidence, 6),
+                    "n_words": n.astype(np.int32), "label_code": label[doc], "n_langs": several[doc].astype(np.int32),
+                }
+            )
+            models.fresh()
 
     schema = "doc_id bigint, seg_no int, lang string, confidence double, n_words int, label_code string, n_langs int"
     return documents.select("doc_id", "lang", "text").mapInPandas(split, schema)
