@@ -462,7 +462,7 @@ class History:
         new = mine.select("cell", "sub", "first", "last", "entries")
         for s in self.state["segments"]:
             old = self._table(s).select("cell", "sub", F.col("first").alias("f"), F.col("last").alias("l"), F.col("entries").alias("old"))
-            there = new.drop("sub").withColumn("sub", F.lit(0))
+            there = new.withColumn("sub", F.col("sub").bitwiseAND(0))  # no literal: the join would lose the segment's bucketing
             if s["dealt"]:  # a cell's chunks go to all parts of the cell that have something
                 there = new.drop("sub").join(self._table(s).select("cell", "sub").distinct(), "cell")
             n = there.join(old, ["cell", "sub"]).where("first <= l and f <= last").select("entries", "old").mapInPandas(run, HITS)
