@@ -130,17 +130,14 @@ class Words:
         if len(self.tokens) > self.KEEP:
             Words.__init__(self)
 
-    def _of(self, token: str) -> tuple[int, ...]:
-        out = []
-        for w in words_of_token(token):
-            k = self.number.get(w)
-            if k is None:
-                k = self.number[w] = len(self.names)
-                self.names.append(w)
-                self.letters.append(len(w))
-                self.cjk.append(len(_CJK.findall(w)))
-            out.append(k)
-        return tuple(out)
+    def word(self, w: str) -> int:
+        k = self.number.get(w)
+        if k is None:
+            k = self.number[w] = len(self.names)
+            self.names.append(w)
+            self.letters.append(len(w))
+            self.cjk.append(len(_CJK.findall(w)))
+        return k
 
     def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word numbers, words of each paragraph, text of each paragraph) of the paragraphs with natural language."""
@@ -155,7 +152,7 @@ class Words:
                 for t in _tokens(p):
                     v = known.get(t)
                     if v is None:
-                        v = known[t] = self._of(t)
+                        v = known[t] = tuple(map(self.word, words_of_token(t)))
                     ids += v
                 if len(ids) > begin:
                     sizes.append(len(ids) - begin)
@@ -197,9 +194,7 @@ class Models(Words):
         return self.table[ids]
 
     def matrix(self, words: list[str]) -> np.ndarray:
-        for w in words:
-            self._of(w)
-        return self.like(np.array([self.number[w] for w in words]))
+        return self.like(np.array([self.word(w) for w in words]))
 
 
 def proportions(like: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
