@@ -4,10 +4,13 @@ A linear support-vector classifier over hashed character n-grams (of the text an
 digits become classes), path components and a few flags. There are no labels, so seeds give them: files whose header,
 name, place or make-up gives them away count as positive, all others as negative. Giveaway headers and the names of
 known libraries are masked in the texts, and for half of the training rows the flags are hidden too, so that the weights
-of n-grams and paths are learnt for files that have no giveaway. A fifth of the repositories (by hash) is held out;
-the threshold is set on them, and they give the figures of `validation`.
+of n-grams and paths are learnt for files that have no giveaway. Repositories (by hash) are split in three: the weights are
+fitted on three fifths, the threshold is set on one fifth, and one fifth gives the figures of `p5_validation`: as files are
+scored, and with the flags hidden from the classifier as their notices are from the n-grams (`_masked`), which is what it has
+learnt beyond the seeds.
 
-The training sample is bounded by TRAIN_ROWS, dealt by hash; the classifier is applied to every file, to whole texts.
+The training sample is bounded by TRAIN_ROWS, dealt by hash; its features are made where the files are, and only they (at most DIM
+numbers a file) go to the task that fits. The classifier is applied to every file, to whole texts.
 
 Cases: null and empty texts, and null paths, are classified by what is there (an empty file is hand-written); repeated
 files get the same verdict; ties in the score count as hand-written.
@@ -15,6 +18,7 @@ files get the same verdict; ties in the score count as hand-written.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -60,22 +64,74 @@ _SUBJECT = re.compile(r"(?i)(?:this |the |dieser? |ce |este |questo |dit )?(?:fi
 _ARRAY = re.compile(r"(?:\A|=|\bdefault\b|\breturn\b)\s*\[\s*(?:\{[^{}]{0,400}\}[\s,]*+){8,}")
 
 
+def stems(pattern: str) -> list[list[frozenset[str]]]:
+    """For each alternative of the pattern sets of texts: whatever it matches has one text of each set. Read off the parse tree."""
+    from re import _parser as parse
+
+    def sets(items) -> list[frozenset[str]]:
+        out, run = [], ""
+        for op, arg in [*items, (None, None)]:
+            if op is parse.LITERAL:
+                run += chr(arg)
+                continue
+            if run:
+                out.append(frozenset((_folded(run),)))
+            run = ""
+            if op is parse.SUBPATTERN:
+                out += sets(arg[3])
+            elif op is parse.BRANCH:
+                each = [max(sets(x), key=lambda y: min(map(len, y)), default=frozenset()) for x in arg[1]]
+                out += [frozenset().union(*each)] if all(each) else []
+        return out
+
+    items = list(parse.parse(pattern))
+    while len(items) == 1 and items[0][0] is parse.SUBPATTERN:
+        items = list(items[0][1][3])
+    branches = items[0][1][1] if len(items) == 1 and items[0][0] is parse.BRANCH else [items]
+    return [[x for x in sets(b) if min(map(len, x)) > 1] for b in branches]
+
+
+def _folded(text: str) -> str:
+    """Like regular expressions that ignore case see it."""
+    return text.lower() if text.isascii() else text.casefold().replace("i\u0307", "i").replace("\u0131", "i")
+
+
+_NOTICE_STEMS, _COPY_STEMS = stems(NOTICE.pattern), stems(COPY_NOTICE.pattern)
+#: What stands in the forms of copy notices that have no stems.
+_VERSION = re.compile(r"(?i)(?:v|version |release |@)\d+\.\d")
+_NOTICE_ALL, _COPY_ALL = re.compile(NOTICE.pattern, re.M), re.compile(COPY_NOTICE.pattern, re.M)
+
+
+def _lines_with(code: str, low: str, needed: list[list[frozenset[str]]], over_all: re.Pattern, pattern: re.Pattern, lines: list[str]) -> set[int]:
+    """Numbers of the lines that the pattern matches. Most texts have none of the stems; in the others matches over the whole
+    text name the lines to look at, as a match within a line is one of the text, or overlaps one."""
+    if not any(all(any(x in low for x in texts) for texts in sets) if sets else _VERSION.search(code) for sets in needed):
+        return set()
+    near: set[int] = set()
+    for m in over_all.finditer(code):
+        a = code.count("\n", 0, m.start())
+        near.update(range(a, a + m.group().count("\n") + 1))
+    return {k for k in near if pattern.search(lines[k])}
+
+
 def _comments(path: str, code: str) -> list[tuple[int, int]]:
     """(start, end) of the comments, those in literals left out."""
     lexer = secrets._PYTHON if path.lower().endswith((".py", ".pyi")) or (not path and re.search(r"(?m)^\s*#", code)) else secrets._SCRIPT
     return [m.span() for m in lexer.finditer(code) if m["c"] is not None]
 
 
+@functools.lru_cache(maxsize=8)
 def notices(path: str, code: str) -> tuple[set[int], set[int]]:
     """Numbers of the lines (from 0) with a program's notice and with a notice of a copy.
 
     In the first lines and in the comments before all code any form counts; in the comments after that, down to the last
     line, a form that says what the file is: it begins the comment's line, or the file is its subject.
     """
-    lines = code.split("\n")
-    made = {k for k, x in enumerate(lines[:12]) if NOTICE.search(x)}
-    copied = {k for k, x in enumerate(lines[:8]) if COPY_NOTICE.search(x)}
-    some = [k for k, x in enumerate(lines) if k >= 8 and (NOTICE.search(x) or COPY_NOTICE.search(x))]
+    lines, low = code.split("\n"), _folded(code)
+    all_made = _lines_with(code, low, _NOTICE_STEMS, _NOTICE_ALL, NOTICE, lines)
+    all_copied = _lines_with(code, low, _COPY_STEMS, _COPY_ALL, COPY_NOTICE, lines)
+    made, copied = {k for k in all_made if k < 12}, {k for k in all_copied if k < 8}
+    some = sorted(k for k in all_made | all_copied if k >= 8)
     if not some:
         return made, copied
     starts = np.cumsum([0, *(len(x) + 1 for x in lines)])
@@ -112,7 +168,7 @@ def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
     n = max(1, len(code))
     lines = code.split("\n")
     longest = max(map(len, lines))
-    blanks = sum(c.isspace() for c in code) / n
+    blanks = (len(code) - len("".join(code.split()))) / n
     digits = len("".join(_NUMBER.findall(code))) / n
     blob = sum(len(m) for m in _BLOB.findall(code))
     records = _RECORD.findall(code) if code.lstrip()[:1] == "[" or "= [{" in code[:200] else []
@@ -140,12 +196,17 @@ def seed(flags: np.ndarray) -> int:
     return int(bool(f["notice"] or f["copy_notice"] or f["known_library"] or f["machine_name"] or f["dense_lines"] or f["numbers"] or f["blob"] or f["records"] or f["lock"]))
 
 
+_NAME = re.compile(r"[A-Za-z]{5,}")
+
+
 def masked(code: str, libraries: frozenset[str], path: str = "") -> str:
     """The text without the lines of its giveaway notices and names of known libraries."""
     made, copied = notices(path, code)
     lines = code.split("\n")
-    text = "\n".join(x for k, x in enumerate(lines) if not (k in made or k in copied or (k < 12 and COPY_NOTICE.search(x))))
-    return re.sub(r"[A-Za-z]{5,}", lambda m: "\x01lib" if m.group().lower() in libraries else m.group(), text)
+    text = "\n".join(x for k, x in enumerate(lines) if not (k in made or k in copied or (8 <= k < 12 and COPY_NOTICE.search(x))))
+    if libraries.isdisjoint(x.lower() for x in set(_NAME.findall(text))):
+        return text
+    return _NAME.sub(lambda m: "\x01lib" if m.group().lower() in libraries else m.group(), text)
 
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -220,47 +281,57 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 6, strengt
 
 
 def train(files: DataFrame, libraries: DataFrame) -> tuple[np.ndarray, float, dict, frozenset[str]]:
-    """(weights, threshold, validation figures, library names). Fitting runs as one task on the bounded sample."""
+    """(weights, threshold, validation figures, library names). Fitting runs as one task on the features of the bounded sample."""
     names = [r[0] for r in libraries.select(F.lower("lib_name")).distinct().limit(MOST_LIBRARIES + 1).collect() if r[0]]
     if len(names) > MOST_LIBRARIES:
         raise ValueError("the table of known libraries is too large to send to every task")
     libs = frozenset(names)
     step = max(1, -(-files.count() // TRAIN_ROWS))
+    part = F.when(F.pmod(F.xxhash64("repo_full_name"), F.lit(10)) < 2, "tune").when(F.pmod(F.xxhash64("repo_full_name"), F.lit(10)) < 4, "report").otherwise("fit")
     sample = files.where(F.pmod(F.xxhash64("file_id", F.lit("train")), F.lit(step)) == 0).select(
-        "file_path", "code", (F.pmod(F.xxhash64("repo_full_name"), F.lit(5)) == 0).alias("held"), F.pmod(F.xxhash64("file_id"), F.lit(2)).cast("boolean").alias("hide")
+        "file_path", "code", part.alias("part"), F.pmod(F.xxhash64("file_id"), F.lit(2)).cast("boolean").alias("hide")
     )
 
+    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            out = []
+            for path, code, part, hide in p[["file_path", "code", "part", "hide"]].itertuples(index=False):
+                path, code = path if isinstance(path, str) else "", code if isinstance(code, str) else ""
+                f = flags_of(path, code, libs)
+                for hidden in [bool(hide)] if part == "fit" else [False] if part == "tune" else [False, True]:
+                    i, v = features(path, code, f, libs, hidden)
+                    out.append((part, hidden, seed(f), i.astype(np.int32).tobytes(), v.tobytes()))
+            yield pd.DataFrame(out, columns=["part", "hidden", "label", "at", "value"])
+
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        rows, held = [], []
-        for path, code, out, hide in p[["file_path", "code", "held", "hide"]].itertuples(index=False):
-            path, code = path if isinstance(path, str) else "", code if isinstance(code, str) else ""
-            f = flags_of(path, code, libs)
-            label = seed(f)
-            if out:
-                held.append((*features(path, code, f, libs, False), label))
-            else:
-                rows.append((*features(path, code, f, libs, hide), label))
+        p = p.sort_values(["at", "value", "hidden"])  # the order of rows, and so the fit, does not depend on the partitions
+        row = lambda x: (np.frombuffer(x.at_, np.int32), np.frombuffer(x.value, np.float32), x.label)
+        p = p.rename(columns={"at": "at_"})
+        of = lambda part, hidden=None: [row(x) for x in p[(p.part == part) & ((p.hidden == hidden) if hidden is not None else True)].itertuples()]
+        rows = of("fit")
         w = fit(rows) if rows else np.zeros(DIM)
-        score = np.array([w[i] @ v for i, v, _ in held]) if held else np.zeros(0)
-        y = np.array([r[2] for r in held], bool)
-        best = (-1.0, 0.0)
-        for t in np.linspace(-0.5, 0.5, 41):
-            tp = int(((score > t) & y).sum())
-            f1 = 2 * tp / max(1, int((score > t).sum()) + int(y.sum()))
-            best = max(best, (round(f1, 9), -abs(t)))
-        cut = next((t for t in sorted(np.linspace(-0.5, 0.5, 41), key=abs) if abs(abs(t) + best[1]) < 1e-9 and round(2 * int(((score > t) & y).sum()) / max(1, int((score > t).sum()) + int(y.sum())), 9) == best[0]), 0.0)
-        tp = int(((score > cut) & y).sum())
-        return pd.DataFrame(
-            {"w": [w.astype(np.float32).tobytes()], "cut": [float(cut)], "rows": [len(rows)], "held": [len(held)], "held_positive": [int(y.sum())], "precision": [tp / max(1, int((score > cut).sum()))], "recall": [tp / max(1, int(y.sum()))]}
-        )
-
-    schema = "w binary, cut double, rows bigint, held bigint, held_positive bigint, precision double, recall double"
-    got = sample.groupBy(F.lit(1).alias("one")).applyInPandas(run, schema).collect()  # one group: the sample is bounded
+
+        def score(held: list) -> tuple[np.ndarray, np.ndarray]:
+            return np.array([w[i] @ v for i, v, _ in held]), np.array([r[2] for r in held], bool)
+
+        def right(s: np.ndarray, y: np.ndarray, cut: float) -> tuple[float, float]:
+            tp = int(((s > cut) & y).sum())
+            return tp / max(1, int((s > cut).sum())), tp / max(1, int(y.sum()))
+
+        s, y = score(of("tune"))
+        f1 = {float(t): round(2 * int(((s > t) & y).sum()) / max(1, int((s > t).sum()) + int(y.sum())), 9) for t in np.linspace(-0.5, 0.5, 41)}
+        cut = min(f1, key=lambda t: (-f1[t], abs(t), t)) if len(s) else 0.0
+        plain, hidden = score(of("report", False)), score(of("report", True))
+        values = {"rows": len(rows), "tuned_on": len(s), "reported_on": len(plain[1]), "reported_positive": int(plain[1].sum())}
+        values |= dict(zip(("precision", "recall"), right(*plain, cut), strict=True)) | dict(zip(("precision_masked", "recall_masked"), right(*hidden, cut), strict=True))
+        return pd.DataFrame({"w": [w.astype(np.float32).tobytes()], "cut": [cut], "figures": [list(values.values())], "names": [list(values)]})
+
+    made = sample.mapInPandas(vectors, "part string, hidden boolean, label int, at binary, value binary")
+    got = made.groupBy(F.lit(1).alias("one")).applyInPandas(run, "w binary, cut double, figures array<double>, names array<string>").collect()  # one group: the sample is bounded
     if not got:
         return np.zeros(DIM, np.float32), 0.0, {"rows": 0}, libs
     r = got[0]
-    figures = {k: r[k] for k in ("rows", "held", "held_positive", "precision", "recall")}
-    return np.frombuffer(r["w"], np.float32), r["cut"], figures, libs
+    return np.frombuffer(r["w"], np.float32), r["cut"], dict(zip(r["names"], r["figures"], strict=True)), libs
 
 
 def scored(files: DataFrame, weights: np.ndarray, cut: float, libs: frozenset[str]) -> DataFrame:

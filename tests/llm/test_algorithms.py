@@ -278,6 +278,15 @@ def test_notices_and_records_count_wherever_they_stand():
     assert not flag("a.py", by_hand)["notice"] and not flag("a.js", "call(1);\n" * 40 + "f([{ a: 1 }]);\n")["records"]
 
 
+def test_stems_stand_in_whatever_a_notice_matches():
+    assert all(handwritten._NOTICE_STEMS) and sum(not x for x in handwritten._COPY_STEMS) == 2
+    assert handwritten.stems("a(?:bc|de)f+|(?i:gh)x?") == [[frozenset({"bc", "de"})], [frozenset({"gh"})]]
+    for text in ("CODE GENERATED BY x", "@generated", "<auto-generated", "autogen", "this file was made by x", "produced by x-1, rerun", "changes will be lost", "do not modify", "machine-made", "automatisch erstellt", "produit par x ne pas", "généré par", "não edite", "请勿修改", "不 編集しないで"):
+        assert handwritten.notices("", f"x\n{text}\n")[0] == {1}, text
+    for text in ("vendored copy", "part of the x project", "lib.js v1.2.3", "x - version 1.2", "a@1.2.3", "@license x 1.2.3", "this is x (release 1"):
+        assert handwritten.notices("", f"x\n{text}\n")[1] == {1}, text
+
+
 def test_support_vectors_separate():
     r = np.random.default_rng(0)
     rows = [(np.array([5 if y else 6, int(r.integers(100, 2000))]), np.array([1, 1], np.float32), y) for y in (0, 1) for _ in range(100)]
