@@ -12,9 +12,11 @@ Running sums come without a window over a whole source: documents fall into bloc
 of bounded size, the blocks' counts are summed up, and ranks are counted within blocks.
 
 Cases: texts that are null or empty have no tokens and are in no mix; a source without documents, an unknown source or
-a null share reaches 0 tokens and is reported; a source that is too small even at max_repeats is used in full max_repeats
-times, falls short, and is reported (`capped`); other sources don't make up for it. Repeated rows are documents of
-their own. The sample depends on the seed, on doc_id and the sizes only, not on partitions or order of rows.
+a null share reaches 0 tokens and is reported. A source that is too small even at max_repeats cannot give its share of the
+size asked for, so one of two things gives way, by the parameter `keep`: with 'size' (the default) the source is used in full
+max_repeats times, falls short and is reported (`capped`), and the others give what is asked of them; with 'shares' the whole
+mix shrinks to what the scarcest source can give, so the shares hold among the sources that have documents. Either way the
+distance from the shares asked for is reported. Repeated rows are documents of their own. The sample depends on the seed, on doc_id and the sizes only, not on partitions or order of rows.
 """
 
 from __future__ import annotations
@@ -48,23 +50,28 @@ def ranked(sizes: DataFrame) -> DataFrame:
     )
 
 
-def rates(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def rates(sizes: DataFrame, targets: DataFrame, keep: str = "size") -> DataFrame:
     """Per (mix_name, source): target and available tokens, the rate and whether the repeat limit binds."""
+    if keep not in ("size", "shares"):
+        raise ValueError(f"keep: {keep}")
     have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("available_docs"))
     everything = have.agg(F.sum("available_tokens").alias("all_tokens"))
     t = targets.select("mix_name", "source", "target_share", "max_repeats", "size_ratio").distinct()
     goal = F.coalesce(F.col("target_share") * F.col("size_ratio") * F.col("all_tokens"), F.lit(0.0))
-    return (
+    r = (
         t.join(have, "source", "left")
         .join(everything)  # one row
         .withColumn("target_tokens", goal)
         .withColumn("available_tokens", F.coalesce("available_tokens", F.lit(0)))
         .withColumn("available_docs", F.coalesce("available_docs", F.lit(0)))
         .withColumn("wanted", F.when(F.col("available_tokens") > 0, F.col("target_tokens") / F.col("available_tokens")).otherwise(F.lit(0.0)))
-        .withColumn("rate", F.least("wanted", F.coalesce(F.col("max_repeats"), F.lit(1)).cast("double")))
-        .withColumn("capped", (F.col("wanted") > F.col("rate")) | ((F.col("available_tokens") == 0) & (F.col("target_tokens") > 0)))
-        .drop("all_tokens", "wanted")
+        .withColumn("most", F.coalesce(F.col("max_repeats"), F.lit(1)).cast("double"))
+        .withColumn("capped", (F.col("wanted") > F.col("most")) | ((F.col("available_tokens") == 0) & (F.col("target_tokens") > 0)))
     )
+    if keep == "shares":  # by how much the mix shrinks, from the source that falls shortest
+        shrink = F.min(F.when(F.col("wanted") > F.col("most"), F.col("most") / F.col("wanted"))).over(W.partitionBy("mix_name"))
+        r = r.withColumn("wanted", F.col("wanted") * F.coalesce(shrink, F.lit(1.0)))
+    return r.withColumn("rate", F.least("wanted", "most")).drop("all_tokens", "wanted", "most")
 
 
 def sample(ranks: DataFrame, rate: DataFrame, seed: int = 17) -> DataFrame:
@@ -81,7 +88,10 @@ def sample(ranks: DataFrame, rate: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def shares(picked: DataFrame, rate: DataFrame) -> DataFrame:
-    """Target against reached tokens and shares per (mix_name, source); every source of a mix has a row."""
+    """Target against reached tokens and shares per (mix_name, source); every source of a mix has a row.
+
+    off: the distance of the mix from its shares, half the sum of the sources' differences (0: met, 1: nothing in common).
+    """
     got = picked.groupBy("mix_name", "source").agg(
         F.sum("n_tokens").alias("tokens"), F.count("*").alias("copies"), F.count_distinct("doc_id").alias("documents"), F.max("copy_no").alias("most_copies")
     )
@@ -92,4 +102,5 @@ def shares(picked: DataFrame, rate: DataFrame) -> DataFrame:
         .select("mix_name", "source", "target_share", "max_repeats", F.round("target_tokens", 3).alias("target_tokens"), "available_tokens", "capped", zero("tokens"), zero("copies"), zero("documents"), zero("most_copies"))
         .withColumn("mix_tokens", F.sum("tokens").over(all_of_mix))
         .withColumn("actual_share", F.when(F.col("mix_tokens") > 0, F.round(F.col("tokens") / F.col("mix_tokens"), 6)).otherwise(F.lit(0.0)))
+        .withColumn("off", F.round(F.sum(F.abs(F.col("actual_share") - F.coalesce("target_share", F.lit(0.0)))).over(all_of_mix) / 2, 6))
     )

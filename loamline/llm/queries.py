@@ -96,8 +96,8 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
     """Token counts of all documents, written once, as three steps read them."""
     docs = spread(table(spark, d, "documents").select("doc_id", "source", "text"))
-    counted = bpe.count_column(docs, "text").where("n_tokens > 0").select("doc_id", "source", "n_tokens")
-    return written(counted, f"{shared_dir(spark)}/sizes")
+    counted = bpe.count_column(docs, "text").select("doc_id", "source", "n_tokens")
+    return written(counted, f"{shared_dir(spark)}/sizes").where("n_tokens > 0")  # a filter before would count twice
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -108,8 +108,11 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     sizes = _sizes(spark, d)
-    rate = mixing.rates(sizes, table(spark, d, "mix_targets"))
-    return mixing.shares(mixing.sample(mixing.ranked(sizes), rate), rate)
+    ranks, parts = mixing.ranked(sizes), []
+    for keep in ("size", "shares"):
+        rate = mixing.rates(sizes, table(spark, d, "mix_targets"), keep)
+        parts.append(mixing.shares(mixing.sample(ranks, rate), rate).withColumn("keep", F.lit(keep)))
+    return parts[0].unionByName(parts[1])
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:

@@ -246,6 +246,10 @@ def test_p9_meets_shares_within_limits(spark):
     assert out["m", "b"].capped and out["m", "b"].tokens == 2 * of_b and out["m", "b"].most_copies == 2
     assert out["m", "none"].tokens == 0 and out["m", "none"].capped
     assert abs(out["n", "b"].tokens - 0.3 * total) <= 400 and out["n", "b"].most_copies <= 5
+    even = mixing.rates(sizes, targets, "shares")
+    kept = {(x.mix_name, x.source): x for x in mixing.shares(mixing.sample(ranks, even), even).collect()}
+    assert abs(kept["m", "a"].tokens / kept["m", "b"].tokens - 0.5) < 0.01 and abs(kept["m", "b"].tokens - 2 * of_b) <= 400
+    assert kept["m", "a"].off < out["m", "a"].off and kept["n", "b"].tokens == out["n", "b"].tokens
     a, b = (sorted(map(tuple, mixing.sample(mixing.ranked(sizes.repartition(k)), rate).collect())) for k in (1, 7))
     assert a == b
     assert mixing.shares(mixing.sample(mixing.ranked(sizes.where("false")), mixing.rates(sizes.where("false"), targets)), mixing.rates(sizes.where("false"), targets)).count() == 5
