@@ -362,6 +362,130 @@ GOOD_JS = "import a, { b as c } from 'd';\nexport default class extends B { stat
 GOOD_TS = "interface A<T extends object = {}> extends B<T> { readonly a?: string[]; (x: number): void; [k: string]: any }\ntype C = { [K in keyof A]?: A[K] } | ((x: 1) => asserts x is D) | readonly [a: 1, ...b: E<F<G>>]\nabstract class H implements I { private constructor(public a: J, private b?: K) { super() } abstract m<T>(this: H): x is T; }\nexport enum L { A, B = 1 << 2 }\ndeclare module 'x' { export const y: number }\nconst z = <T,>(a: T) => a as unknown as Array<Map<string, T>>\nfunction o(a: string): void\nfunction o(a: any) { return a! }\n"
 
 
+# one slip each: faults of grammar, and early errors that depend on where a statement stands or what is assigned to
+BROKEN_JS = [
+    'class { }',
+    'x => {}()',
+    'export const {a: 1} = b;',
+    'let [a, ...b,] = c;',
+    'if (a) const b = 1;',
+    '({a:1} = 2) => 3',
+    'const x;',
+    '1++;',
+    'a?.b = 2',
+    'break;',
+    'continue;',
+    'function () {}',
+    'while(1) { function f() { break; } }',
+    'f() = 1',
+    'let {a};',
+    '({a = 1});',
+    'for (;;) class A {}',
+    'switch (a) { case 1: continue; }',
+    '{a: 1, b: 2}',
+    '(...a, b) => 1',
+    'try { }',
+    'new.target = 1',
+    'a => { return } + 1',
+    'x = y = ;',
+]
+SOUND_JS = [
+    'class A { }',
+    'x => ({})',
+    'export const {a: b} = c;',
+    'let [a, ...b] = c;',
+    'if (a) { const b = 1; }',
+    '({a:b} = c)',
+    'for (const x of y) { if (x) break; else continue }',
+    'for (let i = 0, n = 3; i < n; i++) {}',
+    'a.b++; (a) = 1; [a, b] = [b, a]; ({ a, b: [c.d] = [] } = e)',
+    'x => function () {}',
+    'switch (a) { case 1: break; default: for (;;) continue; }',
+    'a ? b : c => d',
+    'l: for (;;) { switch (a) { case 1: continue l; } }',
+    'while (a) switch (b) { case 2: continue }',
+    'export default { a: 1 }',
+    'export default function () {}',
+    'export default class extends A {}',
+    'async () => { for await (const x of y()) yield_(x) }',
+    '(function () {})()',
+    '!function () {}()',
+    'var x',
+    'let y, z = 1',
+    'a?.b.c()',
+    'if (a) b; else c',
+    'do x++; while (x < 3)',
+    'if (a) var b = 1',
+    'f(...a, b)',
+    '[...a, b]',
+    '({...a, b})',
+    'delete a.b',
+    '`a${b}`.c = 1',
+    'import.meta.x = 1',
+    'for (a.b of c) ;',
+    'for (x in y) z()',
+    'a = b => c => d',
+    'const f = function* () { yield* a() }',
+    'label: { break label }',
+    "x = { get a() { return 1 }, set a(v) {}, async *b() {}, [c]: 1, 'd': 2, 3: 4 }",
+    'const { a = 1, ...rest } = b',
+    'try { a } catch { b } finally { c }',
+]
+SOUND_TS = [
+    'let o: typeof import("x");',
+    'declare const x: number;',
+    "declare module 'x' { const y: number; export let z: string }",
+    '(x as any) = 1; x! += 1; (<any>a).b = 2',
+    'abstract class A { abstract b(): void; c?: number; constructor(private d = 1, ...e: F[]) { super() } }',
+    'namespace N { export const a = 1 }',
+    'const enum E { A }',
+    'function f(this: A, b?: C, ...d: E[]): asserts b is F {}',
+    'for (const x of y as Z[]) {}',
+    'let v = <T>(x: T) => x',
+    'export declare function f(a: string): void;',
+    'let x!: number',
+    "type A = typeof import('x').B",
+    'const a = b satisfies C',
+    'declare global { interface Window { a: 1 } var b: string }',
+]
+
+
+@pytest.mark.parametrize("text", BROKEN_JS)
+def test_broken_lines_are_flagged(text):
+    assert syntax.repair(text, "javascript").cost > 0
+
+
+@pytest.mark.parametrize("text", SOUND_JS)
+def test_sound_lines_pass(text):
+    assert syntax.repair(text, "javascript").cost == syntax.repair(text, "typescript").cost == 0
+
+
+@pytest.mark.parametrize("text", SOUND_TS)
+def test_sound_types_pass(text):
+    assert syntax.repair(text, "typescript").cost == 0
+
+
+def edit_distance_to_language(p, nt, seq, alphabet, most):
+    """Brute force: all sequences within so many edits, nearest first."""
+    level = {tuple(seq)}
+    seen = set(level)
+    for k in range(most + 1):
+        if any(p.parses(nt, x) for x in level):
+            return k
+        level = {y for x in level for i in range(len(x) + 1) for y in ([(*x[:i], *x[i + 1 :])] if i < len(x) else []) + [(*x[:i], c, *x[i:]) for c in alphabet] + ([(*x[:i], c, *x[i + 1 :]) for c in alphabet] if i < len(x) else [])} - seen
+        seen |= level
+    return most + 1
+
+
+def test_costs_equal_brute_force_on_small_grammars():
+    r = random.Random(12)
+    for text in ("S: E ';'\nE: T ('+' T)*\nT: 'x' | '-' T", "S: ('x' S '-' | '+' ';'? )*", "S: 'x' ( 'x' | '+' 'x')* ';' S?"):
+        p = Parser(Grammar(text), lambda t: frozenset((t,)), frozenset())
+        for _ in range(60):
+            seq = tuple(r.choice("x+-;") for _ in range(r.randrange(7)))
+            assert p.cost("S", seq, 2) == edit_distance_to_language(p, "S", seq, "x+-;", 2), (text, seq)
+
+
 def test_one_slip_costs_one_edit_however_long_the_text():
     lines = [f"v{i} = f(a{i}, 2) + [b, c].d" for i in range(240)]
     lines[200] = "v = a b + c"
