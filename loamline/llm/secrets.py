@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +60,28 @@ _SHORT_OPTION = re.compile(r"(?:^|\s)-[pP]\s*(?P<s>[^\s'\"`]{8,})")
 _NOTE = re.compile(
     r"(?i)\b(?:pass(?:word|wd|phrase)?|pwd|pw|logins?|log-?in|credentials?|creds|secret|token|api[ _-]?key|account|user(?:name)?|remove|delete|old|staging|temporary|temp|todo)\b[^\n:=]{0,40}[:=]\s*(?P<s>[^\s,;\"'`]+(?:\s*/\s*[^\s,;\"'`]+)?)"
 )
-_CONTEXT = re.compile(r"(?P<n>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|:=|===?|!==?|=>|[:=])\s*(?:[\w.$]*\(?\s*)?$")
-_DEFAULT = re.compile(
-    r"(?P<n>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|[:=])\s*[^\n=;]*(?:getenv|environ(?:\.get)?|\.get|env(?:\.get)?|setdefault|config)\s*\(\s*[\"'`]?[\w.\-/]+[\"'`]?\s*,\s*$|"
-    r"(?P<m>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|[:=])\s*[^\n=;]*(?:\|\||\?\?|\bor)\s*$"
+# What stands before a literal is matched from the literal backwards, so it may be as long as it likes.
+_CONTEXT = regex.compile(r"(?r)(?P<n>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|:=|===?|!==?|=>|[:=])\s*(?:[\w.$]*\(?\s*)?")
+_DEFAULT = regex.compile(
+    r"(?r)(?:(?P<n>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|[:=])\s*[^\n=;]*(?:getenv|environ(?:\.get)?|\.get|env(?:\.get)?|setdefault|config)\s*\(\s*[\"'`]?[\w.\-/]+[\"'`]?\s*,\s*|"
+    r"(?P<m>[A-Za-z_$][\w$]*)[\"'\]]*\s*(?::\s*[\w\[\]<>|., ]+?\s*=|[:=])\s*[^\n=;]*(?:\|\||\?\?|\bor)\s*)"
 )
-_CALL = re.compile(r"(?P<n>[A-Za-z_$][\w$]*)\s*\(\s*(?:[\w.$\"'@\-]+\s*,\s*)*$")
+_KEY_ID = regex.compile(r"(?r)(?:AKIA|ASIA)[0-9A-Z]{16}[\"'`],\s*")
+_ARGUMENTS = re.compile(r"\s*(?:[\w.$@\-]+\s*,\s*)*")
+_NEXT = re.compile(r"\s*,\s*(?:[\w.$@\-]+\s*,\s*)*")
+_SIMPLE = re.compile(r"[\w.$\"'@\-]+")
+
+
+def _called(between: str) -> str:
+    """The function whose open argument list, of plain arguments, ends the text; '' if none."""
+    at = between.rfind("(")
+    if at < 0 or not _ARGUMENTS.fullmatch(between, at + 1):
+        return ""
+    end = len(between[:at].rstrip())
+    begin = end
+    while begin and (between[begin - 1].isalnum() or between[begin - 1] in "_$"):
+        begin -= 1
+    return between[begin:end].lstrip("0123456789")
 
 
 def _kinds(s: str) -> tuple[bool, bool, bool, bool]:
@@ -170,6 +187,7 @@ def find(code: str | None, language: str | None) -> list[tuple[int, int]]:
 def _find(code: str, lexer: re.Pattern, depth: int) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
     last = (-1, False)  # end of the last literal and whether it was a credential: 'a' + 'b' is one
+    call, plain, line, seen = "", False, 0, 0  # whose argument the last literal was; where the line begins of what is before `seen`
     for m in lexer.finditer(code):
         start, body = m.start(), m.group()
         if m["c"] is not None:
@@ -186,8 +204,13 @@ def _find(code: str, lexer: re.Pattern, depth: int) -> list[tuple[int, int]]:
         stop = m.end() - (quote if body.endswith(body[prefix : prefix + quote]) and len(body) >= prefix + 2 * quote else 0)
         s = code[begin:stop]
         found = list(_forms(s, begin, "\n" in s or " " in s))
-        left = code[max(0, start - 160) : start]
-        left = left[left.rfind("\n", 0, len(left.rstrip())) + 1 :] if left.strip() else left
+        between = code[max(0, last[0]) : start]
+        call = call if plain and _NEXT.fullmatch(between) else _called(between)
+        plain = _SIMPLE.fullmatch(body) is not None
+        full = max(0, last[0]) + len(between.rstrip()) if between.strip() else max(0, last[0])  # the end of what is not blank before
+        if (nl := code.rfind("\n", seen, full)) >= 0:
+            line = nl + 1
+        seen = full
         joined = last[1] and re.fullmatch(r"\s*(?:\+\s*|\\?\n\s*|\s)?", code[last[0] : start]) is not None
         interpolated = ("f" in body[:prefix].lower() and "{" in s) or (body[0] == "`" and "${" in s)
         if not found and not interpolated:
@@ -195,20 +218,19 @@ def _find(code: str, lexer: re.Pattern, depth: int) -> list[tuple[int, int]]:
             if joined:
                 hit = len(s) >= 4
             elif usable(s, 6):
-                c = _DEFAULT.search(left) or _CONTEXT.search(left)
+                c = _DEFAULT.match(code, line, start) or _CONTEXT.match(code, line, start)
                 if c:
                     name = c["n"] or (c.groupdict().get("m") or "")
                     kind = _of_name(name)
-                    call = left.rstrip().endswith("(")
                     if kind == "named":
-                        hit = not call or re.search(r"\d", s) is not None
+                        hit = code[full - 1 : full] != "(" or re.search(r"\d", s) is not None
                     elif kind == "soft":
                         hit = strong(s) or _random(s) or re.fullmatch(r"[0-9a-f]{32,}", s) is not None
                     elif kind == "key":
                         hit = _random(s)
-                elif (call := _CALL.search(left)) and _of_name(call["n"]) == "named":
+                elif call and _of_name(call) == "named":
                     hit = strong(s)
-                if not hit and _AFTER_ID.match(s) and spans and re.search(r"(?:AKIA|ASIA)[0-9A-Z]{16}[\"'`],\s*$", left):
+                if not hit and _AFTER_ID.match(s) and spans and _KEY_ID.match(code, line, start):
                     hit = True
             if hit:
                 found = [(begin, stop)]
