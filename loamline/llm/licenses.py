@@ -1,12 +1,15 @@
 """Problem 2: the licence of every file and repository.
 
-Texts are normalized (comment marks, copyright notices, punctuation, spelling variants go), names of licences are
-reduced to canonical words, hashed, and equi-joined with the hashes of templates, which the same normalization makes
-from the table of known licences. Only names in a stating position count: after a granting frame ("under", "License:",
-an SPDX tag, ...) or alone in their sentence; not what a sentence mentions, negates or puts into the past. Files
-inherit what the root licence files of their repository state. What no template matches is no evidence.
+Texts are normalized (comment marks, list marks, copyright notices, punctuation, spelling variants go), cut into units, and
+the units' hashes are equi-joined with the hashes of templates that went through the same normalization. Templates are of two
+kinds. Bodies: the operative sentences of licence texts and of the notices that go into files; a licence is stated if all its
+sentences are there, whatever stands around them, its name or not. Names: canonical words made from the table of known
+licences; only names in a stating position count: after a granting frame ("under", "License:", an SPDX tag, ...) or alone in
+their sentence; not what a sentence mentions, negates or puts into the past. Names go before bodies. Files inherit what the
+files of the root directory of their repository state. What no template matches is no evidence.
 
-Distinct texts are normalized and joined once, however many files carry them.
+Distinct texts are normalized and joined once, by their hashes, however many files carry them; common and missing texts are
+dealt over SALTS tasks where files meet them.
 
 Cases: null, empty and unmatched texts are no evidence; null paths and repositories form groups of their own and are no
 root files; repeated rows count once; rows of one file that state different licences are joined by ' AND '.
@@ -58,8 +61,58 @@ DENIAL = re.compile(
 )
 #: These deny too, unless a granting frame follows them ("may be used under ...").
 WEAK_DENIAL = re.compile(r"\b(?:used|lists?|counts?|detects?|parses?|headers?|checks?|before|compatible)\b")
-#: The known licences are a fixed small table.
-MOST_LICENSES = 100_000
+#: Over how many tasks the files with the same text, or the same recorded value, are dealt.
+SALTS = 16
+# The sentences that make a licence, from the public licence texts; alternatives of a licence are rows of their own.
+BODIES = (
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights "
+        "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    ),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    ),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License"),
+    (
+        "Apache-2.0",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, "
+        "publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form",
+    ),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    (
+        "CC0-1.0",
+        "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law",
+    ),
+    (
+        "CC-BY-NC-4.0",
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution-NonCommercial 4.0 International Public License (\"Public License\")",
+    ),
+)
+#: The notices of the GNU licences differ in name, version and what follows it.
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, {}"
+_FAMILIES = {"GPL-2.0": ("General Public License", "2"), "GPL-3.0": ("General Public License", "3"), "LGPL-2.1": ("Lesser General Public License", "2.1"), "LGPL-3.0": ("Lesser General Public License", "3"), "AGPL-3.0": ("Affero General Public License", "3")}
+_ENDS = {"or-later": ("either version {} of the License, or (at your option) any later version",), "only": ("version {} of the License", "version {}", "version {} only", "version {} of the License only")}
+_LIST = re.compile(r"^[ \t]*(?:\(?\d{1,2}[.)]|[*•\-]|\([a-z]\))[ \t]+", re.M)
+# What differs between copies of a body besides spelling.
+_SLOTS = (
+    (re.compile(r"\bneither the names? of .{1,300}? nor the names? of (?:its|their|any|the) contributors\b", re.I | re.S), "neither the name of the copyright holder nor the names of its contributors"),
+    (re.compile(r"\bthis (?:program|library|file|software|package|module) is free software\b", re.I), "this program is free software"),
+)
 COPYRIGHT = re.compile(r"(?:copyright|©|\(c\))\s*(?:\(c\)|©)?\s*\d{4}(?:\s*[-–,]\s*\d{4})*\s*,?\s*(?:by\s+)?(?:the\s+)?[\w.\-]*(?:\s+(?:authors?|contributors?|developers?|project|team))?", re.I)
 MARKS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|;+|--+|%+|<!--|\"\"\"|''')[ \t]*|[ \t]*(?:\*/|-->)[ \t]*$", re.M)
 WORD = re.compile(r"[^\W\d_]+|\d+(?:\.\d+)*|[:=@]")
@@ -140,22 +193,56 @@ def names(text: str, recorded: bool = False) -> list[tuple[int, str, str]]:
     return out
 
 
+def units(text: str) -> list[str]:
+    """Normalized sentences and paragraphs: words only, in lower case, in one spelling, without copyright notices and list marks."""
+    t = MARKS.sub("", text.replace("\r\n", "\n"))
+    t = COPYRIGHT.sub("\n\n", _LIST.sub("\n\n", t))
+    for p, r in _SLOTS:
+        t = p.sub(r, t)
+    out = []
+    for x in re.split(r"[.!?](?=\s|$)|\n[ \t]*\n", t):
+        x = " ".join(x.split()).lower()
+        for p, r in _VARIANTS:
+            x = p.sub(r, x)
+        if w := [_number(m) for m in WORD.findall(x) if m not in ":=@"]:
+            out.append(" ".join(w))
+    return out
+
+
+def bodies() -> list[tuple[str, int, tuple[str, ...]]]:
+    """(spdx, number, units) of all body templates."""
+    rows = list(BODIES)
+    for family, (name, version) in _FAMILIES.items():
+        for mode, ends in _ENDS.items():
+            rows += [(f"{family}-{mode}", _GNU.format(name, end.format(version))) for end in ends]
+    return [(r[0], i, tuple(u for part in r[1:] for u in units(part))) for i, r in enumerate(rows)]
+
+
 def templates(licenses: DataFrame) -> DataFrame:
-    """(hash, spdx): canonical names made from the ids and titles of the known licences, and EXTRA for those among them.
+    """(hash, spdx, body, parts): of the known licences canonical names made from their ids and titles (body null), EXTRA, and bodies.
 
-    The table is that of known licences, whose size is fixed, so it is read on the driver.
+    A body has as many rows as it has units (parts).
     """
-    rows = licenses.select("spdx_id", "title").distinct().limit(MOST_LICENSES + 1).collect()
-    if len(rows) > MOST_LICENSES:
-        raise ValueError("the table of known licences is too large to read on the driver")
-    rows = [r for r in rows if r[0]]
-    known = {r[0] for r in rows}
-    found = {" ".join(sorted(k.split())): v for k, v in EXTRA.items() if v in known}
-    for spdx, title in rows:
-        for text in (title, spdx):
-            if text and (n := names(text, recorded=True)) and len(n) == 1:
-                found[n[0][2]] = spdx
-    return licenses.sparkSession.createDataFrame([(_hash(k), v) for k, v in sorted(found.items())], "hash bigint, spdx string")
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        extra: dict[str, list[str]] = {}
+        for name, spdx in EXTRA.items():
+            extra.setdefault(spdx, []).append(" ".join(sorted(name.split())))
+        every = bodies()
+        for p in batches:
+            out = []
+            for spdx, title in zip(p.spdx_id, p.title, strict=True):
+                found = set(extra.get(spdx, ()))
+                for text in (title, spdx):
+                    if text and (n := names(text, recorded=True)) and len(n) == 1:
+                        found.add(n[0][2])
+                out += [(_hash(x), spdx, None, None) for x in sorted(found)]
+                out += [(_hash(u), spdx, i, len(set(parts))) for s, i, parts in every if s == spdx for u in sorted(set(parts))]
+            yield pd.DataFrame(out, columns=["hash", "spdx", "body", "parts"]).astype({"body": "Int32", "parts": "Int32"})
+
+    made = licenses.select("spdx_id", "title").where("spdx_id <> ''").distinct().mapInPandas(make, "hash bigint, spdx string, body int, parts int")
+    # a name that the ids of two licences give is that of the first
+    return made.groupBy("hash", "body").agg(F.min(F.struct("spdx", "parts")).alias("t")).select("hash", "t.spdx", "body", "t.parts")
 
 
 def _hash(name: str) -> int:
@@ -165,18 +252,35 @@ def _hash(name: str) -> int:
 
 
 def stated(texts: DataFrame, column: str, known: DataFrame, recorded: bool = False) -> DataFrame:
-    """(column, license) of the distinct texts that state a known licence. Choices are joined by OR, in alphabetical order."""
+    """(key, license) of the distinct texts that state a known licence; key is the text's MD5. Choices are joined by OR, in alphabetical order."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            rows = [(t, i, link, _hash(name)) for t in p[column] for i, link, name in names(t, recorded)]
-            yield pd.DataFrame(rows, columns=[column, "statement", "link", "hash"])
+            out = []
+            for key, t in zip(p.key, p.text, strict=True):
+                out += [(key, False, i, link, _hash(name)) for i, link, name in names(t, recorded)]
+                out += [] if recorded else [(key, True, 0, "", _hash(u)) for u in set(units(t))]
+            yield pd.DataFrame(out, columns=["key", "is_body", "statement", "link", "hash"])
 
-    distinct = texts.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct()
-    found = distinct.mapInPandas(read, f"`{column}` string, statement int, link string, hash bigint").join(known, "hash")
-    whole = found.groupBy(column, "statement").agg(F.sort_array(F.collect_set("spdx")).alias("ids"), F.max("link").alias("link"))
+    c = F.col(column)
+    distinct = texts.where(c.isNotNull() & (c != "")).groupBy(F.md5(c).alias("key")).agg(F.any_value(c).alias("text"))
+    found = distinct.mapInPandas(read, "key string, is_body boolean, statement int, link string, hash bigint").join(known, "hash").where(F.col("is_body") == F.col("body").isNotNull())
+    named = found.where("body is null").groupBy("key", "statement").agg(F.sort_array(F.collect_set("spdx")).alias("ids"), F.max("link").alias("link"))
     joined = F.when(F.col("link") == "AND", F.array_join("ids", " AND ")).otherwise(F.array_join("ids", " OR "))
-    return whole.groupBy(column).agg(F.min_by(joined, "statement").alias("license"))
+    if recorded:
+        return named.groupBy("key").agg(F.min_by(joined, "statement").alias("license"))
+    whole = found.where("body is not null").groupBy("key", "spdx", "body").agg(F.count("*").alias("n"), F.max("parts").alias("parts")).where("n = parts")
+    ids = whole.groupBy("key").agg(F.sort_array(F.collect_set("spdx")).alias("ids"))
+    three = F.when(F.array_contains("ids", "BSD-3-Clause"), F.array_remove("ids", "BSD-2-Clause")).otherwise(F.col("ids"))  # the one's sentences are among the other's
+    of_bodies = ids.select("key", F.lit(2**31 - 1).alias("statement"), F.array_join(three, " AND ").alias("license"))
+    return named.select("key", "statement", joined.alias("license")).union(of_bodies).groupBy("key").agg(F.min_by("license", "statement").alias("license"))
+
+
+def _looked_up(rows: DataFrame, column: str, table: DataFrame, out: str) -> DataFrame:
+    """rows with `out`: the licence of the text in `column`, null where it states none. Rows of one text are dealt over SALTS tasks."""
+    salted = table.select(F.col("key").alias("__k"), F.col("license").alias(out), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"))
+    r = rows.withColumns({"__key": F.md5(column), "__salt": F.pmod(F.xxhash64("repo_full_name", "file_path"), F.lit(SALTS)).cast("int")}).drop(column)
+    return r.join(salted, (F.col("__key") == F.col("__k")) & (F.col("__salt") == F.col("__s")), "left").drop("__key", "__salt", "__k", "__s")
 
 
 def _all_of(c: str):
@@ -188,14 +292,9 @@ def resolve(provenance: DataFrame, licenses: DataFrame) -> DataFrame:
     """(repo_full_name, file_path, license, flag): a row per file and one per repository (file_path '')."""
     known = templates(licenses)
     rows = provenance.select("repo_full_name", "file_path", "license_text", "license_spdx")
-    own = stated(rows, "license_text", known).withColumnRenamed("license", "own")
-    said = stated(rows, "license_spdx", known, recorded=True).withColumnRenamed("license", "recorded")
-    files = (
-        rows.join(own, "license_text", "left")
-        .join(said, "license_spdx", "left")
-        .groupBy("repo_full_name", "file_path")
-        .agg(_all_of("own").alias("own"), _all_of("recorded").alias("recorded"))
-    )
+    looked = _looked_up(rows, "license_text", stated(rows, "license_text", known), "own")
+    looked = _looked_up(looked, "license_spdx", stated(rows, "license_spdx", known, recorded=True), "recorded")
+    files = looked.groupBy("repo_full_name", "file_path").agg(_all_of("own").alias("own"), _all_of("recorded").alias("recorded"))
     root = files.where(~F.contains("file_path", F.lit("/")))
     repos = root.groupBy("repo_full_name").agg(_all_of("own").alias("repo_own"), _all_of("recorded").alias("repo_recorded"))
     every = rows.select("repo_full_name").distinct()

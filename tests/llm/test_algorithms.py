@@ -182,6 +182,14 @@ def test_stated_names(text, want):
     assert [n for _, _, n in licenses.names(text)] == want
 
 
+def test_body_templates_have_units_of_their_own():
+    made = {(s, i): u for s, i, u in licenses.bodies()}
+    assert all(made.values()) and len({frozenset(u) for u in made.values()}) == len(made)
+    assert {s for s, _ in made} >= {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0-only", "GPL-3.0-or-later", "AGPL-3.0-only", "LGPL-2.1-or-later", "MPL-2.0"}
+    gpl = "/* This library is free software; you can redistribute it\n * and/or modify it under the terms of the GNU\n * General Public Licence as published by the Free Software Foundation;\n * either version 3 of the License, or (at your option) any later\n * version. */"
+    assert licenses.units(gpl)[0] in [u for (s, _), x in made.items() if s == "GPL-3.0-or-later" for u in x]
+
+
 def test_recorded_names():
     assert [n for _, _, n in licenses.names(" apache-2.0 OR MIT", True)] == ["2 apache", "mit"]
     assert licenses.names("NOASSERTION", True) == [] and licenses.names("other", True) == []

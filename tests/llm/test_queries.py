@@ -193,6 +193,21 @@ def test_p2_cases(spark):
     assert licenses.resolve(df.where("false"), lic).count() == 0
 
 
+def test_p2_bodies_without_names(spark):
+    text = {s: list(parts) for s, *parts in licenses.BODIES}
+    mit = 'Copyright (c) 2020 Someone\n\n' + ".\n\n".join(text["MIT"]) + '.\n\nTHE SOFTWARE IS PROVIDED "AS IS".\n'
+    bsd = text["BSD-3-Clause"]
+    two = "# Copyright 2019, x\n#\n# " + bsd[0].replace("binary forms", "binary\n# forms") + ":\n# 1. " + bsd[1] + ".\n# 2. " + bsd[2] + ".\n"
+    three = two + "# 3. " + bsd[3].replace("the copyright holder", "Example Corp.\n#    and friends") + ".\n"
+    apache = "/*\n * " + next(p[1] for p in licenses.BODIES if p[0] == "Apache-2.0").replace("; you", ";\n * you") + ".\n */"
+    isc = text["ISC"][0] + "."
+    rows = [("r", "a/mit", mit), ("r", "a/two", two), ("r", "a/three", three), ("r", "a/apache", apache), ("r", "a/isc", isc), ("r", "a/part", ".\n\n".join(text["MIT"][1:])), ("r", "a/none", "Permission is not granted.")]
+    df = spark.createDataFrame([(*r, None, 1) for r in rows], PROV)
+    lic = spark.createDataFrame([*LICENSES, ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License")], "spdx_id string, title string")
+    got = {r.file_path: r.license for r in licenses.resolve(df, lic).collect()}
+    assert got == {"a/mit": "MIT", "a/two": "BSD-2-Clause", "a/three": "BSD-3-Clause", "a/apache": "Apache-2.0", "a/isc": "ISC", "a/part": "unknown", "a/none": "unknown", "": "unknown"}
+
+
 def test_row_functions_take_nulls_empties_and_extra_columns(spark):
     d = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "python", "", "", "", "x"), (3, "python", "def f():\n  pass\n", "Counts the open items.", "docstring", "x")], "rec_id bigint, language string, code string, docstring string, source string, func_name string")
     assert [tuple(r) for r in docpairs.extract(d).select("rec_id", "func_name", "origin").collect()] == [(3, "f", "record")]
