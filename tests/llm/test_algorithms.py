@@ -234,11 +234,24 @@ def test_trivial_texts(text):
     assert not docpairs.informative(text, "do_it", ["a"])
 
 
-def test_assignment_prefers_the_nearer_comment():
-    f = [docpairs.Function("a", 2, 2, 3, ["x"]), docpairs.Function("b", 6, 6, 7, [])]
-    c = [docpairs.Comment(1, 1, "# one", "line"), docpairs.Comment(5, 5, "# two", "line")]
-    assert docpairs.assign(f, c) == {0: 0, 1: 1}
-    assert docpairs.assign(f, [docpairs.Comment(3, 3, "# far", "line")]) == {}
+def test_assignment():
+    f = lambda name, line, params, doc=None, first=None: docpairs.Function(name, first or line, line, line + 1, params, doc)
+    c = lambda last, text, first=None: docpairs.Comment(first or last, last, text, "line")
+    said = lambda *x, reach=0: {i: d for i, (d, _) in docpairs.assign(*x, reach).items()}
+    one, two = c(1, "# Counts the open items."), c(5, "# Sorts what is left over.")
+    assert said([f("a", 2, ["x"]), f("b", 6, [])], [one, two]) == {0: "Counts the open items.", 1: "Sorts what is left over."}
+    assert said([f("a", 2, ["x"])], [c(3, "# Too far below it.")]) == {} == said([f("a", 4, [])], [one])
+    # a tag overrules the distance: the comment names what only the second function takes
+    tagged = c(1, "/** Finds the oldest entry.\n * @param b the limit */")
+    assert said([f("g", 2, ["a"]), f("h", 4, ["b"])], [tagged]) == {0: tagged.text[4:].split("\n")[0] + "\n@param b the limit"}
+    assert list(said([f("g", 2, ["a"]), f("h", 3, ["b"])], [tagged], reach=3)) == [1]
+    # out of two comments the one that fits; what is left without a plausible one stays without
+    assert said([f("h", 8, ["b"], first=8)], [c(5, "# Gives h its limit."), c(7, "# Looks into the cellar.")], reach=3)[0] == "Looks into the cellar."
+    assert said([f("h", 8, ["b"])], [c(4, "/** Opens the gate.\n@param q x\n@param r y */")], reach=3) == {}
+    # docstrings are candidates too, and a comment they leave free goes to nobody else out of reach
+    assert docpairs.assign([f("a", 2, [], "Counts the open items.")], [c(1, "# Sorts the others first.")]) == {0: ("Counts the open items.", "docstring")}
+    assert docpairs.assign([f("a", 2, [], "TODO")], [c(1, "# Sorts the others first.")]) == {0: ("Sorts the others first.", "comment")}
+    assert docpairs.assign([f("a", 4, [], None, first=2)], [c(1, "# Stands above the decorator."), c(3, "# Stands below the decorator.")])[0][0] == "Stands below the decorator."
 
 
 def test_assignment_costs_least():
