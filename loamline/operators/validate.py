@@ -2,70 +2,96 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline import schemas
+
 
 @dataclass(frozen=True)
 class Rule:
-    """A field of a record: its JSON type, whether null may stand for it, whether it must be there, allowed values, array length."""
+    """A field of a record: its JSON types, whether it must be there, the values allowed, the type of its items, their number."""
 
     path: str
-    kind: str  # string, integer, number, boolean, object, array
-    nullable: bool = False
+    kinds: tuple[str, ...]
     required: bool = True
     values: tuple[str, ...] = ()
-    length: int | None = None
+    items: str | None = None
+    least: int | None = None
+    most: int | None = None
+
+
+def load_schemas(folder: str | Path) -> dict[str, dict]:
+    """Schemas of a folder of <name>.schema.json files, by name."""
+    return {p.name.removesuffix(".schema.json"): json.loads(p.read_text(encoding="utf-8")) for p in sorted(Path(folder).glob("*.schema.json"))}
 
 
-def _text(*names: str, **kw) -> tuple[Rule, ...]:
-    return tuple(Rule(n, "string", **kw) for n in names)
+def rules(name: str, known: dict[str, dict] | None = None) -> tuple[Rule, ...]:
+    """The rules of a schema, nested objects and references to other schemas unfolded. What is not said here is not checked:
+    type, required, properties, const, enum, items.type, minItems, maxItems, $ref."""
+    known = known or schemas.RECORDS
+    out: list[Rule] = []
 
+    def walk(schema: dict, path: str) -> None:
+        for key, s in schema.get("properties", {}).items():
+            s = known[s["$ref"].split("#")[0].removesuffix(".schema.json")] | {k: v for k, v in s.items() if k != "$ref"} if "$ref" in s else s
+            at = f"{path}{key}"
+            kinds = s.get("type", ())
+            values = s.get("enum", (s["const"],) if "const" in s else ())
+            out.append(Rule(at, tuple([kinds] if isinstance(kinds, str) else kinds), key in schema.get("required", ()), tuple(values), s.get("items", {}).get("type"), s.get("minItems"), s.get("maxItems")))
+            walk(s, f"{at}.")
 
-# The fields that the record formats require.
-PROVENANCE = (
-    *_text("provenance.repo_full_name"),
-    Rule("provenance.source", "string", values=("github", "gitlab")),
-    *_text("provenance.clone_url", "provenance.default_branch", "provenance.commit_sha", "provenance.commit_date", "provenance.file_path"),
-    Rule("provenance.lines", "array", length=2),
-    *_text("provenance.license_spdx", "provenance.license_text", nullable=True),
-    Rule("provenance.semantic_score", "number", nullable=True, required=False),
-)
-RULES = {
-    "completion": (*_text("id"), Rule("task", "string", values=("completion",)), *_text("language"), *_text("license", nullable=True), Rule("provenance", "object"), *_text("input.prefix", "output.completion"), Rule("metrics", "object"), Rule("synthetic", "boolean"), *PROVENANCE),
-    "documentation": (*_text("id"), Rule("task", "string", values=("documentation",)), *_text("language"), *_text("license", nullable=True), Rule("provenance", "object"), *_text("code", "docstring", "source"), Rule("synthetic", "boolean"), *PROVENANCE),
-    "refactor": (*_text("id"), Rule("task", "string", values=("refactor",)), *_text("language"), Rule("provenance", "object"), *_text("pre", "post", "diff", "refactor_type"), Rule("verified", "boolean"), Rule("synthetic", "boolean"), *PROVENANCE),
-    "debugging": (*_text("id"), Rule("task", "string", values=("debugging",)), *_text("language"), *_text("license", nullable=True), *_text("provenance.pre_commit", "provenance.post_commit", "provenance.repo_full_name"), *_text("pre_snippet", "post_snippet", "diff"), Rule("failing_tests", "array"), Rule("stack_trace", "array"), Rule("synthetic", "boolean")),
-}
-_KINDS = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",)}
+    walk(known[name], "")
+    return tuple(out)
+
+
+_KINDS = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",), "null": ("VOID",)}
+
+
+def _is(kind: Column, names: tuple[str, ...]) -> Column:
+    fits = F.lit(False)
+    for k in names:
+        for x in _KINDS[k]:
+            fits = fits | kind.startswith(x)
+    return fits
 
 
 def _violation(v: Column, rule: Rule) -> Column:
-    """A text that names the rule broken, or null. JSON null and an absent field are told apart: VOID against no value."""
+    """A text that names the rule broken, or null. JSON null and an absent field are told apart: VOID against no value.
+
+    A field of what is not there itself is only reported through that.
+    """
     at = F.try_variant_get(v, f"$.{rule.path}", "variant")
     kind = F.schema_of_variant(at)
-    fits = F.lit(False)
-    for k in _KINDS[rule.kind]:
-        fits = fits | kind.startswith(k)
     out = F.when(at.isNull(), f"{rule.path}: missing" if rule.required else None)
-    out = out.when(kind == "VOID", None if rule.nullable else f"{rule.path}: null").when(~fits, f"{rule.path}: type")
+    if rule.kinds:
+        if "null" not in rule.kinds:
+            out = out.when(kind == "VOID", f"{rule.path}: null")
+        out = out.when(~_is(kind, rule.kinds), f"{rule.path}: type")
     if rule.values:
-        out = out.when(~F.try_variant_get(v, f"$.{rule.path}", "string").isin(*rule.values), f"{rule.path}: value")
-    if rule.length is not None:
-        n = F.size(F.try_variant_get(v, f"$.{rule.path}", "array<variant>"))
-        out = out.when(n != rule.length, f"{rule.path}: length")
+        out = out.when((kind != "VOID") & ~F.try_variant_get(v, f"$.{rule.path}", "string").isin(*rule.values), f"{rule.path}: value")
+    items = F.try_variant_get(v, f"$.{rule.path}", "array<variant>")
+    if rule.least is not None:
+        out = out.when(F.size(items) < rule.least, f"{rule.path}: length")
+    if rule.most is not None:
+        out = out.when(F.size(items) > rule.most, f"{rule.path}: length")
+    if rule.items:
+        out = out.when(F.exists(items, lambda x: ~_is(F.schema_of_variant(x), (rule.items,))), f"{rule.path}: items")
     return out
 
 
-def violations(lines: DataFrame, task: str, column: str = "value") -> DataFrame:
+def violations(lines: DataFrame, task: str, column: str = "value", known: dict[str, dict] | None = None) -> DataFrame:
     """Adds `violations`, an array of texts: empty for valid records, ['unparsable'] for lines that are no JSON (null too).
 
-    Extra fields are allowed. One pass, no join: each rule is an expression over the parsed line.
+    Extra fields are allowed. One pass, no join: each rule of the task's schema (of `known`, or the built-in ones) is an
+    expression over the parsed line. A record without its provenance reports that and each field that it should have.
     """
     v = F.col("__v")
-    found = F.array_compact(F.array(*[_violation(v, r) for r in RULES[task]]))
+    found = F.array_compact(F.array(*[_violation(v, r) for r in rules(task, known)]))
     return lines.withColumn("__v", F.try_parse_json(F.col(column))).withColumn("violations", F.when(v.isNull(), F.array(F.lit("unparsable"))).otherwise(found)).drop("__v")
 
 
