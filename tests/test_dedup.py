@@ -88,6 +88,8 @@ def test_bandings():
     assert dedup.banding(0.85, 128) == (8, 16)
     b, r = dedup.sure_banding(0.8, 128)
     assert (1 - 0.8**r) ** b <= 1e-4 and b * r <= 128
+    more = dedup.sure_banding(0.8, 128, n=10**9)
+    assert more[1] == r + 3 and (1 - 0.8 ** more[1]) ** more[0] <= 1e-4
 
 
 def test_stats_of_nothing(spark):
