@@ -42,9 +42,25 @@ def normalize_code(c: Column) -> Column:
 
 
 def format_minimal(c: Column) -> Column:
-    """Formatter used where no real one is at hand: normalized without the last line break; blank texts stay as they are."""
-    n = strip(normalize_code(c))
-    return F.when(n == "", c).otherwise(n)
+    """Formatter used where no real one is at hand: of each run of blank lines the first stays, lines are parted by line feeds
+    and the last has none; other white space stays. A text of which nothing is left stays as it is."""
+
+    c_ = F.regexp_replace(F.regexp_replace(c, LINE_END, "\n"), r"\n\z", "")
+    out = F.regexp_replace(c_, rf"(\A[{WS_NO_LF}]*|\n[{WS_NO_LF}]*)(?:\n[{WS_NO_LF}]*)+(?=\n|\z)", "$1")
+    return F.when(out == "", c).otherwise(out)
+
+
+# The byte sequences that are well-formed UTF-8, and any other byte from 0x80 on, in Latin-1 characters.
+_UTF8 = (
+    r"([\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|"
+    r"\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})|[\x80-\xff]"
+)
+
+
+def decode_utf8(c: Column) -> Column:
+    """Bytes as text; those that are no part of well-formed UTF-8 are dropped."""
+    sound = F.regexp_replace(F.decode(c, "ISO-8859-1"), _UTF8, "$1")
+    return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string")).otherwise(F.encode(sound, "ISO-8859-1").cast("string"))
 
 
 def tokens(c: Column) -> Column:

@@ -20,6 +20,24 @@ def findings_of_reports(reports: DataFrame) -> DataFrame:
     ).select("repo", "ord", F.coalesce("k1", F.nullif(F.col("k2"), F.lit(""))).alias("spdx"), "matched_text")
 
 
+# Rules of secret scanners, in the syntax that Java and RE2 share.
+SECRET_RULES = (
+    ("private-key", r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----"),
+    ("aws-access-key", r"(^|[^A-Za-z0-9])(AKIA|ASIA)[0-9A-Z]{16}([^A-Za-z0-9]|$)"),
+    ("github-token", r"(^|[^A-Za-z0-9])(gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{30,})"),
+    ("slack-token", r"(^|[^A-Za-z0-9])xox[abeoprs]-[A-Za-z0-9-]{10,}"),
+    ("signed-token", r"(^|[^A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{16,}"),
+    ("password-in-url", r"[a-z][a-z0-9+.-]*://[^ :/@'\"]*:[^ @/'\"${}<>]{4,}@[A-Za-z0-9]"),
+    ("assigned-secret", r"(?i)(password|passwd|secret|token|api_?key)[\"']?[ ]*[:=][ ]*[\"'][A-Za-z0-9+/=_!#$%&*?~-]{16,}[\"']"),
+)
+
+
+def secret_findings(files: DataFrame, text: str, *keep: str, rules: tuple = SECRET_RULES) -> DataFrame:
+    """(keep, rule) for each rule that a text breaks: where no scanner's reports are at hand. One pass, in the JVM."""
+    broken = F.array_compact(F.array(*[F.when(F.col(text).rlike(p), name) for name, p in rules]))
+    return files.where(F.col(text).isNotNull()).select(*keep, F.explode(broken).alias("rule"))
+
+
 def license_vote(findings: DataFrame) -> DataFrame:
     """(repo, license, votes, matched_text): the licence found most often, ties to the one found first; the first text that is not empty.
 
@@ -59,6 +77,32 @@ def gate(repos: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
     return repos.withColumn("license", effective).withColumn("status", status)
 
 
+# What a scan leaves in the provenance record.
+SCANNERS = {"scancode": "latest", "semgrep": "latest", "bandit": "latest", "gitleaks": "latest"}
+
+
+def update_provenance(provenance: DataFrame, gated: DataFrame, stamp: str, skipped: bool = False) -> DataFrame:
+    """Provenance (one row per repository) with what the gate found out: license_spdx, license_text, scan_tool_versions, scan_timestamp.
+
+    gated: (repo, license, matched_text); repositories without a row keep their fields. With a skipped scan only the time is set, and the
+    versions where there are none. stamp: the time of the run.
+    """
+    if skipped:
+        versions = F.coalesce("scan_tool_versions", F.create_map(F.lit("security"), F.lit("skipped")))
+        return provenance.withColumn("scan_tool_versions", versions).withColumn("scan_timestamp", F.lit(stamp))
+    g = gated.select(F.col("repo").alias("__repo"), F.col("license").alias("__license"), F.col("matched_text").alias("__text"))
+    known = F.col("__repo").isNotNull()
+    now = F.create_map(*[F.lit(x) for kv in SCANNERS.items() for x in kv])
+    new = {"license_spdx": F.col("__license"), "license_text": F.col("__text"), "scan_tool_versions": now, "scan_timestamp": F.lit(stamp)}
+    out = provenance.join(g, F.col("repo_full_name") == F.col("__repo"), "left")
+    return out.withColumns({c: F.when(known, v).otherwise(F.col(c)) for c, v in new.items()}).drop("__repo", "__license", "__text")
+
+
+def ingested(snapshots: DataFrame) -> DataFrame:
+    """Snapshots whose ingest went well; a missing status is none that did."""
+    return snapshots.where(F.col("status") == "ok")
+
+
 def with_reports(repos: DataFrame, findings: DataFrame, key: str = "repo") -> DataFrame:
     """Every repository with its findings; an empty array where a scanner made no report."""
     got = findings.groupBy(key).agg(F.sort_array(F.collect_list("rule")).alias("findings"))

@@ -6,6 +6,9 @@ from content. A null provenance gives null license and default commit fields; nu
 
 from __future__ import annotations
 
+import importlib.util
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,9 +66,32 @@ def documentation(units: DataFrame) -> DataFrame:
     )
 
 
-def refactor(units: DataFrame, diffs: bool = True) -> DataFrame:
-    """Before and after minimal formatting, with the diff between them."""
-    u = units.withColumn("__post", T.format_minimal(F.col("code_norm")))
+def _formatted(code: Column, formatter: str) -> Column:
+    """struct(post, kind): by Black where it is at hand and takes the code ('auto'), else by the minimal formatter."""
+    minimal = F.struct(T.format_minimal(code).alias("post"), F.lit("formatting_minimal").alias("kind"))
+    if formatter == "minimal" or importlib.util.find_spec("black") is None:
+        return minimal
+
+    def run(s: pd.Series) -> pd.DataFrame:
+        import black
+
+        out = []
+        for c in s:
+            try:
+                post = black.format_str(c, mode=black.FileMode())
+                out.append((post, "formatting_black" if post != c else "formatting_black_noop"))
+            except Exception:  # noqa: BLE001  (whatever the formatter does not take)
+                out.append((None, None))
+        return pd.DataFrame(out, columns=["post", "kind"])
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
+    by = F.pandas_udf(run, "post string, kind string")(code)
+    return F.when(by["kind"].isNotNull(), by).otherwise(minimal)
+
+
+def refactor(units: DataFrame, diffs: bool = True, formatter: str = "auto") -> DataFrame:
+    """Before and after formatting ('auto': Black if it can be imported; 'minimal'), with the diff between them."""
+    u = units.withColumn("__f", _formatted(F.col("code_norm"), formatter)).withColumn("__post", F.col("__f.post"))
     return u.select(
         _keys("refactor").alias("id"),
         F.lit("refactor").alias("task"),
@@ -74,7 +100,7 @@ def refactor(units: DataFrame, diffs: bool = True) -> DataFrame:
         F.col("code_norm").alias("pre"),
         F.col("__post").alias("post"),
         *([unified_diff("code_norm", "__post", T.basename(F.col("file_path"))).alias("diff")] if diffs else []),
-        F.lit("formatting_minimal").alias("refactor_type"),
+        F.col("__f.kind").alias("refactor_type"),
         F.lit(False).alias("verified"),
         F.lit(True).alias("synthetic"),
         "record_id",

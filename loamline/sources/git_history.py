@@ -1,34 +1,73 @@
-"""Changes of local git repositories: one task per repository, first parents only."""
+"""Changes of local git repositories: one task and one git process per repository; each commit against its first parent."""
 
 from __future__ import annotations
 
+import re
 import subprocess
+import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 SCHEMA = "repo string, commit string, parent string, ord int, author string, date string, message string, a_path string, b_path string, change_type string, diff string"
+_RAW = re.compile(r":\d+ \d+ \S+ \S+ (?P<kind>[A-Z])\d*\0(?P<one>[^\0]*)\0")
+_HEADER = re.compile(r"(?:diff --git|old mode|new mode|deleted file|new file|similarity|dissimilarity|rename|copy|index|---|\+\+\+)")
 
 
-def _git(path: str, *args: str) -> str:
-    out = subprocess.run(["git", "-c", "safe.directory=*", "-C", path, *args], capture_output=True, timeout=600, check=False)
+def _log(path: str, count: int, mark: str) -> str:
+    form = f"{mark}%H%x1f%P%x1f%an%x1f%ct%x1f%B{mark}"
+    command = ["git", "-c", "safe.directory=*", "-C", path, "log", f"-n{count}", "-M", "--diff-merges=first-parent", "--raw", "--no-abbrev", "-p", "-z", "--no-color", "--no-ext-diff", f"--format={form}"]
+    try:
+        out = subprocess.run(command, capture_output=True, timeout=3600, check=False)
+    except (subprocess.TimeoutExpired, OSError):
+        return ""
     return out.stdout.decode("utf-8", "ignore") if out.returncode == 0 else ""
 
 
-def changes_of(repo: str, path: str, max_commits: int = 200) -> list[tuple]:
-    rows = []
-    log = _git(path, "log", f"-n{int(max_commits)}", "--format=%H%x1f%P%x1f%an%x1f%cI%x1f%s%x1e")
-    for n, entry in enumerate(x for x in log.split("\x1e") if x.strip()):
-        sha, parents, author, date, message = entry.strip("\n").split("\x1f")
-        parent = parents.split(" ")[0] if parents else None
-        if not parent:
-            rows.append((repo, sha, None, n, author, date, message, None, None, None, None))
+def _changes(text: str) -> list[tuple[str | None, str | None, str, str]]:
+    """(old path, new path, kind, diff without its header) of what follows a commit's message."""
+    at, found = text.find(":"), []
+    begin = text.find("diff --git ")
+    if at < 0 or 0 <= begin < at:
+        return []
+    while m := _RAW.match(text, at):
+        at, old, new = m.end(), m["one"], m["one"]
+        if m["kind"] in "RC":
+            stop = text.index("\0", at)
+            new, at = text[at:stop], stop + 1
+        found.append((None if m["kind"] == "A" else old, None if m["kind"] == "D" else new, m["kind"]))
+    patches = []
+    for part in re.split(r"(?m)^(?=diff --git )", text[at:].lstrip("\0\n")):
+        if not part.startswith("diff --git "):
             continue
-        for line in _git(path, "diff", "--name-status", "-M", parent, sha).splitlines():
-            kind, *names = line.split("\t")
-            old, new = (names[0], names[-1]) if kind[0] in "RC" else (None if kind == "A" else names[0], None if kind == "D" else names[0])
-            rows.append((repo, sha, parent, n, author, date, message, old, new, kind[0], _git(path, "diff", "-M", parent, sha, "--", *{x for x in (old, new) if x})))
+        lines = part.split("\n")
+        k = 0
+        while k < len(lines) and _HEADER.match(lines[k]):
+            k += 1
+        patches.append("\n".join(lines[k:]).rstrip("\0"))
+    out, k = [], 0
+    for old, new, kind in found:
+        n = 2 if kind == "T" else 1  # a change of type is shown as a removal and an addition
+        out.append((old, new, kind, "".join(patches[k : k + n])))
+        k += n
+    return out
+
+
+def changes_of(repo: str, path: str, max_commits: int = 200) -> list[tuple]:
+    """Rows of SCHEMA for the last commits: message whole, date as naive UTC, paths as they are. A root commit has one row without parent."""
+    rows, mark = [], uuid.uuid4().hex
+    parts = _log(path, int(max_commits), mark).split(mark)[1:]
+    for n, (head, body) in enumerate(zip(parts[::2], parts[1::2], strict=False)):
+        sha, parents, author, date, message = head.split("\x1f", 4)
+        when = datetime.fromtimestamp(int(date), timezone.utc).replace(tzinfo=None).isoformat()
+        parent = parents.split(" ")[0] or None
+        common = (repo, sha, parent, n, author, when, message.strip())
+        if parent is None:
+            rows.append((*common, None, None, None, None))
+        else:
+            rows += [(*common, *x) for x in _changes(body)]
     return rows
 
 

@@ -1,71 +1,85 @@
-"""A search over saved listings of repositories as a Python data source: one partition per language.
-
-Options: path (a JSON-lines listing with a `languages` array), languages (comma-separated), min_stars, max_items. Stars
-and languages are applied while reading; items are distinct by (source, repo_full_name) in reading order over the
-languages; a line that can't be read ends that language's listing and what was read before is kept.
-"""
+"""Searches over saved listings of repositories, with the conditions of the hosting sites' searches applied in Spark."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from loamline.config import split_option
+from loamline.functions import text as T
 from loamline.schemas import REPO
 
+LISTING = REPO + ", languages array<string>, license struct<spdx_id: string, key: string, name: string>"
+
+
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of LISTING and `ord`, the reading order, from JSON lines; lines that cannot be read are left out."""
+    raw = spark.read.text(path).select("value", F.struct(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).alias("ord"))
+    good = raw.where(F.try_parse_json("value").isNotNull()).select("ord", F.from_json("value", LISTING).alias("r"))
+    return good.select("ord", "r.*").where("repo_full_name is not null")
+
+
+def has_words(query: str | None, *texts: Column) -> Column:
+    """Every word of the query stands in one of the texts, case aside; no words: no condition."""
+    hay = F.lower(F.concat_ws(" ", *texts))
+    out = F.lit(True)
+    for w in (query or "").lower().split():
+        out = out & F.contains(hay, F.lit(w))
+    return out
+
+
+def _texts() -> tuple[Column, ...]:
+    return F.col("repo_full_name"), F.col("description"), F.array_join("topics", " "), F.col("readme_head")
+
+
+def _filled(items: DataFrame) -> DataFrame:
+    return items.withColumns(
+        {
+            "default_branch": T.or_default(F.col("default_branch"), "main"),
+            "stars": F.coalesce("stars", F.lit(0)),
+            "description": F.coalesce("description", F.lit("")),
+            "topics": F.coalesce("topics", F.array().cast("array<string>")),
+        }
+    )
+
+
+def license_of(license_: Column) -> Column:
+    """The first of a licence's spdx_id, key and name that is not empty."""
+    full = lambda f: F.nullif(license_[f], F.lit(""))
+    return F.coalesce(full("spdx_id"), full("key"), full("name"))
+
+
+def _firsts(items: DataFrame, order: Column, most: int) -> DataFrame:
+    """The first `most` repositories in the order, each name once; `ord` becomes their number."""
+    cols = [c for c in items.columns if c not in ("repo_full_name", "ord")]
+    one = items.withColumn("ord", order).groupBy("repo_full_name").agg(F.min_by(F.struct("ord", *cols), "ord").alias("r"))
+    top = one.select("repo_full_name", "r.*").orderBy("ord").limit(most)
+    return top.withColumn("ord", F.row_number().over(W.orderBy("ord")).cast("bigint"))  # over `most` rows
+
+
+def github(items: DataFrame, keywords: str | None = None, languages: tuple[str, ...] = (), min_stars: int = 0, most: int = 100) -> DataFrame:
+    """One search per language, each by stars; a repository counts with the first language that has it; `most` over all of them.
+
+    items: rows of LISTING (license may be absent) with `ord`, which decides ties; null stars count as 0.
+    """
+    items = _filled(items.where(has_words(keywords, *_texts())))
+    wanted = F.array(*[F.lit(x.lower()) for x in languages]).cast("array<string>")
+    own = F.transform(F.coalesce("languages", F.array().cast("array<string>")), lambda x: F.lower(x))
+    number = F.array_position(F.transform(wanted, lambda w: F.array_contains(own, w)), F.lit(True)) if languages else F.lit(1)
+    items = items.withColumn("__n", F.coalesce(number, F.lit(0)).cast("int")).where((F.col("__n") > 0) & (F.col("stars") >= min_stars))
+    return _firsts(items, F.struct(F.col("__n").alias("n"), (-F.col("stars")).alias("s"), F.col("ord").alias("o")), most).drop("__n", "languages", "license")
+
 
-class _Language(InputPartition):
-    def __init__(self, number: int, name: str):
-        super().__init__(number)
-        self.number, self.name = number, name
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"]
-        self.languages = split_option(options.get("languages", "python"))
-        self.stars, self.most = int(options.get("min_stars", 0)), int(options.get("max_items", 100))
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Language(i, x) for i, x in enumerate(self.languages)]
-
-    def read(self, partition: _Language) -> Iterator[tuple]:
-        seen, n = set(), 0
-        with open(self.path, encoding="utf-8") as f:
-            for line in f:
-                try:
-                    r = json.loads(line)
-                except ValueError:
-                    return
-                own = {str(x).lower() for x in r.get("languages") or []}
-                if partition.name.lower() not in own or (self.stars and (r.get("stars") or 0) < self.stars):
-                    continue
-                if any(x.lower() in own for x in self.languages[: partition.number]):
-                    continue  # an earlier language has it
-                key = (r.get("source"), r.get("repo_full_name"))
-                if key in seen:
-                    continue
-                seen.add(key)
-                n += 1
-                if n > self.most:
-                    return
-                yield (
-                    partition.number * 1_000_000_000 + n, r.get("source"), r.get("repo_full_name"), r.get("clone_url"), r.get("default_branch") or "main", r.get("stars") or 0, r.get("license_hint"), r.get("url"),
-                    r.get("description") or "", list(r.get("topics") or []), r.get("readme_head") or "", r.get("semantic_score"), r.get("fetch_timestamp"),
-                )
-
-
-class RepositorySearch(DataSource):
-    """spark.dataSource.register(RepositorySearch); spark.read.format("repository_search").options(...).load()"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "repository_search"
-
-    def schema(self) -> str:
-        return "ord bigint, " + REPO
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
+def gitlab(items: DataFrame, keywords: str | None = None, languages: tuple[str, ...] = (), min_stars: int = 0, most: int = 100) -> DataFrame:
+    """The listing's order, stars and languages checked one by one; where a project's languages are not known, its description and
+    topics are looked at. The licence is the first of spdx_id, key and name where the listing has a licence record."""
+    items = _filled(items.where(has_words(keywords, *_texts())))
+    ok = F.lit(True)
+    if languages:
+        wanted = F.array(*[F.lit(x.lower()) for x in languages])
+        hay = F.lower(F.concat_ws(" ", "description", F.array_join("topics", " ")))
+        known = F.arrays_overlap(F.transform("languages", lambda x: F.lower(x)), wanted)
+        ok = F.when(F.col("languages").isNotNull(), F.coalesce(known, F.lit(False))).otherwise(F.exists(wanted, lambda w: F.contains(hay, w)))
+    if "license" in items.columns:
+        items = items.withColumn("license_hint", F.coalesce(license_of(F.col("license")), "license_hint"))
+    return _firsts(items.where(ok & (F.col("stars") >= min_stars)), F.struct("ord"), most).drop("languages", "license")
