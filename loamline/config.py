@@ -19,9 +19,9 @@ class Config:
     keyword_query: str = "graph algorithm python"
     min_loc: int = 5
     max_loc: int = 400
-    shingle_size: int = 7
+    shingle_size: int = 5
     num_perm: int = 128
-    lsh_threshold: float = 0.85
+    lsh_threshold: float = 0.80
     completion_lines: tuple[int, ...] = (1, 3, 10)
     skip_security: bool = False
 

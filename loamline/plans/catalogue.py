@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from loamline.functions import text as T
 from loamline.functions.store import shared_dir, spread, written
-from loamline.operators import dedup, discovery, extract, gate, tasks, validate
-from loamline.sources import files
+from loamline.operators import dedup, discovery, extract, gate, mining, tasks, validate
+from loamline.sources import files, search, sinks
 
 ALLOWED = ("MIT", "Apache-2.0", "BSD-3-Clause")
 SHINGLE, NEAR = 5, 0.8
@@ -88,9 +88,30 @@ _PAIRS_SQL = f"""
 # ---- text
 
 
-@query(f"SELECT record_id, {_norm('code')} AS normalized FROM kept_records")
+@query(f"SELECT record_id, CASE WHEN language = 'python' THEN {_norm('code')} ELSE code END AS normalized FROM kept_records")
 def normalize_code(spark, d):
-    return _units(spark, d).select("record_id", T.normalize_code(F.col("code")).alias("normalized"))
+    norm = F.when(F.col("language") == "python", T.normalize_code(F.col("code"))).otherwise(F.col("code"))
+    return _units(spark, d).select("record_id", norm.alias("normalized"))
+
+
+@query("SELECT doc_id, right(text, 20000) AS tail, len(text) AS n FROM documents WHERE text IS NOT NULL")
+def text_tail(spark, d):
+    return _t(spark, d, "documents").where("text is not null").select("doc_id", T.tail(F.col("text")).alias("tail"), F.length("text").cast("bigint").alias("n"))
+
+
+@query("SELECT prov_id, replace(repo_full_name, '/', '_') || '_' || substr(commit_sha, 1, 12) AS mangled, list_last(string_split(file_path, '/')) AS base, coalesce(nullif(default_branch, ''), 'main') AS branch FROM provenance")
+def provenance_names(spark, d):
+    return _t(spark, d, "provenance").select("prov_id", T.mangle_repo(F.col("repo_full_name"), F.col("commit_sha")).alias("mangled"), T.basename(F.col("file_path")).alias("base"), T.or_default(F.col("default_branch"), "main").alias("branch"))
+
+
+@query("SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') AS iso FROM events")
+def iso_times(spark, d):
+    return _t(spark, d, "events").select("event_id", T.iso_utc(F.floor(F.unix_micros(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")) / 1_000_000)).alias("iso"))
+
+
+@query("SELECT record_id, substr(sha256(concat_ws(chr(31), 'refactor', coalesce(repo_full_name, chr(0)), coalesce(file_path, chr(0)), coalesce(CAST(start_line AS VARCHAR), chr(0)), CAST(record_id AS VARCHAR))), 1, 32) AS id FROM kept_records")
+def record_ids(spark, d):
+    return tasks.refactor(_units(spark, d), diffs=False).select("record_id", "id")
 
 
 @query("SELECT record_id, sha256(code_norm) AS content_hash FROM kept_records")
@@ -160,6 +181,14 @@ def near_dup_keep(spark, d):
     return dedup.greedy_keep(reps, dedup.near_pairs(reps, SHINGLE, NEAR))
 
 
+@query(f"WITH {_PAIRS_SQL} SELECT count(*) AS near, count(*) AS among_candidates FROM near")
+def lsh_recall(spark, d):
+    """Of the pairs of near texts, all of them, those that the index names as candidates."""
+    reps = written(_reps(spark, d), f"{shared_dir(spark)}/reps")
+    near, cand = dedup.near_pairs(reps, SHINGLE, NEAR), dedup.lsh_candidates(reps, SHINGLE, NEAR, sure=True).withColumn("c", F.lit(1))
+    return near.join(cand, ["a", "b"], "left").agg(F.count("*").alias("near"), F.count("c").alias("among_candidates"))
+
+
 @query()
 def lsh_candidates(spark, d):
     return dedup.lsh_candidates(_reps(spark, d), SHINGLE, NEAR)
@@ -190,9 +219,21 @@ def documentation(spark, d):
     return tasks.documentation(_units(spark, d)).select("record_id", "code", "docstring", "source", "synthetic")
 
 
-@query(f"SELECT record_id, code_norm AS pre, CASE WHEN {_strip(_norm('code_norm'))} = '' THEN code_norm ELSE {_strip(_norm('code_norm'))} END AS post FROM kept_records")
+_ALL_LINES = f"(CASE WHEN code_norm = '' THEN [] WHEN regexp_matches(code_norm, '({_LE})$') THEN list_slice(regexp_split_to_array(code_norm, '{_LE}'), 1, -2) ELSE regexp_split_to_array(code_norm, '{_LE}') END)"
+_MINIMAL = f"array_to_string(list_transform(list_filter(range(1, len(ls) + 1), lambda i: {_strip('ls[i]')} <> '' OR i = 1 OR {_strip('ls[i - 1]')} <> ''), lambda i: ls[i]), chr(10))"
+
+
+@query(f"SELECT record_id, code_norm AS pre, CASE WHEN {_MINIMAL} = '' THEN code_norm ELSE {_MINIMAL} END AS post FROM (SELECT *, {_ALL_LINES} AS ls FROM kept_records)")
 def refactor_minimal(spark, d):
-    return tasks.refactor(_units(spark, d), diffs=False).select("record_id", "pre", "post")
+    return tasks.refactor(_units(spark, d), diffs=False, formatter="minimal").select("record_id", "pre", "post")
+
+
+_RULE = "CASE " + " ".join(f"WHEN instr(code_norm, '{old}') > 0 THEN '{old.strip()}->{new.strip()}'" for old, new in T.BUG_RULES) + " WHEN code_norm IS NOT NULL THEN 'marker' END"
+
+
+@query(f"SELECT {_RULE} AS rule, count(*) AS n FROM kept_records GROUP BY 1")
+def bug_rules(spark, d):
+    return _units(spark, d).groupBy(T.bug_rule(F.col("code_norm")).alias("rule")).agg(F.count("*").alias("n"))
 
 
 @query()
@@ -257,35 +298,100 @@ def manifest_counts_language(spark, d):
     return validate.count_by(_records(spark, d), "language")
 
 
-@query()
+def _map_sql(column: str) -> str:
+    return f"(SELECT string_agg({column} || '=' || n, '; ' ORDER BY {column}) FROM (SELECT {column}, count(*) AS n FROM {_RECORDS_SQL} WHERE {column} <> '' GROUP BY 1))"
+
+
+@query(
+    f"""WITH n AS (SELECT count(*) AS near_unique FROM ({_keep_sql()})), u AS (SELECT count(*) AS total FROM kept_records)
+ SELECT {_map_sql('task')} AS counts, {_map_sql('license')} AS licenses, {_map_sql('language')} AS languages, round(1 - near_unique / greatest(total, 1), 6) AS duplication_rate_hint, (SELECT bool_and(provenance IS NOT NULL) FROM kept_records) AS provenance_complete FROM n, u"""
+)
 def dataset_manifest(spark, d):
-    u = _units(spark, d)
-    rate = u.agg((1 - F.count_distinct("code_norm") / F.greatest(F.count("*"), F.lit(1))).alias("duplication_rate"))
-    return validate.manifest(_records(spark, d), rate, F.col("ok"))
+    m = validate.manifest(_records(spark, d), dedup_stats(spark, d), F.col("ok"))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "; ").alias(c)
+    return m.select(text("counts"), text("licenses"), text("languages"), "duplication_rate_hint", "provenance_complete")
 
 
 _V = {
     "id": "CASE WHEN id IS NULL THEN 'id: null' END",
     "task": "CASE WHEN task IS NULL THEN 'task: null' WHEN task <> 'documentation' THEN 'task: value' END",
     "language": "CASE WHEN language IS NULL THEN 'language: null' END",
-    "license": "NULL",
-    "provenance": "CASE WHEN provenance IS NULL THEN 'provenance: null' END",
     "code": "CASE WHEN code IS NULL THEN 'code: null' END",
     "docstring": "CASE WHEN docstring IS NULL THEN 'docstring: null' END",
     "source": "CASE WHEN source IS NULL THEN 'source: null' END",
     "synthetic": "CASE WHEN synthetic IS NULL THEN 'synthetic: null' END",
-    **{f"p{i}": f"CASE WHEN provenance IS NULL THEN 'provenance.{c}: missing' WHEN provenance.{c} IS NULL THEN 'provenance.{c}: null'{extra} END" for i, (c, extra) in enumerate((("repo_full_name", ""), ("source", " WHEN provenance.source NOT IN ('github', 'gitlab') THEN 'provenance.source: value'"), ("clone_url", ""), ("default_branch", ""), ("commit_sha", ""), ("commit_date", ""), ("file_path", ""), ("lines", " WHEN len(provenance.lines) <> 2 THEN 'provenance.lines: length'")))},
-    **{f"n{c}": f"CASE WHEN provenance IS NULL THEN 'provenance.{c}: missing' END" for c in ("license_spdx", "license_text")},
 }
 
 
-@query(f"SELECT rec_id, array_to_string(list_filter([{', '.join(_V.values())}], lambda x: x IS NOT NULL), '; ') AS violations FROM documentation")
+def _field(c: str, extra: str = "", nullable: bool = False) -> str:
+    """What a field of the provenance struct p breaks; a struct that is null has none of its fields."""
+    null = "" if nullable else f"WHEN p.{c} IS NULL THEN 'provenance.{c}: null' "
+    return f"CASE WHEN p IS NULL THEN 'provenance.{c}: missing' {null}{extra} END"
+
+
+_PROVENANCE_FIELDS = [
+    _field("repo_full_name"), _field("source", "WHEN p.source NOT IN ('github', 'gitlab') THEN 'provenance.source: value'"), _field("clone_url"), _field("default_branch"), _field("commit_sha"), _field("commit_date"), _field("file_path"),
+    _field("lines", "WHEN len(p.lines) <> 2 THEN 'provenance.lines: length' WHEN len(list_filter(p.lines, lambda x: x IS NULL)) > 0 THEN 'provenance.lines: items'"),
+    _field("license_spdx", nullable=True), _field("license_text", nullable=True), _field("scan_tool_versions"), _field("scan_timestamp"),
+]
+_IS_PROVENANCE = "CASE WHEN p IS NULL THEN 'provenance: null' END"
+_DOCUMENTATION_FIELDS = [_V[k] for k in ("id", "task", "language")] + [_IS_PROVENANCE, *_PROVENANCE_FIELDS] + [_V[k] for k in ("code", "docstring", "source", "synthetic")]
+
+
+def _broken(fields: list[str]) -> str:
+    return f"array_to_string(list_filter([{', '.join(fields)}], lambda x: x IS NOT NULL), '; ')"
+
+
+@query(f"SELECT rec_id, {_broken(_DOCUMENTATION_FIELDS)} AS violations FROM (SELECT *, provenance AS p FROM documentation)")
 def schema_violations(spark, d):
     docs = _t(spark, d, "documentation")
     lines = docs.select("rec_id", F.to_json(F.struct(*[c for c in docs.columns if c != "rec_id"]), {"ignoreNullFields": "false"}).alias("value"))
     return validate.violations(lines, "documentation").select("rec_id", F.array_join("violations", "; ").alias("violations"))
 
 
+@query(
+    f"""WITH b AS (SELECT record_id, {_broken([_IS_PROVENANCE, *_PROVENANCE_FIELDS])} AS violations FROM (SELECT record_id, provenance AS p FROM kept_records WHERE code_norm IS NOT NULL)),
+ c AS (SELECT record_id FROM (SELECT record_id, ls, unnest([1, 3, 10]) AS n FROM {_CUT}) WHERE len(ls) > n)
+ SELECT task, violations, count(*) AS n FROM (SELECT unnest(['documentation', 'refactor']) AS task, violations FROM b UNION ALL SELECT 'completion', violations FROM b JOIN c USING (record_id) UNION ALL SELECT 'debugging', '' FROM b) GROUP BY 1, 2"""
+)
+def schema_violations_tasks(spark, d):
+    """What the records of the four tasks break, made from all kept records."""
+    u = _units(spark, d).where("code_norm is not null")
+    made = {"completion": tasks.completion(u), "documentation": tasks.documentation(u), "refactor": tasks.refactor(u), "debugging": tasks.debugging(u)}
+    out = None
+    for name, df in made.items():
+        checked = validate.violations(validate.as_json(df.drop("record_id", "n_lines")), name)
+        rows = checked.select(F.lit(name).alias("task"), F.array_join("violations", "; ").alias("violations"))
+        out = rows if out is None else out.union(rows)
+    return out.groupBy("task", "violations").agg(F.count("*").alias("n"))
+
+
+# ---- readers and writers: what is written is read back
+
+
+@query("SELECT rec_id, id, task, language, license, code, docstring, source, synthetic FROM documentation")
+def json_lines_round_trip(spark, d):
+    path = f"{shared_dir(spark)}/lines"
+    cols = "rec_id bigint, id string, task string, language string, license string, code string, docstring string, source string, synthetic boolean"
+    sinks.json_lines(_t(spark, d, "documentation").select(*[c.split()[0] for c in cols.split(", ")]), path)
+    return files.json_lines(spark, path, cols)[0]
+
+
+@query("SELECT source, repo_full_name, clone_url, stars, license_hint, description, array_to_string(coalesce(topics, []), ',') AS topics, coalesce(readme_head, '') AS readme_head, semantic_score, fetch_timestamp FROM repos")
+def manifest_round_trip(spark, d):
+    path = f"{shared_dir(spark)}/manifest"
+    sinks.json_lines(_t(spark, d, "repos"), path)
+    m = files.manifest(spark, path)
+    return m.select("source", "repo_full_name", "clone_url", "stars", "license_hint", "description", F.array_join("topics", ",").alias("topics"), "readme_head", "semantic_score", "fetch_timestamp")
+
+
+@query("SELECT repo_full_name, file_path, start_line, loc, code FROM kept_records WHERE repo_full_name IS NOT NULL")
+def functions_by_repository(spark, d):
+    path = f"{shared_dir(spark)}/functions"
+    sinks.by_repository(_units(spark, d).where("repo_full_name is not null").select("repo_full_name", "file_path", "start_line", "loc", "code"), path)
+    return spark.read.parquet(path).select("repo_full_name", "file_path", "start_line", "loc", "code")
+
+
 # ---- gate
 
 
@@ -305,11 +411,14 @@ def license_vote(spark, d):
 
 
 def _secret_rows(spark, d):
-    u = _units(spark, d)
-    return u.where(F.contains("code", F.lit("PRIVATE KEY-----"))).select(F.col("repo_full_name").alias("repo"), F.lit("private-key").alias("rule"), "record_id")
+    u = _units(spark, d).select(F.col("repo_full_name").alias("repo"), "record_id", "code")
+    return gate.secret_findings(u, "code", "repo", "record_id")
+
 
+_SECRETS = " UNION ALL ".join("SELECT repo_full_name AS repo, record_id, '{}' AS rule FROM kept_records WHERE regexp_matches(code, '{}')".format(n, p.replace("'", "''")) for n, p in gate.SECRET_RULES)
 
-@query("SELECT repo_full_name AS repo, 'private-key' AS rule, record_id FROM kept_records WHERE contains(code, 'PRIVATE KEY-----')")
+
+@query(_SECRETS)
 def secret_scan(spark, d):
     return _secret_rows(spark, d)
 
@@ -324,7 +433,7 @@ def _gated(spark, d):
 
 _GATE = f"""(SELECT repo, CASE WHEN scanned THEN coalesce(nullif(detected, ''), nullif(hint, '')) ELSE nullif(hint, '') END AS license, scanned, sec FROM (
  SELECT r.repo, r.hint, v.license AS detected, v.repo IS NOT NULL AS scanned, s.repo IS NOT NULL AS sec FROM (SELECT repo_full_name AS repo, min(license_hint) AS hint FROM repos GROUP BY 1) r
- LEFT JOIN {_VOTE} v ON v.repo = r.repo LEFT JOIN (SELECT DISTINCT repo_full_name AS repo FROM kept_records WHERE contains(code, 'PRIVATE KEY-----')) s ON s.repo = r.repo))"""
+ LEFT JOIN {_VOTE} v ON v.repo = r.repo LEFT JOIN (SELECT DISTINCT repo FROM ({_SECRETS})) s ON s.repo = r.repo))"""
 _STATUS = f"CASE WHEN NOT scanned THEN CASE WHEN coalesce(license IN {_ALLOWED_SQL}, false) THEN 'ok' ELSE 'blocked_license_scanner_unavailable' END WHEN sec THEN 'quarantined_secrets' WHEN coalesce(license IN {_ALLOWED_SQL}, false) THEN 'ok' ELSE 'blocked_license' END"
 
 
@@ -335,10 +444,45 @@ def gate_status(spark, d):
 
 @query(f"SELECT repo, license FROM {_GATE} WHERE {_STATUS} = 'quarantined_secrets'")
 def quarantine(spark, d):
-    return gate.split_by_status(_gated(spark, d))["quarantined"].select("repo", "license")
+    path = shared_dir(spark)
+    sinks.quarantine(gate.split_by_status(_gated(spark, d)), path)
+    return spark.read.parquet(f"{path}/quarantined").select("repo", "license")
+
+
+@query(f"SELECT record_id FROM kept_records WHERE repo_full_name IN (SELECT repo FROM {_GATE} WHERE {_STATUS} = 'ok')")
+def passed_units(spark, d):
+    """Units of the repositories that passed the gate."""
+    ok = _gated(spark, d).where("status = 'ok'").select(F.col("repo").alias("repo_full_name"))
+    return _units(spark, d).join(ok, "repo_full_name", "left_semi").select("record_id")
+
+
+@query(f"SELECT repo, license, votes, matched_text FROM {_VOTE}")
+def license_reports(spark, d):
+    """The vote over nested reports, one file per finding."""
+    one = _findings(spark, d).groupBy("repo").agg(F.sort_array(F.collect_list(F.struct("ord", "spdx", "matched_text"))).alias("f"))
+    licence = lambda x: F.struct(x["spdx"].alias("spdx_license_key"), F.lit(None).cast("string").alias("key"), x["matched_text"].alias("matched_text"))
+    reports = one.select("repo", F.transform("f", lambda x: F.struct(x["ord"].cast("string").alias("path"), F.array(licence(x)).alias("licenses"))).alias("files"))
+    return gate.license_vote(gate.findings_of_reports(reports))
+
+
+@query(
+    f"""SELECT p.repo_full_name, CASE WHEN g.repo IS NULL THEN p.license_spdx ELSE g.license END AS license_spdx, CASE WHEN g.repo IS NULL THEN p.license_text ELSE v.matched_text END AS license_text,
+ CASE WHEN g.repo IS NULL THEN p.scan_timestamp ELSE '2025-01-31T12:00:00' END AS scan_timestamp FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY prov_id) AS rn FROM provenance) WHERE rn = 1) p
+ LEFT JOIN {_GATE} g ON g.repo = p.repo_full_name LEFT JOIN {_VOTE} v ON v.repo = p.repo_full_name"""
+)
+def provenance_update(spark, d):
+    vote = gate.license_vote(_findings(spark, d)).select("repo", "matched_text")
+    gated = _gated(spark, d).select("repo", "license").join(vote, "repo", "left")
+    return gate.update_provenance(_repo_provenance(spark, d), gated, "2025-01-31T12:00:00").select("repo_full_name", "license_spdx", "license_text", "scan_timestamp")
+
 
+@query("SELECT repo_full_name, string_agg(file_path || '=' || sha256, '; ' ORDER BY file_path) AS hashes FROM (SELECT repo_full_name, file_path, max(sha256(code)) AS sha256 FROM source_files WHERE code IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
+def file_hash_maps(spark, d):
+    m = extract.hash_maps(extract.file_hashes(_t(spark, d, "source_files")))
+    return m.select("repo_full_name", F.array_join(F.transform(F.array_sort(F.map_entries("file_hashes")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias("hashes"))
 
-@query("SELECT r.repo, coalesce(n, 0) AS n_findings FROM (SELECT DISTINCT repo_full_name AS repo FROM repos) r LEFT JOIN (SELECT repo_full_name AS repo, count(*) AS n FROM kept_records WHERE contains(code, 'PRIVATE KEY-----') GROUP BY 1) f ON f.repo = r.repo")
+
+@query(f"SELECT r.repo, coalesce(n, 0) AS n_findings FROM (SELECT DISTINCT repo_full_name AS repo FROM repos) r LEFT JOIN (SELECT repo, count(*) AS n FROM ({_SECRETS}) GROUP BY 1) f ON f.repo = r.repo")
 def stub_reports(spark, d):
     r = _t(spark, d, "repos").select(F.col("repo_full_name").alias("repo")).distinct()
     return gate.with_reports(r, _secret_rows(spark, d)).select("repo", F.size("findings").cast("bigint").alias("n_findings"))
@@ -378,10 +522,10 @@ def star_filter(spark, d):
     return i.where(discovery.min_stars(F.col("stars"), 100)).select("source", "repo_full_name", "stars")
 
 
-@query(f"SELECT source, repo_full_name FROM {_DISTINCT} WHERE coalesce(list_contains(list_transform(topics, lambda t: lower(t)), 'python'), false) OR contains(lower(concat_ws(' ', description, array_to_string(topics, ' '))), 'python')")
+@query(f"SELECT source, repo_full_name FROM {_DISTINCT} WHERE coalesce(list_has_any(list_transform(topics, lambda t: lower(t)), ['lattice', 'cache', 'harbor']), false) OR regexp_matches(lower(concat_ws(' ', description, array_to_string(topics, ' '))), 'lattice|cache|harbor')")
 def language_filter(spark, d):
     i = _distinct(spark, d, "topics", "description")
-    return i.where(discovery.names_language(("python",), F.col("topics"), F.col("description"), F.array_join("topics", " "))).select("source", "repo_full_name")
+    return i.where(discovery.names_language(("Lattice", "cache", "harbor"), F.col("topics"), F.col("description"), F.array_join("topics", " "))).select("source", "repo_full_name")
 
 
 @query(f"SELECT source, repo_full_name, concat_ws(chr(10), coalesce(repo_full_name, ''), coalesce(description, ''), coalesce(array_to_string(topics, ' '), ''), substr(coalesce(readme_head, ''), 1, 2000)) AS corpus FROM {_DISTINCT}")
@@ -400,6 +544,80 @@ def stars_fallback_topk(spark, d):
     return discovery.rank(i, 0.70, 50).select("source", "repo_full_name", "stars")
 
 
+_LANGS = ("lever", "widget", "cache", "archive", "platform")
+_SEARCHED = f"""(SELECT source, repo_full_name, coalesce(stars, 0) AS stars, 0 AS site, k FROM (
+ SELECT *, row_number() OVER (ORDER BY n, coalesce(stars, 0) DESC, {_ORD}) AS k FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY n, coalesce(stars, 0) DESC, {_ORD}) AS r FROM (
+  SELECT *, coalesce(list_position(list_transform({list(_LANGS)!r}, lambda w: list_contains(list_transform(coalesce(topics, []), lambda t: lower(t)), w)), true), 0) AS n FROM repos WHERE source = 'github' AND coalesce(stars, 0) >= 10) WHERE n > 0) WHERE r = 1) WHERE k <= 12
+ UNION ALL SELECT source, repo_full_name, coalesce(stars, 0), 1, k FROM (
+ SELECT *, row_number() OVER (ORDER BY {_ORD}) AS k FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY {_ORD}) AS r FROM repos WHERE source = 'gitlab' AND coalesce(stars, 0) >= 10
+  AND regexp_matches(lower(concat_ws(' ', coalesce(description, ''), array_to_string(coalesce(topics, []), ' '))), '{'|'.join(_LANGS)}')) WHERE r = 1) WHERE k <= 12)"""
+
+
+def _listings(spark, d):
+    """The table as two listings: topics stand for languages on the one site, on the other languages are not known."""
+    r = _items(spark, d)
+    empty = F.lit(None).cast("array<string>")
+    return {"github": r.where("source = 'github'").withColumn("languages", F.col("topics")), "gitlab": r.where("source = 'gitlab'").withColumn("languages", empty)}
+
+
+@query(f"SELECT source, repo_full_name, stars FROM {_SEARCHED}")
+def repo_search(spark, d):
+    """The first twelve finds of each site: a top-k report, as a search gives."""
+    of = _listings(spark, d)
+    found = search.github(of["github"], None, _LANGS, 10, 12).unionByName(search.gitlab(of["gitlab"], None, _LANGS, 10, 12).select("source", "repo_full_name", "stars"), allowMissingColumns=True)
+    return found.select("source", "repo_full_name", "stars")
+
+
+@query(f"SELECT source, repo_full_name, stars FROM {_SEARCHED} ORDER BY stars DESC, site, k LIMIT 8")
+def discovered(spark, d):
+    """The search as a whole, ranked by stars without an encoder: the first eight."""
+    return discovery.discover(_listings(spark, d), "", _LANGS, 10, 12, 0.70, 8).select("source", "repo_full_name", "stars")
+
+
+@query("SELECT source, repo_full_name FROM (SELECT source, repo_full_name, row_number() OVER (PARTITION BY source, repo_full_name ORDER BY t) AS rn FROM (SELECT *, 0 AS t FROM repos WHERE source = 'gitlab' UNION ALL SELECT *, 1 FROM repos)) WHERE rn = 1")
+def merged_sources(spark, d):
+    i = _items(spark, d).select("source", "repo_full_name", "ord")
+    return discovery.merge_sources(i.where("source = 'gitlab'"), i).select("source", "repo_full_name")
+
+
+@query("SELECT r.repo_full_name, substr(coalesce(f.text, ''), 1, 2000) AS readme_head FROM (SELECT DISTINCT repo_full_name FROM repos) r LEFT JOIN (SELECT repo_full_name, arg_min(text, doc_id) AS text FROM documents WHERE doc_kind = 'readme' AND text <> '' GROUP BY 1) f ON f.repo_full_name = r.repo_full_name")
+def readme_heads(spark, d):
+    docs = _t(spark, d, "documents").where("doc_kind = 'readme' and text <> ''").groupBy("repo_full_name").agg(F.min_by("text", "doc_id").alias("code"))
+    return discovery.readme_preview(_t(spark, d, "repos").select("repo_full_name").distinct(), docs.withColumn("file_path", F.lit("README.md")))
+
+
+# ---- history of files: each ingest of a file counts as a commit upon the one before in its repository
+
+_COMMITS = "(SELECT repo_full_name AS repo, file_id AS c, lag(file_id) OVER w AS parent, row_number() OVER (PARTITION BY repo_full_name ORDER BY ingest_ts DESC, file_id DESC) AS n, file_path FROM source_files WINDOW w AS (PARTITION BY repo_full_name ORDER BY ingest_ts, file_id))"
+
+
+def _commits(spark, d):
+    from pyspark.sql import Window as W
+
+    f = _t(spark, d, "source_files").select("repo_full_name", "file_id", "file_path", "ingest_ts")
+    by = W.partitionBy("repo_full_name")
+    null = F.lit(None).cast("string")
+    return f.select(
+        F.col("repo_full_name").alias("repo"), F.col("file_id").cast("string").alias("commit"), F.lag("file_id").over(by.orderBy("ingest_ts", "file_id")).cast("string").alias("parent"),
+        F.row_number().over(by.orderBy(F.desc("ingest_ts"), F.desc("file_id"))).alias("ord"), F.lit("me").alias("author"), F.col("ingest_ts").cast("string").alias("date"), F.col("file_path").alias("message"),
+        null.alias("a_path"), F.col("file_path").alias("b_path"), F.lit("M").alias("change_type"), F.lit("").alias("diff"),
+    )
+
+
+@query(f"SELECT repo, CAST(c AS VARCHAR) AS commit, CAST(parent AS VARCHAR) AS parent, file_path FROM {_COMMITS} WHERE n <= 200 AND parent IS NOT NULL AND lower(file_path) LIKE '%.py'")
+def commit_pairs(spark, d):
+    return mining.mine_commits(_commits(spark, d)).select("repo", "commit", "parent", "file_path")
+
+
+@query(f"SELECT x.repo, CAST(x.c AS VARCHAR) AS commit, y.file_path AS parent_message FROM {_COMMITS} x LEFT JOIN {_COMMITS} y ON x.repo = y.repo AND x.parent = y.c")
+def commit_parents(spark, d):
+    c = _commits(spark, d)
+    return mining.with_parent(c, c).select("repo", "commit", "parent_message")
+
+
+# ---- vectors
+
+
 def _vectors(spark, d):
     return _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
 
@@ -409,7 +627,7 @@ def embedding_topk(spark, d):
     """The twenty vectors nearest to vector 0: a top-k report."""
     v = _vectors(spark, d)
     q = v.where("id = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
-    return discovery.similar(v.where("id <> 0"), q).orderBy(F.desc("sim"), "id").limit(20).select("id", F.round("sim", 5).alias("sim"))
+    return discovery.nearest(v.where("id <> 0"), q, 20).select("id", F.round("sim", 5).alias("sim"))
 
 
 _SIM = "list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))"
@@ -421,7 +639,7 @@ def semantic_threshold(spark, d):
     """How many vectors are near each of the stated queries (ids divisible by 20)."""
     v = _vectors(spark, d)
     q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
-    return discovery.similar(v, q).where("sim >= 0.3 and id <> q_id").groupBy("q_id").agg(F.count("*").alias("n"))
+    return discovery.count_near(v, q, 0.3)
 
 
 @query(
@@ -431,7 +649,7 @@ def semantic_threshold(spark, d):
 def precision_grid(spark, d):
     v = _vectors(spark, d)
     q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
-    return discovery.precision_at_10(discovery.similar(v, q)).select("q_id", F.col("k").cast("bigint").alias("k"), "p10")
+    return discovery.precision_at_10(discovery.nearest(v, q)).select("q_id", F.col("k").cast("bigint").alias("k"), "p10")
 
 
 @query(
@@ -442,7 +660,7 @@ def precision_grid(spark, d):
 def calibration(spark, d):
     v = _vectors(spark, d)
     q = v.where("id % 20 = 0").select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
-    return discovery.calibrate(discovery.similar(v, q))
+    return discovery.calibrate(discovery.nearest(v, q))
 
 
 # ---- joins
@@ -485,6 +703,16 @@ def cache_hit(spark, d):
     return discovery.cache_hits(new, _cached(spark, d), "key").select("record_id")
 
 
+@query("SELECT count(*) AS keys FROM (SELECT DISTINCT code_norm FROM kept_records WHERE code_norm IS NOT NULL)")
+def cache_appended(spark, d):
+    """How many texts a cache knows after what it missed was added to it."""
+    path = f"{shared_dir(spark)}/cache"
+    new = _units(spark, d).where("batch_no > 0 and code_norm is not null").select(T.content_hash("code_norm").alias("key"), F.col("loc").alias("value")).dropDuplicates(["key"])
+    sinks.append_cache(_cached(spark, d).dropDuplicates(["key"]), path)
+    sinks.append_cache(written(discovery.cache_misses(new, spark.read.parquet(path), "key"), f"{path}-misses"), path)
+    return spark.read.parquet(path).agg(F.count_distinct("key").alias("keys"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_Q)
 

@@ -57,7 +57,17 @@ def test_inject_bug_first_rule_first_occurrence(spark):
 
 
 def test_format_minimal(spark):
-    assert run(spark, T.format_minimal(F.col("t")), ["a  \n\n\n\nb\n", "  ", "", None]) == ["a\n\nb", "  ", "", None]
+    assert run(spark, T.format_minimal(F.col("t")), ["a  \n\n\n\nb\n", "  ", "", None]) == ["a  \n\nb", "  ", "", None]
+    texts = ["\n \n\t\nx\r\n\r\n \r\ny", "a\n \n\n", "\n\n", " \n \nb\u2028\u2028\u2028c\n", "x\n\n\n\n\ny\n\n"]
+
+    def plain(code):
+        out, blank = [], 0
+        for ln in code.splitlines():
+            blank = blank + 1 if not ln.strip() else 0
+            out += [ln] if blank <= 1 else []
+        return "\n".join(out) or code
+
+    assert run(spark, T.format_minimal(F.col("t")), texts) == [plain(t) for t in texts]
 
 
 def test_blank_language_and_defaults(spark):
