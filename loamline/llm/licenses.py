@@ -265,15 +265,17 @@ def stated(texts: DataFrame, column: str, known: DataFrame, recorded: bool = Fal
     c = F.col(column)
     distinct = texts.where(c.isNotNull() & (c != "")).groupBy(F.md5(c).alias("key")).agg(F.any_value(c).alias("text"))
     found = distinct.mapInPandas(read, "key string, is_body boolean, statement int, link string, hash bigint").join(known, "hash").where(F.col("is_body") == F.col("body").isNotNull())
-    named = found.where("body is null").groupBy("key", "statement").agg(F.sort_array(F.collect_set("spdx")).alias("ids"), F.max("link").alias("link"))
+    # a row per statement of a name, and per body of which a unit is there
+    each = found.groupBy("key", "body", "statement").agg(F.sort_array(F.collect_set("spdx")).alias("ids"), F.max("link").alias("link"), F.count("*").alias("n"), F.max("parts").alias("parts"))
     joined = F.when(F.col("link") == "AND", F.array_join("ids", " AND ")).otherwise(F.array_join("ids", " OR "))
-    if recorded:
-        return named.groupBy("key").agg(F.min_by(joined, "statement").alias("license"))
-    whole = found.where("body is not null").groupBy("key", "spdx", "body").agg(F.count("*").alias("n"), F.max("parts").alias("parts")).where("n = parts")
-    ids = whole.groupBy("key").agg(F.sort_array(F.collect_set("spdx")).alias("ids"))
-    three = F.when(F.array_contains("ids", "BSD-3-Clause"), F.array_remove("ids", "BSD-2-Clause")).otherwise(F.col("ids"))  # the one's sentences are among the other's
-    of_bodies = ids.select("key", F.lit(2**31 - 1).alias("statement"), F.array_join(three, " AND ").alias("license"))
-    return named.select("key", "statement", joined.alias("license")).union(of_bodies).groupBy("key").agg(F.min_by("license", "statement").alias("license"))
+    name = F.col("body").isNull()
+    text = each.groupBy("key").agg(
+        F.min_by(F.when(name, joined), F.when(name, F.col("statement"))).alias("named"),
+        F.sort_array(F.collect_set(F.when(~name & (F.col("n") == F.col("parts")), F.col("ids")[0]))).alias("bodies"),
+    )
+    # the sentences of the two-clause licence are among those of the other
+    bodies_ = F.when(F.array_contains("bodies", "BSD-3-Clause"), F.array_remove("bodies", "BSD-2-Clause")).otherwise(F.col("bodies"))
+    return text.select("key", F.coalesce("named", F.nullif(F.array_join(bodies_, " AND "), F.lit(""))).alias("license")).where("license is not null")
 
 
 def _looked_up(rows: DataFrame, column: str, table: DataFrame, out: str) -> DataFrame:
