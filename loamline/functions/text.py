@@ -89,6 +89,18 @@ def shingles(toks: Column, k: int) -> Column:
     return F.transform(F.array(toks), of)[0]
 
 
+def shingle_hashes(toks: Column, k: int) -> Column:
+    """64-bit hashes of the distinct k-token shingles, made from the tokens as they stand, without texts of shingles."""
+    none = F.array().cast("array<bigint>")
+
+    def of(t: Column) -> Column:
+        n = F.size(t)
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(t, i, F.lit(k))))
+        return F.when(n >= k, F.array_distinct(cut)).when(n.isNotNull(), none)
+
+    return F.transform(F.array(toks), of)[0]
+
+
 def content_hash(c: Column) -> Column:
     """SHA-256 hex of the UTF-8 text or of bytes."""
     return F.sha2(c, 256)

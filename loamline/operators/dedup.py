@@ -131,7 +131,7 @@ def minhash_bands(shingled: DataFrame, perms: int, bands: int, rows: int, collap
 
 def shingled(units: DataFrame, k: int) -> DataFrame:
     """(id, shingles) with 64-bit hashes of the distinct k-token shingles."""
-    return units.select("id", F.transform(T.shingles(T.tokens("text"), k), lambda s: F.xxhash64(s)).alias("shingles"))
+    return units.select("id", T.shingle_hashes(T.tokens("text"), k).alias("shingles"))
 
 
 def _sharing(bands: DataFrame, *more) -> DataFrame:
