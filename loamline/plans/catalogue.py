@@ -253,9 +253,25 @@ def debugging_mutation(spark, d):
     return tasks.debugging(_units(spark, d), diffs=False).select("record_id", "pre_snippet", "post_snippet", F.col("provenance.pre_commit").alias("pre_commit"))
 
 
-@query()
+def _diff_sql() -> str:
+    """The diff from a mutated text to the text, stated for the two ways in which they can differ: one line, or the marker at the end."""
+    ends = _LE.removeprefix(r"\r\n|")
+    keep = rf"regexp_extract_all(§, '[^{ends[1:-1]}]*(?:{_LE})|[^{ends[1:-1]}]+')"
+    hit = "CASE " + " ".join(f"WHEN instr(code_norm, '{old}') > 0 THEN instr(code_norm, '{old}')" for old, _ in T.BUG_RULES) + " ELSE 0 END"
+    context = lambda lo, hi: f"coalesce(array_to_string(list_transform(ls[{lo}:{hi}], lambda x: ' ' || x), ''), '')"
+    span = lambda lo, n: f"CASE WHEN {n} = 1 THEN CAST({lo} AS VARCHAR) WHEN {n} = 0 THEN CAST({lo} - 1 AS VARCHAR) || ',0' ELSE {lo} || ',' || {n} END"
+    line = f"'@@ -' || {span('lo', 'hi - lo + 1')} || ' +' || {span('lo', 'hi - lo + 1')} || ' @@' || chr(10) || {context('lo', 'k - 1')} || '-' || pre[k] || '+' || ls[k] || {context('k + 1', 'hi')}"
+    whole = f"'@@ -' || {span('m', 'n - m + 3')} || ' +' || {span('m', 'n - m + 1')} || ' @@' || chr(10) || {context('m', 'n')} || '-' || pre[n + 1] || '-' || pre[n + 2]"
+    cut = f"'@@ -' || {span('c', 'n - c + 2')} || ' +' || {span('c', 'n - c + 1')} || ' @@' || chr(10) || {context('c', 'n - 1')} || '-' || pre[n] || '-' || pre[n + 1] || '+' || ls[n]"
+    return f"""SELECT record_id, '--- a/' || name || chr(10) || '+++ b/' || name || chr(10) || CASE WHEN place > 0 THEN {line} WHEN n = 0 OR regexp_matches(code_norm, '({_LE})$') THEN {whole} ELSE {cut} END AS diff, 0 AS failing_tests, 0 AS stack_trace
+ FROM (SELECT *, greatest(1, k - 3) AS lo, least(n, k + 3) AS hi, greatest(1, n - 2) AS m, greatest(1, n - 3) AS c FROM (
+  SELECT *, len(ls) AS n, len(regexp_extract_all(substr(code_norm, 1, greatest(place - 1, 0)), '({_LE})')) + 1 AS k FROM (
+   SELECT record_id, code_norm, coalesce(nullif(list_last(string_split(file_path, '/')), ''), 'code.py') AS name, {keep.replace('§', 'code_norm')} AS ls, {keep.replace('§', _bug_sql())} AS pre, {hit} AS place FROM kept_records)))"""
+
+
+@query(_diff_sql())
 def debugging(spark, d):
-    return tasks.debugging(spread(_units(spark, d))).select("record_id", "diff", "failing_tests", "stack_trace")
+    return tasks.debugging(spread(_units(spark, d))).select("record_id", "diff", F.size("failing_tests").alias("failing_tests"), F.size("stack_trace").alias("stack_trace"))
 
 
 # ---- manifest
