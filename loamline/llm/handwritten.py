@@ -98,14 +98,37 @@ def _folded(text: str) -> str:
 
 _NOTICE_STEMS, _COPY_STEMS = stems(NOTICE.pattern), stems(COPY_NOTICE.pattern)
 #: What stands in the forms of copy notices that have no stems.
-_VERSION = re.compile(r"(?i)(?:v|version |release |@)\d+\.\d")
+_VERSION, _POINT = re.compile(r"(?i)(?:v|version |release |@)\d+\.\d"), re.compile(r"\d\.\d")
+_TEXTS = sorted({x for branch in (*_NOTICE_STEMS, *_COPY_STEMS) for texts in branch for x in texts})
+_FINDER: list = []
+
+
+def _stems_in(low: str) -> set[str]:
+    """The stems that stand in a text: all are looked for in one pass (Aho and Corasick)."""
+    if not _FINDER:
+        import ahocorasick
+
+        finder = ahocorasick.Automaton()
+        for x in _TEXTS:
+            finder.add_word(x, x)
+        finder.make_automaton()
+        _FINDER.append(finder)
+    return {x for _, x in _FINDER[0].iter(low)}
+
+
 _NOTICE_ALL, _COPY_ALL = re.compile(NOTICE.pattern, re.M), re.compile(COPY_NOTICE.pattern, re.M)
 
 
-def _lines_with(code: str, low: str, needed: list[list[frozenset[str]]], over_all: re.Pattern, pattern: re.Pattern, lines: list[str]) -> set[int]:
+def _lines_with(code: str, there: set[str], needed: list[list[frozenset[str]]], over_all: re.Pattern, pattern: re.Pattern, lines: list[str]) -> set[int]:
     """Numbers of the lines that the pattern matches. Most texts have none of the stems; in the others matches over the whole
     text name the lines to look at, as a match within a line is one of the text, or overlaps one."""
-    if not any(all(any(x in low for x in texts) for texts in sets) if sets else _VERSION.search(code) for sets in needed):
+    version = None
+    for sets in needed:
+        if not sets and version is None:
+            version = _POINT.search(code) is not None and _VERSION.search(code) is not None
+        if all(not texts.isdisjoint(there) for texts in sets) if sets else version:
+            break
+    else:
         return set()
     near: set[int] = set()
     for m in over_all.finditer(code):
@@ -127,9 +150,9 @@ def notices(path: str, code: str) -> tuple[set[int], set[int]]:
     In the first lines and in the comments before all code any form counts; in the comments after that, down to the last
     line, a form that says what the file is: it begins the comment's line, or the file is its subject.
     """
-    lines, low = code.split("\n"), _folded(code)
-    all_made = _lines_with(code, low, _NOTICE_STEMS, _NOTICE_ALL, NOTICE, lines)
-    all_copied = _lines_with(code, low, _COPY_STEMS, _COPY_ALL, COPY_NOTICE, lines)
+    lines, there = code.split("\n"), _stems_in(_folded(code))
+    all_made = _lines_with(code, there, _NOTICE_STEMS, _NOTICE_ALL, NOTICE, lines)
+    all_copied = _lines_with(code, there, _COPY_STEMS, _COPY_ALL, COPY_NOTICE, lines)
     made, copied = {k for k in all_made if k < 12}, {k for k in all_copied if k < 8}
     some = sorted(k for k in all_made | all_copied if k >= 8)
     if not some:
@@ -154,8 +177,14 @@ def notices(path: str, code: str) -> tuple[set[int], set[int]]:
     return made, copied
 
 
+#: How every such array begins.
+_OPENS = re.compile(r"\[\s*\{")
+
+
 def _data_array(path: str, code: str) -> bool:
     """Whether arrays of records are most of the text besides comments."""
+    if not _OPENS.search(code):
+        return False
     size = sum(m.end() - m.start() for m in _ARRAY.finditer(code))
     return size > 0 and 2 * size > len(code) - sum(b - a for a, b in _comments(path, code))
 
