@@ -53,6 +53,7 @@ MACHINE_NAME = re.compile(r"(?i)_pb2(?:_grpc)?\.|_client\.|\.pb\.|_stubs?\.|_par
 VENDOR_PLACE = re.compile(r"(?i)(?:^|/)_?(?:vendor(?:ed)?|third[_-]?party|3rd[_-]?party|externals?|extern|deps|node_modules|bower_components|site-packages|jspm_packages|contrib/import)(?:/|$)")
 _LOCK = re.compile(r'"(?:lockfileVersion|integrity|resolved|_resolved)"\s*:')
 _NUMBER = re.compile(r"(?<![\w.])-?\d+(?:\.\d+)?(?![\w.])")
+_NO_NUMBERS = dict.fromkeys(map(ord, "0123456789.-"))
 _BLOB = re.compile(r"[A-Za-z0-9+/=\\]{40,}")
 _RECORD = re.compile(r"\{[^{}]{0,400}\}")
 
@@ -198,7 +199,9 @@ def flags_of(path: str, code: str, libraries: frozenset[str]) -> np.ndarray:
     lines = code.split("\n")
     longest = max(map(len, lines))
     blanks = (len(code) - len("".join(code.split()))) / n
-    digits = len("".join(_NUMBER.findall(code))) / n
+    # numbers have no other characters than these, so a text with few of them has few numbers
+    some = not code.isascii() or 5 * (len(code) - len(code.translate(_NO_NUMBERS))) > n
+    digits = len("".join(_NUMBER.findall(code))) / n if some else 0.0
     blob = sum(len(m) for m in _BLOB.findall(code))
     records = _RECORD.findall(code) if code.lstrip()[:1] == "[" or "= [{" in code[:200] else []
     rows = [x for x in lines if x.count(",") >= 3]
@@ -244,24 +247,38 @@ _SHAPE[ord("A") : ord("Z") + 1] = ord("A")
 _SHAPE[ord("0") : ord("9") + 1] = ord("0")
 
 
-def _grams(b: np.ndarray, n: int, salt: int) -> np.ndarray:
-    if len(b) < n:
-        return np.empty(0, np.int64)
-    h = np.full(len(b) - n + 1, salt, np.uint64)
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    """Places among DIM - 256 of packed n-grams."""
     with np.errstate(over="ignore"):
-        for k in range(n):
-            h = h * np.uint64(1099511628211) + b[k : len(b) - n + 1 + k].astype(np.uint64) + np.uint64(1)
+        h = (h + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
     return (h >> np.uint64(40)).astype(np.int64) % (DIM - 256)
 
 
+def _packed(b: np.ndarray) -> np.ndarray:
+    """The 3-grams of bytes, each as a number."""
+    w = b.astype(np.uint64)
+    return (w[:-2] << np.uint64(16)) | (w[1:-1] << np.uint64(8)) | w[2:]
+
+
+def _grams(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text's 3-grams, and of the 4-grams and 6-grams of its shape."""
+    none = np.empty(0, np.int64)
+    if len(b) < 3:
+        return none, none
+    shape = _SHAPE[b]
+    three = _packed(shape)
+    four = _mixed((three[:-1] << np.uint64(8)) | shape[3:], 1 << 33) if len(b) > 3 else none
+    six = _mixed((three[:-3] << np.uint64(24)) | three[3:], 1 << 50) if len(b) > 5 else none
+    return _mixed(_packed(b), 3), np.concatenate([four, six])
+
+
 def features(path: str, code: str, flags: np.ndarray, libraries: frozenset[str], hide: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(indices, values): three blocks of length 1 (text n-grams, shape n-grams, path components) and the flags."""
     b = np.frombuffer(masked(code, libraries, path).encode("utf-8", "surrogatepass"), np.uint8)
-    shape = _SHAPE[b]
     idx, val = [], []
-    for grams in (_grams(b, 3, 3), np.concatenate([_grams(shape, 4, 14), _grams(shape, 6, 16)])):
+    for grams in _grams(b):
         if len(grams):
             i, c = np.unique(grams, return_counts=True)
             v = np.log1p(c).astype(np.float32)
