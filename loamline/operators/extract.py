@@ -87,7 +87,14 @@ def file_hashes(files: DataFrame) -> DataFrame:
     return files.where(F.col("code").isNotNull()).select("repo_full_name", "file_path", F.sha2("code", 256).alias("sha256")).distinct()
 
 
-def hash_maps(hashes: DataFrame) -> DataFrame:
-    """(repo_full_name, file_hashes map) for repository records: bounded by a repository's files. The last hash of a path in order wins."""
+#: Files in one map of hashes.
+FILES_PER_MAP = 100_000
+
+
+def hash_maps(hashes: DataFrame, most: int = FILES_PER_MAP) -> DataFrame:
+    """(repo_full_name, part, file_hashes map) for repository records. A repository of more than about `most` files has several
+    parts, dealt by hash of the path, so no row grows with it. The last hash of a path in order wins."""
     one = hashes.groupBy("repo_full_name", "file_path").agg(F.max("sha256").alias("sha256"))
-    return one.groupBy("repo_full_name").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("file_path", "sha256")))).alias("file_hashes"))
+    parts = one.groupBy("repo_full_name").agg(F.ceil(F.count("*") / most).cast("int").alias("__n")).withColumnRenamed("repo_full_name", "__r")
+    dealt = one.join(parts, F.col("repo_full_name").eqNullSafe(F.col("__r"))).withColumn("part", F.pmod(F.xxhash64("file_path"), F.col("__n")).cast("int"))
+    return dealt.groupBy("repo_full_name", "part").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("file_path", "sha256")))).alias("file_hashes"))

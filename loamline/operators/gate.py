@@ -104,9 +104,12 @@ def ingested(snapshots: DataFrame) -> DataFrame:
 
 
 def with_reports(repos: DataFrame, findings: DataFrame, key: str = "repo") -> DataFrame:
-    """Every repository with its findings; an empty array where a scanner made no report."""
-    got = findings.groupBy(key).agg(F.sort_array(F.collect_list("rule")).alias("findings"))
-    return repos.join(got, key, "left").withColumn("findings", F.coalesce("findings", F.array().cast("array<string>")))
+    """Every repository with the numbers of its findings by rule: n_findings and a map with a key per rule; 0 and an empty map where a
+    scanner made no report."""
+    by = findings.groupBy(key, "rule").agg(F.count("*").alias("n"))
+    got = by.groupBy(key).agg(F.sum("n").alias("n_findings"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule", "n")))).alias("findings"))
+    empty = F.create_map().cast("map<string,bigint>")
+    return repos.join(got, key, "left").withColumns({"n_findings": F.coalesce("n_findings", F.lit(0)).cast("bigint"), "findings": F.coalesce("findings", empty)})
 
 
 def split_by_status(gated: DataFrame) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from loamline.functions import text as T
 from loamline.functions.store import shared_dir, spread, written
 from loamline.operators import dedup, discovery, extract, gate, mining, tasks, validate
 from loamline.sources import files, search, sinks
+from loamline.streaming import incremental
 
 ALLOWED = ("MIT", "Apache-2.0", "BSD-3-Clause")
 SHINGLE, NEAR = 5, 0.8
@@ -492,16 +493,16 @@ def provenance_update(spark, d):
     return gate.update_provenance(_repo_provenance(spark, d), gated, "2025-01-31T12:00:00").select("repo_full_name", "license_spdx", "license_text", "scan_timestamp")
 
 
-@query("SELECT repo_full_name, string_agg(file_path || '=' || sha256, '; ' ORDER BY file_path) AS hashes FROM (SELECT repo_full_name, file_path, max(sha256(code)) AS sha256 FROM source_files WHERE code IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT repo_full_name, 0 AS part, string_agg(file_path || '=' || sha256, '; ' ORDER BY file_path) AS hashes FROM (SELECT repo_full_name, file_path, max(sha256(code)) AS sha256 FROM source_files WHERE code IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
 def file_hash_maps(spark, d):
     m = extract.hash_maps(extract.file_hashes(_t(spark, d, "source_files")))
-    return m.select("repo_full_name", F.array_join(F.transform(F.array_sort(F.map_entries("file_hashes")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias("hashes"))
+    return m.select("repo_full_name", "part", F.array_join(F.transform(F.array_sort(F.map_entries("file_hashes")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias("hashes"))
 
 
 @query(f"SELECT r.repo, coalesce(n, 0) AS n_findings FROM (SELECT DISTINCT repo_full_name AS repo FROM repos) r LEFT JOIN (SELECT repo, count(*) AS n FROM ({_SECRETS}) GROUP BY 1) f ON f.repo = r.repo")
 def stub_reports(spark, d):
     r = _t(spark, d, "repos").select(F.col("repo_full_name").alias("repo")).distinct()
-    return gate.with_reports(r, _secret_rows(spark, d)).select("repo", F.size("findings").cast("bigint").alias("n_findings"))
+    return gate.with_reports(r, _secret_rows(spark, d)).select("repo", "n_findings")
 
 
 # ---- discovery
@@ -602,6 +603,54 @@ def readme_heads(spark, d):
     return discovery.readme_preview(_t(spark, d, "repos").select("repo_full_name").distinct(), docs.withColumn("file_path", F.lit("README.md")))
 
 
+def _letters():
+    """An encoder for tests of the plumbing: how often four letters stand in a text."""
+    return lambda texts: [[float(t.lower().count(c)) for c in "aeio"] for t in texts]
+
+
+@query(
+    f"""WITH c AS (SELECT source, repo_full_name, lower(concat_ws(chr(10), coalesce(repo_full_name, ''), coalesce(description, ''), coalesce(array_to_string(topics, ' '), ''), substr(coalesce(readme_head, ''), 1, 2000))) AS t FROM {_DISTINCT}),
+ v AS (SELECT source, repo_full_name, [CAST(len(t) - len(replace(t, 'a', '')) AS DOUBLE), len(t) - len(replace(t, 'e', '')), len(t) - len(replace(t, 'i', '')), len(t) - len(replace(t, 'o', ''))] AS v FROM c)
+ SELECT source, repo_full_name, round(list_cosine_similarity(v, CAST([1, 2, 1, 1] AS DOUBLE[])), 5) AS score FROM v"""
+)
+def embedded_corpus(spark, d):
+    """Repositories scored by an encoder's vectors against a query's."""
+    i = _distinct(spark, d, "description", "topics", "readme_head")
+    text = discovery.corpus_text(F.col("repo_full_name"), F.col("description"), F.col("topics"), F.col("readme_head"))
+    made = discovery.embed(i.withColumn("t", text), "t", "v", _letters)
+    return discovery.scored(made, "v", [1.0, 2.0, 1.0, 1.0]).select("source", "repo_full_name", F.round("semantic_score", 5).alias("score"))
+
+
+# ---- streams, run over what is there
+
+
+def _streamed(spark, d, columns):
+    """The kept records as a stream of landing files, and a folder for its state and results."""
+    path = shared_dir(spark)
+    src = written(_units(spark, d).select(*columns), f"{path}/landing")
+    return incremental.landing(spark, f"{path}/landing", src.schema).withColumn("ts", F.col("accepted_ts").cast("timestamp")), path
+
+
+@query(f"SELECT DISTINCT sha256({_norm('code')}) AS content_hash FROM kept_records")
+def stream_distinct(spark, d):
+    stream, path = _streamed(spark, d, ["record_id", "code", "accepted_ts"])
+    firsts = incremental.first_of_content(stream, "ts", "36500 days").select("content_hash")
+    firsts.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("content_hash string").parquet(f"{path}/out")
+
+
+@query("SELECT strftime(date_trunc('hour', accepted_ts), '%Y-%m-%d %H:00:00') AS begins, language, count(*) AS n FROM kept_records GROUP BY 1, 2")
+def stream_counts(spark, d):
+    stream, path = _streamed(spark, d, ["language", "accepted_ts"])
+    counted = incremental.counts(stream, "ts", "1 hour").select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("begins"), "language", "n")
+
+    def keep(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/out")
+
+    counted.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("begins string, language string, n bigint").parquet(f"{path}/out")
+
+
 # ---- history of files: each ingest of a file counts as a commit upon the one before in its repository
 
 _COMMITS = "(SELECT repo_full_name AS repo, file_id AS c, lag(file_id) OVER w AS parent, row_number() OVER (PARTITION BY repo_full_name ORDER BY ingest_ts DESC, file_id DESC) AS n, file_path FROM source_files WINDOW w AS (PARTITION BY repo_full_name ORDER BY ingest_ts, file_id))"

@@ -118,6 +118,10 @@ def test_extraction(spark):
     assert got[0].code.startswith("def f(a):")
     assert extract.list_sources(df, ("javascript",)).count() == 1 and extract.list_sources(df, ()).count() == 0
     assert dict(extract.hash_maps(extract.file_hashes(df)).first().file_hashes).keys() == {"a.PY", "b.js", "c.py", "e.py"}
+    parts = extract.hash_maps(extract.file_hashes(df), 2).collect()
+    assert len(parts) <= 2 and sorted(k for r in parts for k in r.file_hashes) == ["a.PY", "b.js", "c.py", "e.py"]
+    found = gate.with_reports(spark.createDataFrame([("r",), ("s",)], "repo string"), spark.createDataFrame([("r", "a"), ("r", "b"), ("r", "a"), ("t", "a")], "repo string, rule string"))
+    assert {r.repo: (r.n_findings, r.findings) for r in found.collect()} == {"r": (3, {"a": 2, "b": 1}), "s": (0, {})}
 
 
 def test_provenance_attach_keeps_clashing_columns(spark):
