@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -27,3 +28,38 @@ def unified_diff(a, b, name) -> Column:
 
     run.__annotations__ = {"x": pd.Series, "y": pd.Series, "n": pd.Series, "return": pd.Series}
     return F.pandas_udf(run, "string")(a, b, name)
+
+
+_HUNK = re.compile(r"@@ -(\d+)(?:,(\d+))? \+\d+(?:,(\d+))? @@\n")
+
+
+def applied(a: str | None, diff: str | None) -> str:
+    """The text that a unified diff makes of a; an empty diff changes nothing. Lines that do not fit raise ValueError."""
+    old, out, at = (a or "").splitlines(keepends=True), [], 0
+    lines = (diff or "").splitlines(keepends=True)
+    i = 2
+    while i < len(lines):
+        m = _HUNK.fullmatch(lines[i])
+        if not m:
+            raise ValueError(f"no hunk: {lines[i]!r}")
+        begin = int(m[1]) - (m[2] != "0")
+        out += old[at:begin]
+        at, i = begin, i + 1
+        left, right = int(m[2] or 1), int(m[3] or 1)
+        while left or right:
+            mark, line = lines[i][:1], lines[i][1:]
+            if mark in " -" and old[at] != line:
+                raise ValueError(f"line {at + 1} is {old[at]!r}, not {line!r}")
+            out += [line] if mark in " +" else []
+            at, left, right, i = at + (mark in " -"), left - (mark in " -"), right - (mark in " +"), i + 1
+    return "".join(out + old[at:])
+
+
+def patched(a, diff) -> Column:
+    """Column of what diffs make of texts."""
+
+    def run(x: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([applied(*t) for t in zip(x, d, strict=True)], dtype=object)
+
+    run.__annotations__ = {"x": pd.Series, "d": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(a, diff)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.functions import text as T
+from loamline.functions.diff import patched
 from loamline.functions.store import shared_dir, spread, written
 from loamline.operators import dedup, discovery, extract, gate, mining, tasks, validate
 from loamline.sources import files, search, sinks
@@ -237,9 +238,11 @@ def bug_rules(spark, d):
     return _units(spark, d).groupBy(T.bug_rule(F.col("code_norm")).alias("rule")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"SELECT record_id, sha256(CASE WHEN {_MINIMAL} = '' THEN code_norm ELSE {_MINIMAL} END) AS patched, 'formatting_minimal' AS refactor_type, false AS verified, true AS synthetic FROM (SELECT *, {_ALL_LINES} AS ls FROM kept_records)")
 def refactor(spark, d):
-    return tasks.refactor(spread(_units(spark, d))).select("record_id", "diff", "refactor_type", "verified", "synthetic")
+    """The diffs, each applied to the state before it: what comes out is the state after."""
+    r = tasks.refactor(spread(_units(spark, d)), formatter="minimal")
+    return r.select("record_id", F.sha2(patched(F.col("pre"), F.col("diff")), 256).alias("patched"), "refactor_type", "verified", "synthetic")
 
 
 def _bug_sql() -> str:

@@ -1,3 +1,4 @@
+import pytest
 import random
 import re
 
@@ -88,3 +89,22 @@ def test_unified_diff():
     assert d.startswith("--- a/f.py") and "-b" in d and "+c" in d
     assert unified(None, "", None) == ""
     assert re.search("a/code.py", unified("x", "y", None))
+
+
+def test_diffs_can_be_applied():
+    import random
+
+    from loamline.functions.diff import applied, unified
+
+    r = random.Random(8)
+    for _ in range(300):
+        a = [f"l{r.randrange(6)}\n" for _ in range(r.randrange(30))]
+        b = [x for x in a if r.random() > 0.15]
+        for _ in range(r.randrange(4)):
+            b.insert(r.randrange(len(b) + 1), f"n{r.randrange(6)}\n")
+        x, y = "".join(a), "".join(b)
+        assert applied(x, unified(x, y, "f")) == y
+        assert applied(x, unified(x, y + "end", "f")) == y + "end"
+    assert applied("a\n", "") == "a\n" and applied(None, None) == ""
+    with pytest.raises(ValueError):
+        applied("b\n", unified("a\n", "c\n", "f"))
