@@ -4,8 +4,8 @@ A file is cut into tokens by its language's lexical rules, brackets (and Python'
 error-correcting chart parser (chart.py) gives each statement's least number of edits. Lexical faults (an open string, a
 stray character, a bracket without partner) count as edits too. A cost above 0 flags the file; the places of the edits
 tell the cause: all at the end of the file: truncation; within conflict markers: conflict; a file that another language
-parses at less cost, or that needs more edits than CAP: mismatch; else damage. Where Python and strict JSON have an exact
-parser at hand, it confirms the flags. Costs are counted up to CAP.
+parses at less cost, or that needs CAP edits or more: mismatch; else damage. Where Python and strict JSON have an exact
+parser at hand, it confirms the flags. Costs are counted to the end.
 
 Languages: Python 3.13, JavaScript as an ES module, TypeScript, strict JSON; labels are read without case and outer
 blanks, a null label is replaced by what the file name's ending says.
@@ -317,20 +317,24 @@ def parser(language: str) -> Parser:
 
 @dataclass
 class Repair:
-    """cost: edits, up to CAP; places: lines of the edits; at_end: all of them at the end of the file."""
+    """cost: edits; places: lines of the edits; at_end: all of them at the end of the file."""
 
     cost: int = 0
     places: list[int] = field(default_factory=list)
     at_end: bool = True
-    most: int = CAP  # what is looked for: whether there are more edits than that
+    most: int | None = None  # what is looked for: whether there are more edits than that; None: how many there are
 
     @property
     def done(self) -> bool:
-        return self.cost >= CAP or self.cost > self.most
+        return self.most is not None and self.cost > self.most
+
+    @property
+    def room(self) -> int | None:
+        return None if self.most is None else max(0, self.most - self.cost)
 
     def add(self, n: int, line: int, at_end: bool = False) -> None:
         if n:
-            self.cost = min(CAP, self.cost + n)
+            self.cost += n
             self.places.append(line)
             self.at_end &= at_end
 
@@ -446,9 +450,9 @@ def lex_script(text: str, p: Parser, fix: Repair, base: int = 1, inner: bool = F
             e, parts, ok = _template(text, at)
             put("tpl")
             for a, b in parts:
-                sub = Repair()
+                sub = Repair(most=fix.room)
                 seq = lex_script(text[a:b], p, sub, line + text.count("\n", at, a), True)
-                fix.add(sub.cost + (p.cost("Expr", tuple(t for t, _ in seq if t != "NL")) if seq else 1), line)
+                fix.add(sub.cost + (p.cost("Expr", tuple(t for t, _ in seq if t != "NL"), sub.room) if seq else 1), line)
             if not ok:
                 fix.add(1, line, True)
             line += text.count("\n", at, e)
@@ -549,7 +553,7 @@ def _statements(tokens: list[tuple]) -> list[list[tuple]]:
     return [*out, now] if now else out
 
 
-def repair_script(text: str, language: str, most: int = CAP) -> Repair:
+def repair_script(text: str, language: str, most: int | None = None) -> Repair:
     p, fix = parser(language), Repair(most=most)
     tokens = lex_script(text, p, fix)
     last = tokens[-1][1] if tokens else 1
@@ -565,7 +569,7 @@ def repair_script(text: str, language: str, most: int = CAP) -> Repair:
 
 def _locate(p: Parser, nt: str, seq: tuple, part: list[tuple], fix: Repair, last: int) -> None:
     line = part[max(0, p.reach(nt, seq))][1]
-    n = p.cost(nt, seq, max(0, min(p.limit, fix.most - fix.cost)))
+    n = p.cost(nt, seq, fix.room)
     fix.add(n, line, line >= last)
 
 
@@ -751,9 +755,9 @@ def lex_python(text: str, p: Parser, fix: Repair, base: int = 1, inner: bool = F
                 if not order:
                     fix.add(1, line)
                 for x in parts:
-                    sub = Repair()
+                    sub = Repair(most=fix.room)
                     seq = tuple(t for t, _ in lex_python(x.strip(), p, sub, line, True))
-                    fix.add(sub.cost + (p.cost("Piece", seq) if seq else 1), line)
+                    fix.add(sub.cost + (p.cost("Piece", seq, sub.room) if seq else 1), line)
             line += text.count("\n", at, end)
             at = end
             continue
@@ -829,7 +833,7 @@ def _lines_python(tokens: list[tuple]) -> list[list[tuple]]:
     return [*out, now] if now else out
 
 
-def repair_python(text: str, most: int = CAP) -> Repair:
+def repair_python(text: str, most: int | None = None) -> Repair:
     p, fix = parser("python"), Repair(most=most)
     tokens = lex_python(text, p, fix)
     last = tokens[-1][1] if tokens else 1
@@ -848,7 +852,7 @@ def repair_python(text: str, most: int = CAP) -> Repair:
 _JSON = re.compile(r"[ \t\n\r]+|(?P<s>\"(?:\\(?:[\"\\/bfnrt]|u[0-9a-fA-F]{4})|[^\"\\\x00-\x1f])*\")|(?P<n>-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.]))|(?P<w>true|false|null)\b|(?P<p>[{}\[\],:])|(?P<q>\"(?:\\.|[^\"\\\n])*\"?)|(?P<x>[^\s{}\[\],:\"]+|.)", re.S)
 
 
-def repair_json(text: str, most: int = CAP) -> Repair:
+def repair_json(text: str, most: int | None = None) -> Repair:
     p, fix = parser("json"), Repair(most=most)
     now: list[tuple] = []
     stack: list[tuple[str, int, list]] = []
@@ -898,7 +902,8 @@ def repair_json(text: str, most: int = CAP) -> Repair:
 
 
 def _folded(bracket: str, seq: tuple, p: Parser) -> tuple:
-    """The same contents with repeated sound members left out: derivable, and at the same cost, exactly if the whole is."""
+    """The same contents with sound members left out that stand between sound ones: derivable, or so by one edit, exactly if the
+    whole is. A group costs no more than two edits, so its cost is the same."""
     if len(seq) <= 24 or bracket not in "[{":
         return seq
     parts: list[tuple] = [()]
@@ -908,7 +913,8 @@ def _folded(bracket: str, seq: tuple, p: Parser) -> tuple:
         else:
             parts[-1] = (*parts[-1], t)
     nt = "Array" if bracket == "[" else "Object"
-    kept = [x for i, x in enumerate(parts) if i in (0, len(parts) - 1) or not (x and p.parses(nt, x))]
+    sound = [bool(x) and p.parses(nt, x) for x in parts]
+    kept = [x for i, x in enumerate(parts) if i in (0, len(parts) - 1) or not all(sound[i - 1 : i + 2])]
     out: list = []
     for i, x in enumerate(kept):
         out += ([","] if i else []) + list(x)
@@ -920,8 +926,8 @@ def _folded(bracket: str, seq: tuple, p: Parser) -> tuple:
 _MARKER = re.compile(r"^(?:<{7}(?: .*)?|={7}|>{7}(?: .*)?|\|{7}(?: .*)?)$")
 
 
-def repair(text: str, language: str, most: int = CAP) -> Repair:
-    """The repair of a text; if it costs more than `most`, only that it does is certain."""
+def repair(text: str, language: str, most: int | None = None) -> Repair:
+    """The repair of a text of least cost; if it costs more than `most`, only that it does is certain."""
     return repair_python(text, most) if language == "python" else repair_json(text, most) if language == "json" else repair_script(text, language, most)
 
 
@@ -945,15 +951,18 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
+def invalid(text: str | None, language: str | None) -> bool:
+    """Whether the least repair costs anything, without looking for it."""
+    if text is None or language not in LANGUAGES or (language != "json" and not text.strip("﻿ \t\r\n")):
+        return False
+    return confirmed(text, language) and repair(text, language, 0).cost > 0
+
+
 def check(text: str | None, language: str | None) -> tuple[int, str | None, int | None]:
     """(cost, cause, first line of an edit); cost 0 and no cause for valid files."""
-    if text is None or language not in LANGUAGES or (language != "json" and not text.strip("﻿ \t\r\n")):
-        return 0, None, None
-    if not confirmed(text, language):
+    if not invalid(text, language):
         return 0, None, None
     fix = repair(text, language)
-    if not fix.cost:
-        return 0, None, None
     lines = text.split("\n")
     first = min(fix.places)
     if any(_MARKER.match(lines[i].rstrip("\r")) for k in fix.places for i in range(max(0, k - 2), min(len(lines), k + 1))) and any(x.startswith(("<<<<<<<", ">>>>>>>")) for x in lines):
@@ -985,6 +994,18 @@ def checked(files: DataFrame) -> DataFrame:
     )
 
 
+def flagged(files: DataFrame) -> DataFrame:
+    """(file_id): the files with a repair, for which it need not be known."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            rows = p[["file_id", "file_path", "language", "code"]].itertuples(index=False)
+            bad = [i for i, path, label, code in rows if invalid(code if isinstance(code, str) else None, language_of(label if isinstance(label, str) else None, path))]
+            yield pd.DataFrame({"file_id": pd.Series(bad, dtype="int64")})
+
+    return files.select("file_id", "file_path", "language", "code").mapInPandas(run, "file_id bigint")
+
+
 def rates(result: DataFrame) -> DataFrame:
     """Per repository and language: files, files that don't parse, their rate, and the numbers by cause."""
     of = lambda c: F.count_if(F.col("cause") == c).alias(c)

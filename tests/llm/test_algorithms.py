@@ -1,6 +1,7 @@
 """The algorithms without Spark: each against a plain statement of what it computes."""
 
 import ast
+import itertools
 import json
 import random
 import warnings
@@ -516,6 +517,52 @@ def test_costs_equal_brute_force_on_small_grammars():
             assert p.cost("S", seq, 2) == edit_distance_to_language(p, "S", seq, "x+-;", 2), (text, seq)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_costs_have_no_limit_and_equal_brute_force():
+    r = random.Random(5)
+    seen = set()
+    for text in ("S: E ';'\nE: T ('+' T)*\nT: 'x' | '-' T", "S: A B\nA: 'x' A 'x' | '-'\nB: ('+' ';')* A?", "S: S '+' S | 'x' 'x' | '-' E ';'\nE: S? ('x' S)?"):
+        g = Grammar(text)
+        p = Parser(g, lambda t: frozenset((t,)), frozenset())
+        words = [w for n in range(8) for w in itertools.product("x+-;", repeat=n) if p.parses("S", w)]
+        for _ in range(40):
+            seq = tuple(r.choice("x+-;") for _ in range(r.randrange(7)))
+            least = min(edits(seq, w) for w in words)
+            seen.add(least)
+            for near in (-1, 2, 99):  # spans alone, both ways, the search alone
+                p = Parser(g, lambda t: frozenset((t,)), frozenset())
+                p.NEAR = near
+                assert p.cost("S", seq) == least, (text, seq, near)
+                assert p.parses("S", seq) or p._least_ahead("S", seq)[0] <= least
+    assert max(seen) > 3
+    p = Parser(Grammar("S: (T+\nT: 'c'?"), lambda t: frozenset((t,)), frozenset())
+    groups = [("(", p.intern(("c",) * n)) for n in range(5)]
+    assert p.cost("S", tuple(groups)) == 0 + 0 + 1 + 1 + 1  # a group deleted
+    assert p.cost("S", (*groups[2:], "x", "x", "x", "c")) == 1 + 1 + 1 + 4
+    assert p.cost("S", (groups[4],)) == 2 and p.cost("S", ("x",) * 9) == 9
+
+
+def test_all_faults_of_a_file_count():
+    assert syntax.check("x = = 1\n" * 20, "python")[0] == 20
+    assert syntax.check("x = a b c d e f g h i j k;\n", "javascript")[0] == 5  # every second name an operator
+    assert syntax.check("x = (;\n" * 15, "javascript")[0] == syntax.repair("x = (;\n" * 15, "javascript").cost > 12
+    assert syntax.check('{"a" "b" "c" "d" "e"}', "json")[0] == 2 and syntax.check("1 2 3 4 5 6 7", "json")[0] == 6
+    # sound members between two faults don't bring these together
+    members = ", ".join('"k": 1' for _ in range(12))
+    assert syntax.repair('{"k", ' + members + ", : 1}", "json").cost == 2
+    for t in ("x = = 1\n" * 20, "x = 1\n", "f'{a b c} {d e}'\n", ""):
+        assert syntax.invalid(t, "python") == (syntax.check(t, "python")[0] > 0)
+
+
 def test_one_slip_costs_one_edit_however_long_the_text():
     lines = [f"v{i} = f(a{i}, 2) + [b, c].d" for i in range(240)]
     lines[200] = "v = a b + c"

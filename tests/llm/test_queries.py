@@ -208,6 +208,14 @@ def test_p2_bodies_without_names(spark):
     assert got == {"a/mit": "MIT", "a/two": "BSD-2-Clause", "a/three": "BSD-3-Clause", "a/apache": "Apache-2.0", "a/isc": "ISC", "a/part": "unknown", "a/none": "unknown", "": "unknown"}
 
 
+def test_flags_are_the_files_with_repairs(spark):
+    rows = [(i, "r", path, label, code) for i, (path, label, code) in enumerate((("a.py", None, "x = = 1\n" * 20), ("a.js", None, "x = a b c d e f g h i j k;\n"), ("a.ts", "python", "x = 1\n"), (None, None, "("), ("a.json", None, ""), ("a.py", "json", None)))]
+    f = spark.createDataFrame(rows, "file_id bigint, repo_full_name string, file_path string, language string, code string")
+    out = {r.file_id: r.edits for r in syntax.checked(f).collect()}
+    assert out == {0: 20, 1: 5, 2: 0, 3: 0, 4: 1, 5: 0}
+    assert sorted(r.file_id for r in syntax.flagged(f).collect()) == [0, 1, 4] and syntax.flagged(f.where("false")).count() == 0
+
+
 def test_row_functions_take_nulls_empties_and_extra_columns(spark):
     d = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "python", "", "", "", "x"), (3, "python", "def f():\n  pass\n", "Counts the open items.", "docstring", "x")], "rec_id bigint, language string, code string, docstring string, source string, func_name string")
     assert [tuple(r) for r in docpairs.extract(d).select("rec_id", "func_name", "origin").collect()] == [(3, "f", "record")]
